@@ -91,7 +91,7 @@ def risk_category(percent: Column) -> Column:
 
 def share_percent(part: Column, whole: Column) -> Column:
     """``part`` as a percentage of ``whole``, 0.0 where there is no whole."""
-    return F.when(whole > 0, part / whole * 100.0).otherwise(0.0)
+    return F.when(whole > 0, part * 100 / whole).otherwise(0.0)
 
 
 def quality_status(malformed_percent: Column) -> Column:

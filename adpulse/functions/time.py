@@ -25,6 +25,11 @@ def wall_clock(instant: Column, zone: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
+def calendar_day(table: DataFrame, column: str = "window_start") -> Column:
+    """Date of ``table[column]``: as written for zone-free times, in UTC for instants (never the session's day)."""
+    return F.to_date(F.col(column) if is_zone_free(table, column) else wall_clock(F.col(column), "UTC"))
+
+
 def time_of_day(local: Column) -> Column:
     return F.date_format(local, "HH:mm:ss")
 

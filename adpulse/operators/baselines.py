@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adpulse.functions.time import calendar_day
+
 HISTORY_DAYS = 30
 RECALIBRATION_DAYS = 7
 DEVIATIONS = 2.0
 
 
+def _day_number(table: DataFrame) -> Column:
+    return F.unix_date(calendar_day(table))
+
+
+def _date(day_number: Column) -> Column:
+    return F.date_from_unix_date(day_number.cast("int"))
+
+
 def learned_thresholds(
     campaigns: DataFrame,
     history_days: int = HISTORY_DAYS,
@@ -23,7 +33,7 @@ def learned_thresholds(
     """
     hundredths = F.round(F.col("hits_per_user_ratio") * 100).cast("decimal(19,0)")
     daily = (
-        campaigns.groupBy("campaign_id", F.datediff(F.to_date("window_start"), F.lit("1970-01-01")).alias("day"))
+        campaigns.groupBy("campaign_id", _day_number(campaigns).alias("day"))
         .agg(
             F.count("hits_per_user_ratio").alias("n"),
             F.sum(hundredths).alias("s1"),
@@ -43,7 +53,7 @@ def learned_thresholds(
     deviation = F.when(samples > 1, F.sqrt(spread_sum / (samples - 1)))
     return sums.select(
         "campaign_id",
-        F.date_add(F.lit("1970-01-01").cast("date"), (F.col("calibration") * every_days).cast("int")).alias("valid_from"),
+        _date(F.col("calibration") * every_days).alias("valid_from"),
         "samples",
         (mean / 100).alias("mean_ratio"),
         (deviation / 100).alias("deviation"),
@@ -55,8 +65,7 @@ def above_baseline(
     campaigns: DataFrame, thresholds: DataFrame, every_days: int = RECALIBRATION_DAYS
 ) -> DataFrame:
     """Windows over the threshold in force that day. Rows of a NULL campaign match their own threshold."""
-    days = F.datediff(F.to_date("window_start"), F.lit("1970-01-01"))
-    start = F.date_add(F.lit("1970-01-01").cast("date"), (F.floor(days / every_days) * every_days).cast("int"))
+    start = _date(F.floor(_day_number(campaigns) / every_days) * every_days)
     windows = campaigns.withColumn("valid_from", start)
     same_campaign = windows["campaign_id"].eqNullSafe(thresholds["campaign_id"])
     joined = windows.join(

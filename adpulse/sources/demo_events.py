@@ -31,7 +31,7 @@ def _ad_columns() -> dict[str, Column]:
     event, user = F.col("event_id"), F.col("user_id")
     damage = event % DAMAGE_CYCLE
     is_bot = event % 10 < 3
-    bot_ip = F.concat(F.lit("192.168.0."), (F.floor(event / 10) % 20).cast("string"))
+    bot_ip = F.concat(F.lit("192.168.0."), (F.expr("event_id div 10") % 20).cast("string"))
     user_ip = F.concat(F.lit("10.0.0."), user.cast("string"))
     campaign = F.concat(F.lit("campaign_"), (event % 10 + 1).cast("string"))
     return {

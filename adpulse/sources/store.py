@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adpulse.functions.time import calendar_day, wall_clock
 from adpulse.schemas import TABLE_COLUMNS, TABLE_KEYS, TABLES, ddl
 
 DAY, BATCH = "window_date", "batch_id"
@@ -43,20 +44,29 @@ class ResultStore:
 
     # -- writing ---------------------------------------------------------------------------------------------
 
+    def create(self, spark: SparkSession, tables: Iterable[str] = TABLES) -> None:
+        """Makes empty tables readable; existing rows stay."""
+        if self.on_files:
+            for table in tables:
+                empty = spark.createDataFrame([], self._file_schema(table))
+                empty.write.format(self.format).mode("append").partitionBy(DAY, BATCH).save(self.path(table))
+
     def write(self, table: str, rows: DataFrame, batch_id: int, row_count: int | None = None) -> None:
-        """Idempotent write of one batch. ``row_count`` (when known) sizes the files."""
+        """Idempotent write of one batch. A known ``row_count`` sizes the files; otherwise each day goes to one file,
+        unless adaptive execution finds a day too large for that and splits it."""
         shaped = rows.select(*TABLE_COLUMNS[table])
         if not self.on_files:
             extra = {**self.options, **self.table_options.get(table, {})}
             shaped.write.format(self.format).mode("append").options(**extra).save()
             return
-        if row_count is not None:
-            # A streaming batch arrives in one sliver per state partition; merge them into full files.
-            shaped = shaped.repartition(max(1, math.ceil(row_count / self.rows_per_file)))
+        placed = shaped.withColumn(DAY, calendar_day(shaped)).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        if row_count is None:
+            placed = placed.hint("rebalance", DAY)
+        else:
+            # A streaming batch arrives in one sliver per state partition (and without adaptive execution).
+            placed = placed.repartition(max(1, math.ceil(row_count / self.rows_per_file)))
         (
-            shaped.withColumn(DAY, F.to_date("window_start"))
-            .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-            .write.format(self.format)
+            placed.write.format(self.format)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .options(**self.options)
@@ -65,11 +75,8 @@ class ResultStore:
         )
 
     def write_all(self, tables: dict[str, DataFrame], batch_id: int = BACKFILL_BATCH) -> None:
-        """Write of a bounded recomputation: one day's rows go to one file, unless adaptive execution finds the day
-        too large for that and splits it."""
+        """Write of a bounded recomputation."""
         for table, rows in tables.items():
-            if self.on_files:
-                rows = rows.hint("rebalance", F.to_date("window_start"))
             self.write(table, rows, batch_id)
 
     # -- reading ---------------------------------------------------------------------------------------------
@@ -87,23 +94,28 @@ class ResultStore:
         if not self.on_files:
             extra = {**self.options, **self.table_options.get(table, {})}
             return _bounded(spark.read.format(self.format).options(**extra).load(), since, until).select(columns)
-        schema = f"{ddl(table)}, {DAY} date, {BATCH} bigint"
-        rows = spark.read.format(self.format).schema(schema).options(**self.options).load(self.path(table))
+        rows = self._files(spark, table)
         if since is not None:
-            rows = rows.where(F.col(DAY) >= F.to_date(since))
+            rows = rows.where(F.col(DAY) >= F.to_date(wall_clock(since, "UTC")))
         if until is not None:
-            rows = rows.where(F.col(DAY) <= F.to_date(until))
+            rows = rows.where(F.col(DAY) <= F.to_date(wall_clock(until, "UTC")))
         return _bounded(rows, since, until).select(columns + ([BATCH] if with_batch else []))
 
     def newest(self, spark: SparkSession, table: str) -> Column:
         """Scalar subquery: newest ``window_start``, reading the newest day only."""
         if not self.on_files:
             return self.read(spark, table).agg(F.max("window_start")).scalar()
-        schema = f"{ddl(table)}, {DAY} date, {BATCH} bigint"
-        rows = spark.read.format(self.format).schema(schema).options(**self.options).load(self.path(table))
+        rows = self._files(spark, table)
         last_day = rows.agg(F.max(DAY)).scalar()
         return rows.where(F.col(DAY) == last_day).agg(F.max("window_start")).scalar()
 
+    def _file_schema(self, table: str) -> str:
+        return f"{ddl(table)}, {DAY} date, {BATCH} bigint"
+
+    def _files(self, spark: SparkSession, table: str) -> DataFrame:
+        reader = spark.read.format(self.format).schema(self._file_schema(table)).options(**self.options)
+        return reader.load(self.path(table))
+
     def current(self, spark: SparkSession, table: str, **bounds: Column) -> DataFrame:
         """One row per key: its newest version. Needed after update or complete output, where a window is written
         again whenever it changes."""

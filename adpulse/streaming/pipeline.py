@@ -66,6 +66,7 @@ def start_pipeline(
     settings = dict(STREAM_CONF)
     if state_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    store.create(spark, tables)
     queries = []
     with session_conf(spark, settings):
         for name, group in groups.items():

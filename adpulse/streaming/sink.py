@@ -35,11 +35,9 @@ class TableSink:
             if not filled:
                 return
             # The tables are independent Spark jobs; submitted together, their commit times overlap.
+            write = inheritable_thread_target(batch.sparkSession)(self._write)
             with ThreadPoolExecutor(len(filled)) as pool:
-                jobs = [
-                    pool.submit(inheritable_thread_target(self._write), batch, batch_id, table, counts[table])
-                    for table in filled
-                ]
+                jobs = [pool.submit(write, batch, batch_id, table, counts[table]) for table in filled]
             for job in jobs:
                 job.result()
         finally:
