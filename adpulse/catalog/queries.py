@@ -94,6 +94,22 @@ def _ranged(
     return time_range.apply(table(scored_rollup(events, grains, config)), newest)
 
 
+def _newest_window(
+    spark: SparkSession,
+    sf_dir: str,
+    grains: Sequence[str],
+    table: Callable[[DataFrame], DataFrame],
+    config: PipelineConfig,
+    campaign_id: str | None = None,
+) -> DataFrame:
+    """Table rows of the newest window (of one campaign): found from times alone, computed from its events only."""
+    anchor = table(_scored(spark, sf_dir, grains, config))
+    if campaign_id is not None:
+        anchor = anchor.where(F.col("campaign_id") == campaign_id)
+    events = typed_events(spark, sf_dir, between=(newest_start(anchor), None))
+    return table(scored_rollup(events, grains, config))
+
+
 # -- events ------------------------------------------------------------------------------------------------------
 
 
@@ -268,11 +284,12 @@ def range_historical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.newest_row(_traffic(spark, sf_dir))
+    return views.newest_row(_newest_window(spark, sf_dir, ["global"], traffic_metrics, HOUR))
 
 
 def campaign_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.campaign_profile(_campaigns(spark, sf_dir, WEEK), CAMPAIGN_SHOWN)
+    rows = _newest_window(spark, sf_dir, ["campaign"], campaign_metrics, WEEK, CAMPAIGN_SHOWN)
+    return views.campaign_profile(rows, CAMPAIGN_SHOWN)
 
 
 def campaign_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,11 +316,13 @@ def smart_cutoff_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.recent_activity(_traffic(spark, sf_dir), AS_OF, 180)
+    recent = _ranged(spark, sf_dir, TimeRange.current(AS_OF, 180), ["global"], traffic_metrics, HOUR_APPROX)
+    return health.recent_activity(recent, AS_OF, 180)
 
 
 def tracer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.tracer_lookup(_campaigns(spark, sf_dir), CAMPAIGN_SHOWN)
+    rows = _newest_window(spark, sf_dir, ["campaign"], campaign_metrics, HOUR_APPROX, CAMPAIGN_SHOWN)
+    return health.tracer_lookup(rows, CAMPAIGN_SHOWN)
 
 
 def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

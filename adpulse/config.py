@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field, replace
 
 
@@ -37,6 +38,8 @@ class PipelineConfig:
             raise ValueError(f"distinct must be 'approx' or 'exact', not {self.distinct!r}")
         if not 0 < self.rsd < 0.4:
             raise ValueError("rsd must lie in (0, 0.4)")
+        if not re.fullmatch(r"[+-]\d{2}:\d{2}", self.event_zone):
+            raise ValueError(f"event_zone must be a fixed offset such as +02:00, not {self.event_zone!r}")
 
     def with_(self, **changes) -> PipelineConfig:
         return replace(self, **changes)
