@@ -106,7 +106,7 @@ def _newest_window(
     anchor = table(_scored(spark, sf_dir, grains, config))
     if campaign_id is not None:
         anchor = anchor.where(F.col("campaign_id") == campaign_id)
-    events = typed_events(spark, sf_dir, between=(newest_start(anchor), None))
+    events = typed_events(spark, sf_dir, between=(newest_start(anchor).scalar(), None))
     return table(scored_rollup(events, grains, config))
 
 

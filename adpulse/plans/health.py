@@ -44,9 +44,8 @@ def smart_cutoff(
     max_staleness_minutes: float = ranges.MAX_STALENESS_MINUTES,
 ) -> DataFrame:
     """One row with the start of an automatic report range."""
-    newest = table.agg(F.max("window_start").alias("newest"))
     now = moment(as_of, table)
-    return newest.select(ranges.smart_cutoff(F.col("newest"), now, minutes, max_staleness_minutes).alias("cutoff"))
+    return ranges.newest_start(table).select(ranges.smart_cutoff(F.col("newest"), now, minutes, max_staleness_minutes).alias("cutoff"))
 
 
 def recent_activity(table: DataFrame, as_of: datetime, minutes: float = 5) -> DataFrame:

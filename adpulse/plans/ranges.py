@@ -51,10 +51,11 @@ class TimeRange:
         return cls("historical", as_of, minutes, timedelta(hours=hours_back, minutes=minutes_back))
 
     def bounds(
-        self, like: DataFrame, newest: Column | None = None, column: str = "window_start"
+        self, like: DataFrame, newest: DataFrame | None = None, column: str = "window_start"
     ) -> tuple[Column, Column | None]:
-        """Inclusive (lower, upper) for ``like[column]``. In auto mode ``newest`` is the anchor table's newest
-        window start, normally a scalar subquery; it is evaluated once and becomes a scan filter."""
+        """Inclusive (lower, upper) for ``like[column]``. In auto mode ``newest`` is the one-row frame with the anchor
+        table's newest window start. The whole lower bound is computed inside one scalar subquery: a bare subquery
+        can be pushed into a file scan once it is evaluated, an expression around it cannot."""
         now = moment(self.as_of, like, column)
         if self.mode == "historical":
             end = moment(self.as_of - self.back, like, column)
@@ -63,9 +64,10 @@ class TimeRange:
             return _shift(now, -self.minutes), None
         if newest is None:
             raise ValueError("auto range needs the newest window start of its anchor table")
-        return smart_cutoff(newest, now, self.minutes, self.max_staleness_minutes), None
+        cutoff = smart_cutoff(F.col("newest"), now, self.minutes, self.max_staleness_minutes)
+        return newest.select(cutoff).scalar(), None
 
-    def apply(self, table: DataFrame, newest: Column | None = None, column: str = "window_start") -> DataFrame:
+    def apply(self, table: DataFrame, newest: DataFrame | None = None, column: str = "window_start") -> DataFrame:
         lower, upper = self.bounds(table, newest, column)
         ranged = table.where(F.col(column) >= lower)
         return ranged if upper is None else ranged.where(F.col(column) <= upper)
@@ -77,6 +79,6 @@ def smart_cutoff(newest: Column, now: Column, minutes: float, max_staleness_minu
     return _shift(F.when(fresh, newest).otherwise(now), -minutes)
 
 
-def newest_start(table: DataFrame, column: str = "window_start") -> Column:
-    """Scalar subquery over any table (``ResultStore.newest`` does the same reading one day only)."""
-    return table.agg(F.max(column)).scalar()
+def newest_start(table: DataFrame, column: str = "window_start") -> DataFrame:
+    """One row with the newest time of any table (``ResultStore.newest`` does the same reading one day only)."""
+    return table.agg(F.max(column).alias("newest"))

@@ -101,13 +101,13 @@ class ResultStore:
             rows = rows.where(F.col(DAY) <= F.to_date(wall_clock(until, "UTC")))
         return _bounded(rows, since, until).select(columns + ([BATCH] if with_batch else []))
 
-    def newest(self, spark: SparkSession, table: str) -> Column:
-        """Scalar subquery: newest ``window_start``, reading the newest day only."""
-        if not self.on_files:
-            return self.read(spark, table).agg(F.max("window_start")).scalar()
-        rows = self._files(spark, table)
-        last_day = rows.agg(F.max(DAY)).scalar()
-        return rows.where(F.col(DAY) == last_day).agg(F.max("window_start")).scalar()
+    def newest(self, spark: SparkSession, table: str) -> DataFrame:
+        """One row with the newest ``window_start``, reading the newest day only."""
+        rows = self.read(spark, table)
+        if self.on_files:
+            rows = self._files(spark, table)
+            rows = rows.where(F.col(DAY) == rows.agg(F.max(DAY)).scalar())
+        return rows.agg(F.max("window_start").alias("newest"))
 
     def _file_schema(self, table: str) -> str:
         return f"{ddl(table)}, {DAY} date, {BATCH} bigint"
