@@ -22,6 +22,7 @@ from adpulse.operators import (
     country_metrics,
     deduplicate,
     malformed_breakdown,
+    newest_window,
     parse_events,
     quality_alerts,
     quality_metrics,
@@ -32,9 +33,8 @@ from adpulse.operators import (
 from adpulse.operators import activity, baselines, evaluation, sketches
 from adpulse.plans import TimeRange, health, views
 from adpulse.plans.backfill import backfill
-from adpulse.plans.ranges import newest_start
 from adpulse.schemas import ALERTS, CAMPAIGN, COUNTRY, QUALITY, TRAFFIC
-from adpulse.session import scratch_path
+from adpulse.session import scratch_path, staged
 from adpulse.sources import ResultStore, json_events, typed_events
 from adpulse.sources.demo_events import json_event_stream
 from adpulse.streaming import start_pipeline
@@ -86,12 +86,13 @@ def _ranged(
 ) -> DataFrame:
     """Table rows of a time range, computed from the events of that range only: the bounds on window starts also
     bound the events, so they go to the scan as well."""
-    anchor = _traffic(spark, sf_dir, config)
-    newest = newest_start(anchor) if time_range.mode == "auto" else None
-    lower, upper = time_range.bounds(anchor, newest)
+    all_events = typed_events(spark, sf_dir)
+    newest = newest_window(all_events, config) if time_range.mode == "auto" else None
+    lower, upper = time_range.bounds(all_events, newest, "event_timestamp")
     last = None if upper is None else upper + F.expr(f"INTERVAL {config.window}")
     events = typed_events(spark, sf_dir, between=(lower, last))
-    return time_range.apply(table(scored_rollup(events, grains, config)), newest)
+    ranged = table(scored_rollup(events, grains, config)).where(F.col("window_start") >= lower)
+    return ranged if upper is None else ranged.where(F.col("window_start") <= upper)
 
 
 def _newest_window(
@@ -103,10 +104,10 @@ def _newest_window(
     campaign_id: str | None = None,
 ) -> DataFrame:
     """Table rows of the newest window (of one campaign): found from times alone, computed from its events only."""
-    anchor = table(_scored(spark, sf_dir, grains, config))
+    candidates = typed_events(spark, sf_dir)
     if campaign_id is not None:
-        anchor = anchor.where(F.col("campaign_id") == campaign_id)
-    events = typed_events(spark, sf_dir, between=(newest_start(anchor).scalar(), None))
+        candidates = candidates.where(F.col("campaign_id") == campaign_id)
+    events = typed_events(spark, sf_dir, between=(newest_window(candidates, config).scalar(), None))
     return table(scored_rollup(events, grains, config))
 
 
@@ -299,20 +300,26 @@ def campaign_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- health ------------------------------------------------------------------------------------------------------
 
 
+def _newest_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest row of the hourly metrics, reduced to its time: all that the checks of data age look at."""
+    newest = newest_window(typed_events(spark, sf_dir), HOUR)
+    return newest.where(F.col("newest").isNotNull()).withColumnRenamed("newest", "window_start")
+
+
 def pipeline_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.pipeline_health(_traffic(spark, sf_dir), AS_OF)
+    return health.pipeline_health(_newest_start(spark, sf_dir), AS_OF)
 
 
 def data_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.data_age(_traffic(spark, sf_dir), AS_OF)
+    return health.data_age(_newest_start(spark, sf_dir), AS_OF)
 
 
 def smart_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.smart_cutoff(_traffic(spark, sf_dir), AS_OF, 5, max_staleness_minutes=120)
+    return health.smart_cutoff(_newest_start(spark, sf_dir), AS_OF, 5, max_staleness_minutes=120)
 
 
 def smart_cutoff_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.smart_cutoff(_traffic(spark, sf_dir), AS_OF, 5, max_staleness_minutes=10)
+    return health.smart_cutoff(_newest_start(spark, sf_dir), AS_OF, 5, max_staleness_minutes=10)
 
 
 def recent_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,7 +389,8 @@ def learned_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def above_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    campaigns = _campaigns(spark, sf_dir)
+    # Read twice, by the learning and by the comparison.
+    campaigns = staged(spark, _campaigns(spark, sf_dir), "campaigns")
     rows = baselines.above_baseline(campaigns, baselines.learned_thresholds(campaigns))
     return rows.select("window_start", "campaign_id", "hits_per_user_ratio", F.round("threshold", 6).alias("threshold"))
 

@@ -1,5 +1,5 @@
 from adpulse.operators.parse import deduplicate, malformed_breakdown, parse_events, register_view, watermarked
-from adpulse.operators.rollup import click_through, rollup, scored_rollup, with_scores
+from adpulse.operators.rollup import click_through, newest_window, rollup, scored_rollup, with_scores
 from adpulse.operators.tables import (
     alerts,
     campaign_metrics,
@@ -20,6 +20,7 @@ __all__ = [
     "derive",
     "grains_for",
     "malformed_breakdown",
+    "newest_window",
     "parse_events",
     "quality_alerts",
     "quality_metrics",

@@ -108,6 +108,13 @@ def scored_rollup(
     return with_scores(rollup(events, grains, config), config)
 
 
+def newest_window(events: DataFrame, config: PipelineConfig = DEFAULT) -> DataFrame:
+    """One row with the start of the newest window holding an event (``newest``, NULL without events); it takes a
+    maximum over one column instead of an aggregation by window."""
+    last = events.agg(F.max("event_timestamp").alias("last"))
+    return last.select(F.window("last", config.window)["start"].alias("start")).agg(F.max("start").alias("newest"))
+
+
 def click_through(metrics: DataFrame) -> DataFrame:
     """Adds clicks per view, 0.0 without views."""
     rate = F.when(F.col("total_views") > 0, F.round(F.col("total_clicks") / F.col("total_views"), 4))

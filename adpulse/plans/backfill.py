@@ -11,7 +11,7 @@ from adpulse.config import DEFAULT, PipelineConfig
 from adpulse.operators.rollup import scored_rollup
 from adpulse.operators.tables import derive, grains_for
 from adpulse.schemas import TABLES
-from adpulse.session import scratch_path
+from adpulse.session import staged
 from adpulse.sources.store import ResultStore
 
 
@@ -22,10 +22,8 @@ def backfill(
     tables: Sequence[str] = TABLES,
     config: PipelineConfig = DEFAULT,
 ) -> None:
-    """One scan of the events feeds all tables: the windows of all grains are written once to the shared scratch
-    folder (so a lost executor costs no second scan) and the tables are projected from there."""
+    """One scan of the events feeds all tables: the windows of all grains are staged once, the tables are projected
+    from there."""
     stamped = scored_rollup(events, grains_for(tables), config).withColumn("processed_at", F.current_timestamp())
-    staged = scratch_path(spark, "rollup")
-    stamped.write.partitionBy("grain").parquet(staged)
-    scored = spark.read.schema(stamped.schema).parquet(staged)
+    scored = staged(spark, stamped, "rollup", "grain")
     store.write_all({table: derive(scored, table, config) for table in tables})

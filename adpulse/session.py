@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Batches: let adaptive execution size and split shuffle partitions. Sketch aggregation keeps hashing beyond the
 # default 128 groups per task instead of falling back to sorting the input.
@@ -16,6 +16,8 @@ BATCH_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # Call sites of single Column expressions are not worth a stack inspection each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 # Streams: state beyond the heap, written to the checkpoint as changes rather than whole snapshots.
 STREAM_CONF = {
@@ -57,3 +59,11 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="adpulse-")
     return f"{base.rstrip('/')}/adpulse-{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(spark: SparkSession, rows: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
+    """``rows`` written once to the shared scratch folder and read back: several consumers share one computation,
+    and a lost executor costs a re-read instead of a recomputation."""
+    path = scratch_path(spark, purpose)
+    rows.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

@@ -23,25 +23,23 @@ BAD_TIME_TEXT, BAD_COUNTRY_TEXT = "INVALID_TIMESTAMP", "XXXX"
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), (index % len(values) + 1).cast("int"))
+def _pick(values: tuple[str, ...], index: str) -> str:
+    return f"element_at(array({', '.join(map(repr, values))}), cast({index} % {len(values)} AS int) + 1)"
 
 
 def _ad_columns() -> dict[str, Column]:
-    event, user = F.col("event_id"), F.col("user_id")
-    damage = event % DAMAGE_CYCLE
-    is_bot = event % 10 < 3
-    bot_ip = F.concat(F.lit("192.168.0."), (F.expr("event_id div 10") % 20).cast("string"))
-    user_ip = F.concat(F.lit("10.0.0."), user.cast("string"))
-    campaign = F.concat(F.lit("campaign_"), (event % 10 + 1).cast("string"))
-    return {
-        "event_id": event.cast("string"),
-        "ip_address": F.when(damage == BAD_IP, F.lit(None)).when(is_bot, bot_ip).otherwise(user_ip),
-        "country": F.when(damage == BAD_COUNTRY, BAD_COUNTRY_TEXT).otherwise(_pick(COUNTRIES, user)),
-        "action": F.col("event_type"),
-        "campaign_id": F.when(damage != BAD_CAMPAIGN, campaign),
-        "device": _pick(DEVICES, event),
+    damage = f"event_id % {DAMAGE_CYCLE}"
+    texts = {
+        "event_id": "cast(event_id AS string)",
+        "ip_address": f"""CASE WHEN {damage} = {BAD_IP} THEN NULL
+            WHEN event_id % 10 < 3 THEN concat('192.168.0.', event_id div 10 % 20)
+            ELSE concat('10.0.0.', user_id) END""",
+        "country": f"CASE WHEN {damage} = {BAD_COUNTRY} THEN '{BAD_COUNTRY_TEXT}' ELSE {_pick(COUNTRIES, 'user_id')} END",
+        "action": "event_type",
+        "campaign_id": f"CASE WHEN {damage} <> {BAD_CAMPAIGN} THEN concat('campaign_', event_id % 10 + 1) END",
+        "device": _pick(DEVICES, "event_id"),
     }
+    return {name: F.expr(text) for name, text in texts.items()}
 
 
 def _bad_time() -> Column:
@@ -49,7 +47,7 @@ def _bad_time() -> Column:
 
 
 def _table(spark: SparkSession, sf_dir: str, between: tuple[Column | None, Column | None] | None) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows = spark.read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
     lower, upper = between or (None, None)
     # On the stored column, so the bounds reach the Parquet scan.
     if lower is not None:

@@ -20,6 +20,8 @@ def spark():
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "4g",
+        # Many short queries: quick compilation beats optimised code.
+        "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
     }
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -111,7 +111,7 @@ CLOSING = [event(0, hour=12)]
 @pytest.mark.parametrize("distinct", ["approx", "exact"])
 def test_stream_equals_batch_on_ordered_input(spark, tmp_path, distinct):
     config = CONFIG.with_(distinct=distinct)
-    batches = [spread(range(60 * m, 60 * m + 60, 5)) for m in range(4)]
+    batches = [spread(range(60 * m, 60 * m + 60, 5)) for m in range(2)]
     feed = Feed(tmp_path).add(*batches, CLOSING)
     job = Job(spark, tmp_path, config=config)
     job.run(feed)
