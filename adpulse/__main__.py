@@ -39,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--distinct", choices=("approx", "exact"), default=PipelineConfig.distinct)
     job.add_argument("--rsd", type=float, default=PipelineConfig.rsd)
     job.add_argument("--exclude-malformed", action="store_true")
+    job.add_argument("--unordered-input", action="store_true", help="backfill of files that are not in time order")
 
     stream = commands.add_parser("stream", parents=[common, job])
     stream.add_argument("--checkpoint", required=True)
@@ -81,6 +82,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         distinct=args.distinct,
         rsd=args.rsd,
         exclude_malformed=args.exclude_malformed,
+        unordered_input=args.unordered_input,
     )
     source = SourceConfig(args.source_format, _pairs(args.source_option), args.source_path)
     if args.command == "backfill":

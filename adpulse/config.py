@@ -27,6 +27,9 @@ class PipelineConfig:
     distinct: str = "approx"
     # Relative standard deviation of the sketch: 0.05 -> 416 B per group, 0.01 -> about 13 KB.
     rsd: float = 0.05
+    # Batches only: set it when files are not written in time order. Every task then sees most windows, and sending
+    # one sketch per task and window would cost more than sending the events themselves once.
+    unordered_input: bool = False
     # False counts events without an IP as hits (they can never count as users).
     exclude_malformed: bool = False
     # Shown in alert texts for events without a campaign; None leaves the whole text NULL.

@@ -68,6 +68,8 @@ def rollup(
             users = F.count_distinct("ip_address")
         else:
             users = F.approx_count_distinct("ip_address", config.rsd)
+            if config.unordered_input and not events.isStreaming:
+                rows = _gathered(rows)
         grouped = _aggregate(rows, grains, (), users.alias("unique_users"), *counters)
     absent = [F.lit(None).cast("string").alias(key) for key in KEYS if key not in grouped.columns]
     present = [F.col(key) for key in KEYS if key in grouped.columns]
@@ -82,6 +84,15 @@ def rollup(
     )
 
 
+def _gathered(rows: DataFrame) -> DataFrame:
+    """Brings the events of a window together before sketches are built, splitting windows too large for a task.
+
+    The hint is on a hash of the window, not on the window itself: Spark must not conclude that each group is complete in
+    one partition, or adaptive execution could no longer split a hot one.
+    """
+    return rows.withColumn("_place", F.xxhash64("window")).hint("rebalance", "_place").drop("_place")
+
+
 def _exact_on_stream(rows: DataFrame, grains: Sequence[str], counters: Sequence[Column]) -> DataFrame:
     """Streams refuse distinct aggregates: group by address first, then count the addresses."""
     per_address = _aggregate(rows, grains, ("ip_address",), *counters)

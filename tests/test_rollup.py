@@ -17,6 +17,7 @@ from adpulse.operators import (
     scored_rollup,
     traffic_metrics,
 )
+from adpulse.session import session_conf
 from conftest import event, plan_text, records
 
 CONFIG = PipelineConfig(event_zone="+00:00")
@@ -182,6 +183,21 @@ def test_plans_aggregate_by_hash_and_combine_before_the_shuffle(spark, sf_dir):
     assert "approx_count_distinct" not in plan_text(table)
 
 
+def test_unordered_input_gathers_windows_and_splits_hot_ones(spark):
+    hot = [event(3, ip=f"{i}-{'x' * 50}") for i in range(20000)]
+    events = parse_events(records(spark, hot + [event(s) for s in range(40)]).repartition(8), CONFIG).cache()
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB", "spark.sql.shuffle.partitions": "4"}
+    for grains in (["campaign"], ["global", "campaign", "country"]):
+        direct = rollup(events, grains, CONFIG).collect()
+        with session_conf(spark, small):
+            gathered = rollup(events, grains, CONFIG.with_(unordered_input=True))
+            assert sorted(map(repr, gathered.collect())) == sorted(map(repr, direct))
+        plan = plan_text(gathered).split("== Initial Plan ==")[0]
+        assert "REBALANCE_PARTITIONS_BY_COL" in plan and "skewed" in plan
+        assert "REBALANCE" not in plan_text(rollup(events, grains, EXACT.with_(unordered_input=True)))
+    events.unpersist()
+
+
 def test_unknown_grains_are_refused(spark, sf_dir):
     from adpulse.sources import typed_events
 

@@ -173,15 +173,16 @@ def test_a_failure_between_two_tables_is_repaired_by_the_replay(spark, tmp_path)
         assert job.store.read(spark, table).count() == keys
 
 
-def test_update_mode_reports_windows_early_and_again(spark, tmp_path):
+@pytest.mark.parametrize("output_mode", ["update", "complete"])
+def test_other_modes_report_windows_early_and_again(spark, tmp_path, output_mode):
     feed = Feed(tmp_path).add([event(1)], [event(2)], [event(3), event(11)])
-    job = Job(spark, tmp_path, tables=[TRAFFIC], output_mode="update")
+    job = Job(spark, tmp_path, tables=[TRAFFIC], output_mode=output_mode)
     job.run(feed)
     assert job.rows(TRAFFIC, "total_hits") == [(0, 0, 1), (1, 0, 2), (2, 0, 3), (2, 10, 1)]
     current = job.store.current(spark, TRAFFIC)
     assert sorted(r["total_hits"] for r in current.collect()) == [1, 3]
     with pytest.raises(ValueError):
-        Job(spark, tmp_path, config=CONFIG.with_(distinct="exact"), output_mode="update").run(feed)
+        Job(spark, tmp_path, config=CONFIG.with_(distinct="exact"), output_mode=output_mode).run(feed)
     with pytest.raises(ValueError):
         Job(spark, tmp_path, layout="random").run(feed)
 
