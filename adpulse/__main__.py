@@ -47,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--output-mode", choices=("append", "update", "complete"), default="append")
     stream.add_argument("--until-caught-up", action="store_true")
     stream.add_argument("--unique-events", action="store_true")
+    stream.add_argument("--state-partitions", type=int, help="frozen in the checkpoint; default: the session's")
     commands.add_parser("backfill", parents=[common, job])
 
     reports = commands.add_parser("report", parents=[common])
@@ -98,6 +99,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         output_mode=args.output_mode,
         until_caught_up=args.until_caught_up,
         unique_events=args.unique_events,
+        state_partitions=args.state_partitions,
     )
     if args.until_caught_up:
         drain(queries)
