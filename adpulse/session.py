@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -54,9 +55,12 @@ def session_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[N
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the shared folder the session names; a local temporary one only where it names none."""
+    """A fresh path in the shared folder that the session names. Only where all tasks run in the driver's own process
+    may it name none."""
     base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="adpulse-")
     return f"{base.rstrip('/')}/adpulse-{purpose}-{uuid.uuid4().hex}"
 
