@@ -10,24 +10,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.session import scratch_path
+from adpulse.session import scratch_path, session_conf
 
 # A word is a run of other bytes than ASCII white space, which is also what ``bytes.split()`` does.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 # Bytes of text handled at once; bounds the memory of the array arithmetic, not the length of a text.
 SLICE_BYTES = 2_000_000
 LAST_ID = 2**63 - 1
+RELEASE_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def staged(rows: DataFrame, purpose: str) -> DataFrame:
-    """``rows`` written as a table in the shared folder and read back: lineage ends here, and what several consumers
-    read is computed once."""
+def staged(rows: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
+    """``rows`` written as a table in the shared folder and read back: lineage ends here, what several consumers read is
+    computed once, and the shuffle files that made it go at once."""
     path = scratch_path(rows.sparkSession, purpose)
-    rows.write.parquet(path)
+    with session_conf(rows.sparkSession, RELEASE_CONF):
+        rows.write.option("compression", compression).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -109,11 +111,15 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(mix((prefix[end] - prefix[start]) * back[start]) + (end - start).astype(np.uint64))
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``."""
+# For words without punctuation: all ASCII but letters and digits separates.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, separates: np.ndarray = _IS_SPACE) -> Words:
+    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``: runs of bytes that do not separate."""
     data = data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
-    inside = ~_IS_SPACE[data]
+    inside = ~separates[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     starts = inside.copy()
@@ -132,6 +138,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
         longest = int((ends - starts).max())
         np.minimum(place, longest, out=place)
         terms = _BYTE[data]
+        terms[separates[data]] = 0
         terms *= powers(_PLACE, longest + 1)[place]
         hashes = mix(np.add.reduceat(terms, starts))
     else:
@@ -147,12 +154,14 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data and len(data) else np.zeros(0, np.uint8), at
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, Words]]:
+def text_slices(
+    batch: pa.RecordBatch, column: str = "text", separates: np.ndarray = _IS_SPACE
+) -> Iterator[tuple[int, int, Words]]:
     """(from, to, words) of consecutive rows, about ``SLICE_BYTES`` at once."""
     data, offsets = text_buffer(batch.column(column))
     start, count = 0, len(offsets) - 1
     while start < count:
         end = int(np.searchsorted(offsets, offsets[start] + SLICE_BYTES, "right")) - 1
         end = min(count, max(start + 1, end))
-        yield start, end, words_of(data, offsets[start : end + 1])
+        yield start, end, words_of(data, offsets[start : end + 1], separates)
         start = end

@@ -193,6 +193,7 @@ def deduplicate_substrings(
         .where("rank_id > first_id")
         .select("row_key", "start", F.lit(1).alias("windows"))
     )
+    single = staged(single, "ends")
     removals = whole.union(single).groupBy("row_key").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, repeats array<array<int>>"
     if keep_text:
