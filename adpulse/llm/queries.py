@@ -15,6 +15,7 @@ from adpulse.llm.lines import deduplicate_lines
 from adpulse.llm.minhash import near_duplicates
 from adpulse.llm.order import manifest, write_in_training_order
 from adpulse.llm.packing import pack_documents
+from adpulse.llm.quality import fit_quality, score_quality
 from adpulse.llm.substring import deduplicate_substrings
 from adpulse.llm.toxicity import fit_toxicity, score_toxicity
 from adpulse.llm.urls import judge_urls
@@ -28,6 +29,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score_quality(docs, fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))).drop("row_key")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate_substrings(documents(spark, sf_dir), keep_text=False).drop("repeats")
 
