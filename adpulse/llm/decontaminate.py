@@ -279,6 +279,6 @@ def find_leaks(
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` without the documents in which ``find_leaks`` finds a test item. Rows without doc_id are judged like
     any other, by their text."""
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    leaks = find_leaks(keyed.select(F.col("_row").alias("doc_id"), "text"), benchmark, settings)
-    return keyed.join(leaks.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").drop("_row")
+    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    leaks = find_leaks(keyed.select(F.col("__row").alias("doc_id"), "text"), benchmark, settings)
+    return keyed.join(leaks.select(F.col("doc_id").alias("__row")).distinct(), "__row", "left_anti").drop("__row")

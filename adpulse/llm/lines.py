@@ -125,7 +125,7 @@ def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 def deduplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """All columns of ``docs`` with ``text`` freed of later copies of repeated runs of lines, and the columns
-    ``lines_before``, ``lines_removed``.
+    ``lines_before``, ``lines_removed`` (columns of these names are replaced).
 
     A run is one or more consecutive non-blank lines of a document, equal character by character, with at least
     ``min_chars`` characters (outer blanks of a line not counted). The first copy by doc_id and place stays, also where
@@ -135,15 +135,15 @@ def deduplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """
     if min_chars < 1:
         raise ValueError("min_chars must be positive")
-    names = docs.columns
-    removals = later_copies(docs, min_chars).withColumnsRenamed({"rank_id": "_rank_id", "row_key": "_row_key"})
-    keyed = docs.select(*[F.col(f"`{name}`") for name in names], rank_id().alias("_rank_id"), row_key().alias("_row_key"))
-    joined = keyed.join(removals.withColumnRenamed("removed", "_removed"), ["_rank_id", "_row_key"], "left")
-    rest = F.expr("""array_join(transform(array_except(sequence(0, size(split(text, '\n')) - 1), _removed),
+    names = [name for name in docs.columns if name not in ("lines_before", "lines_removed")]
+    removals = later_copies(docs, min_chars).withColumnsRenamed({"rank_id": "__rank_id", "row_key": "__row_key"})
+    keyed = docs.select(*[F.col(f"`{name}`") for name in names], rank_id().alias("__rank_id"), row_key().alias("__row_key"))
+    joined = keyed.join(removals.withColumnRenamed("removed", "__removed"), ["__rank_id", "__row_key"], "left")
+    rest = F.expr("""array_join(transform(array_except(sequence(0, size(split(text, '\n')) - 1), __removed),
                      i -> get(split(text, '\n'), i)), '\n')""")
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(rest)
+    text = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(rest)
     return joined.select(
         *[text.alias(name) if name == "text" else F.col(f"`{name}`") for name in names],
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("lines_before"),
-        F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("lines_removed"),
+        F.coalesce(F.size("__removed"), F.lit(0)).cast("long").alias("lines_removed"),
     )

@@ -199,6 +199,13 @@ def near_duplicates(
     entries = nodes.select("node", "node_rank", F.posexplode("bands").alias("band", "bucket"))
     crowded = entries.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     entries = staged(entries.join(crowded, ["band", "bucket"]), "buckets")
+    # The texts of all nodes that share a bucket move once, whatever the number of rounds.
+    held = staged(
+        texts.select("row_key", "text")
+        .join(entries.select(F.col("node").alias("row_key")).distinct().hint("merge"), "row_key")
+        .dropDuplicates(["row_key"]),
+        "texts",
+    )
     groups, links = None, None
     for turn in range(centres):
         order = F.col("node_rank") if turn == 0 else F.xxhash64("node", "band", F.lit(turn))
@@ -214,10 +221,6 @@ def near_duplicates(
         pairs = staged(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "pairs")
         if pairs.isEmpty():
             continue
-        needed = pairs.select(F.col("a").alias("row_key")).union(pairs.select(F.col("b").alias("row_key"))).distinct()
-        held = staged(
-            texts.select("row_key", "text").join(needed, "row_key").dropDuplicates(["row_key"]), "texts"
-        )
         compared = (
             pairs.join(held.select(F.col("row_key").alias("a"), F.col("text").alias("text_a")), "a")
             .join(held.select(F.col("row_key").alias("b"), F.col("text").alias("text_b")), "b")
@@ -256,6 +259,6 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group: its first by doc_id. Rows alike in doc_id and text leave one row."""
-    kept = near_duplicates(docs, **options).where("kept").select(F.col("row_key").alias("_row_key"))
-    keyed = docs.withColumn("_row_key", row_key())
-    return keyed.join(kept.distinct(), "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")
+    kept = near_duplicates(docs, **options).where("kept").select(F.col("row_key").alias("__row_key"))
+    keyed = docs.withColumn("__row_key", row_key())
+    return keyed.join(kept.distinct(), "__row_key", "left_semi").dropDuplicates(["__row_key"]).drop("__row_key")
