@@ -18,9 +18,11 @@ import numpy as np
 import pyarrow as pa
 
 # Characters for which normalising and lower-casing one by one is the same as in context, and \\s means the same to all.
-_WHOLE = re.compile("[\x1c-\x1fİɐ-\U0010ffff]|<\\|")
+_WHOLE = re.compile("[\x1c-\x1fİƀ-\U0010ffff]|<\\|")
+# The kinds of characters between which the tokenizer splits, for the Latin range and lower case.
+_UNIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]|[^a-zªµºß-öø-ſ0-9²³¹¼½¾]+")
 END_OF_TEXT = 1
-CACHED_PIECES = 500_000
+CACHED_PIECES = 1_500_000
 
 
 @lru_cache(maxsize=2)
@@ -35,34 +37,50 @@ class WordTokenizer:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._ids: dict[str, bytes] = {}
+        self._units: dict[str, bytes] = {}
+        self._ends_word = np.zeros(self._tokenizer.get_vocab_size(), bool)
+        for token, number in self._tokenizer.get_vocab().items():
+            self._ends_word[number] = token.endswith("</w>")
         self.vocabulary = self._tokenizer.get_vocab_size()
 
     def _encode(self, text: str) -> bytes:
         return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _encode_each(self, pieces: list[str]) -> Iterator[bytes]:
-        made = self._tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(made.ids, "<u4")
-        ends = np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(pieces)), "right")
-        start = 0
-        for end in ends.tolist():
-            yield ids[start:end].tobytes()
+    def _encode_units(self, units: list[str]) -> None:
+        """Encodes new units in one text: the last token of each is one that ends a word."""
+        ids = np.array(self._tokenizer.encode(" ".join(units), add_special_tokens=False).ids, np.int64)
+        ends = np.flatnonzero(self._ends_word[ids]) + 1
+        if len(ends) != len(units):
+            self._units.update((unit, self._encode(unit)) for unit in units)
+            return
+        data, start = ids.astype("<u4").tobytes(), 0
+        for unit, end in zip(units, (4 * ends).tolist()):
+            self._units[unit] = data[start:end]
             start = end
 
+    def _add(self, pieces: list[str]) -> None:
+        split = [_UNIT.findall(piece) for piece in pieces]
+        units = self._units
+        new = {unit for parts in split for unit in parts if unit not in units}
+        if new:
+            self._encode_units(list(new))
+        for piece, parts in zip(pieces, split):
+            self._ids[piece] = units[parts[0]] if len(parts) == 1 else b"".join(map(units.__getitem__, parts))
+
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of ``text``."""
         if _WHOLE.search(text):
             return self._encode(text)
         pieces = text.lower().split()
-        known = self._ids
-        new = [piece for piece in set(pieces) if piece not in known]
-        if new:
-            if len(known) > CACHED_PIECES:
-                known.clear()
-                new = list(set(pieces))
-            for piece, encoded in zip(new, self._encode_each(new)):
-                known[piece] = encoded
-        return b"".join(map(known.__getitem__, pieces))
+        found = list(map(self._ids.get, pieces))
+        if None in found:
+            if len(self._ids) + len(self._units) > CACHED_PIECES:
+                self._ids.clear()
+                self._units.clear()
+                found = [None] * len(pieces)
+            self._add(list({piece for piece, ids in zip(pieces, found) if ids is None}))
+            found = map(self._ids.__getitem__, pieces)
+        return b"".join(found)
 
 
 def token_pieces(path: str, size: int, by_length: bool = True, with_ids: bool = False):
