@@ -180,6 +180,9 @@ def numbered(pieces: DataFrame, *within: str) -> DataFrame:
     counts = pieces.groupBy("part", *within).agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy(*within).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("part", *within, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    if not within:
+        # One row per task that made pieces, two numbers each.
+        before = F.broadcast(before)
     return pieces.join(before, ["part", *within]).withColumn("number", F.col("before") + F.col("place")).drop("before")
 
 
