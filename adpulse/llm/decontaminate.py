@@ -12,9 +12,8 @@ the text around the passage.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,23 +30,24 @@ K1, B = 1.2, 0.75
 @dataclass(frozen=True)
 class Settings:
     # Share of an item's own BM25 score that a passage must reach.
-    threshold: float = 0.5
+    threshold: float = 0.7
+    # At least; twice the longest item of an index, so that every place of an item lies in one passage.
     passage_words: int = 128
     # The last words of an item are its answer.
     answer_words: int = 8
     shingle_words: int = 3
     question_overlap: float = 0.5
     answer_overlap: float = 0.5
-    posting_block: int = 32
+    posting_block: int = 8
 
 
 @dataclass
 class Posting:
     items: np.ndarray
     impacts: np.ndarray
-    lasts: list[int] = field(default_factory=list)
-    maxima: list[float] = field(default_factory=list)
-    top: float = 0.0
+    blocks: np.ndarray  # item ranges that hold an item of this list, and the greatest impact there
+    maxima: np.ndarray
+    top: float
 
 
 @dataclass
@@ -58,6 +58,7 @@ class Index:
     terms: list[np.ndarray]  # words of each item in order
     vocabulary: np.ndarray  # sorted
     postings: list[Posting]
+    block_items: int
     essential: np.ndarray | None = None  # by term
 
     @staticmethod
@@ -78,14 +79,11 @@ class Index:
                 rows[term].append((item, value))
         postings = []
         for row in rows:
-            posting = Posting(np.array([i for i, _ in row]), np.array([v for _, v in row]))
-            for at in range(0, len(row), settings.posting_block):
-                block = row[at : at + settings.posting_block]
-                posting.lasts.append(block[-1][0])
-                posting.maxima.append(max(v for _, v in block))
-            posting.top = max(posting.maxima)
-            postings.append(posting)
-        return Index([i for i, _ in items], terms, vocabulary, postings)
+            numbers, impacts = np.array([i for i, _ in row]), np.array([v for _, v in row])
+            at = np.unique(numbers // settings.posting_block, return_index=True)
+            maxima = np.maximum.reduceat(impacts, at[1])
+            postings.append(Posting(numbers, impacts, at[0], maxima, float(maxima.max())))
+        return Index([i for i, _ in items], terms, vocabulary, postings, settings.posting_block)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Term numbers, -1 for other words."""
@@ -111,14 +109,20 @@ class Index:
 
     def above(self, terms: Sequence[int], threshold: float) -> list[tuple[int, float]]:
         """Items whose summed impacts over ``terms`` reach the threshold, by block-max WAND."""
-        found = []
+        found: list[tuple[int, float]] = []
+        if not len(terms):
+            return found
+        own = [self.postings[term] for term in terms]
+        reach = np.bincount(np.concatenate([x.blocks for x in own]), np.concatenate([x.maxima for x in own]))
+        if reach.max() < threshold - 1e-9:
+            return found
         lists = [[int(self.postings[t].items[0]), 0, self.postings[t]] for t in terms]
         lists.sort(key=lambda x: x[0])
         while lists:
-            reach, pivot = 0.0, -1
+            top, pivot = 0.0, -1
             for at, (_, _, posting) in enumerate(lists):
-                reach += posting.top
-                if reach >= threshold - 1e-9:
+                top += posting.top
+                if top >= threshold - 1e-9:
                     pivot = at
                     break
             if pivot < 0:
@@ -126,12 +130,8 @@ class Index:
             item = lists[pivot][0]
             while pivot + 1 < len(lists) and lists[pivot + 1][0] == item:
                 pivot += 1
-            bound, ends = 0.0, []
-            for cursor in lists[: pivot + 1]:
-                block = int(np.searchsorted(cursor[2].lasts, item))
-                if block < len(cursor[2].lasts):
-                    bound += cursor[2].maxima[block]
-                    ends.append(cursor[2].lasts[block])
+            block = item // self.block_items
+            bound = float(reach[block]) if block < len(reach) else 0.0
             if bound >= threshold - 1e-9:
                 score, target = 0.0, item + 1
                 for cursor in lists[: pivot + 1]:
@@ -142,11 +142,8 @@ class Index:
                 if score >= threshold - 1e-9:
                     found.append((item, float(score)))
             else:
-                # No item up to the first end of a block, or to the next list, can do better.
-                target = min(ends, default=item) + 1
-                if pivot + 1 < len(lists):
-                    target = min(target, lists[pivot + 1][0])
-                target = max(target, item + 1)
+                # No item of this block can reach the threshold, whatever lists come in.
+                target = (block + 1) * self.block_items
             moved = []
             for cursor in lists:
                 if cursor[0] < target:
@@ -187,7 +184,8 @@ def _counted(index: Index):
 
 
 def _matches(index: Index, settings: Settings):
-    stride = max(1, settings.passage_words // 2)
+    width = max([settings.passage_words, *(2 * len(own) for own in index.terms)])
+    stride = max(1, width // 2)
 
     def leaks(words: Words, terms: np.ndarray, begin: int, end: int, hits: np.ndarray) -> dict[int, tuple]:
         """Best verified passage per item in the text of the words begin:end."""
@@ -195,7 +193,7 @@ def _matches(index: Index, settings: Settings):
         numbers = np.unique(np.concatenate([(hits - begin) // stride, (hits - begin) // stride - 1]))
         for number in numbers[numbers >= 0].tolist():
             start = begin + number * stride
-            stop = min(end, start + settings.passage_words)
+            stop = min(end, start + width)
             query = np.unique(terms[start:stop])
             for item, score in index.above(query[query >= 0].tolist(), settings.threshold):
                 if item in found and found[item][1] >= score:
