@@ -6,6 +6,8 @@ import argparse
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+from pyspark.sql import DataFrame
+
 from adpulse.config import PipelineConfig
 from adpulse.operators.parse import parse_events
 from adpulse.plans.backfill import backfill
@@ -58,9 +60,26 @@ def _parser() -> argparse.ArgumentParser:
     reports.add_argument("--minutes-back", type=float, default=0)
     reports.add_argument("--as-of", type=datetime.fromisoformat, help="default: now (UTC)")
     reports.add_argument("--campaign")
+    reports.add_argument("--output", help="write the rows to this new folder instead of printing them")
+    reports.add_argument("--output-format", choices=("parquet", "orc", "json", "csv"), default="csv")
     return parser
 
 
+def _source(args: argparse.Namespace) -> SourceConfig:
+    options = _pairs(args.source_option)
+    if args.source_format == "kafka" and args.command == "stream":
+        # The stream's defaults; what is given on the command line goes before them.
+        options = {"startingOffsets": "latest", "failOnDataLoss": "false", **options}
+    return SourceConfig(args.source_format, options, args.source_path)
+
+
+def print_rows(rows: DataFrame) -> None:
+    """Every row as a line of tab-separated values, below a line of names; one partition at a time on the driver."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
 def _time_range(args: argparse.Namespace) -> TimeRange:
     as_of = args.as_of or datetime.now(timezone.utc)
     if args.mode == "historical":
@@ -73,7 +92,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session()
     store = ResultStore(args.store, args.store_format, _pairs(args.store_option))
     if args.command == "report":
-        report(spark, store, args.name, _time_range(args), args.campaign, args.event_zone).show(truncate=False)
+        rows = report(spark, store, args.name, _time_range(args), args.campaign, args.event_zone)
+        if args.output:
+            rows.write.format(args.output_format).save(args.output)
+        else:
+            print_rows(rows)
         return
     config = PipelineConfig(
         window=args.window,
@@ -85,7 +108,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         exclude_malformed=args.exclude_malformed,
         unordered_input=args.unordered_input,
     )
-    source = SourceConfig(args.source_format, _pairs(args.source_option), args.source_path)
+    source = _source(args)
     if args.command == "backfill":
         backfill(spark, parse_events(read_batch(spark, source), config), store, config=config)
         return

@@ -22,7 +22,7 @@ def report(capsys, store, *args):
 def test_stream_then_report(spark, tmp_path, source, capsys):
     store = f"file://{tmp_path}/tables"
     main(["stream", *source, "--store", store, "--checkpoint", f"file://{tmp_path}/c", "--window", "1 minute", "--until-caught-up"])
-    assert "|campaign_1 |60 " in report(capsys, store, "top-campaigns", "--mode", "current")
+    assert "campaign_1\t60\t" in report(capsys, store, "top-campaigns", "--mode", "current")
     # 10:01 in the producers' zone, +02:00.
     assert "2026-01-09 10:01:00" in report(capsys, store, "global-series", "--mode", "current")
     assert "Pipeline may be catching up" in report(capsys, store, "health")
@@ -33,11 +33,21 @@ def test_backfill_then_report(spark, tmp_path, source, capsys):
     for _ in range(2):  # a repeated run replaces its own rows
         main(["backfill", *source, "--store", store, "--window", "10 seconds", "--distinct", "exact", "--unordered-input"])
     out = report(capsys, store, "stats")
-    assert "|traffic_metrics |7 " in out and "alerts" in out
+    assert "traffic_metrics\t7\t" in out and "alerts" in out
     out = report(capsys, store, "campaign-breakdown", "--campaign", "campaign_1", "--mode", "historical", "--minutes", "1")
     assert "10:01:00" in out and "10:01:50" in out
 
 
+def test_reports_show_and_write_every_row(spark, tmp_path, capsys):
+    records(spark, [event(s, ip=f"ip{s}", minute=m, hour=9) for m in range(53, 59) for s in range(0, 60, 10)]).write.text(f"{tmp_path}/in")
+    store = f"file://{tmp_path}/history"
+    main(["backfill", "--source-format", "text", "--source-path", f"{tmp_path}/in", "--store", store, "--window", "10 seconds"])
+    wanted = ("global-series", "--mode", "historical", "--hours-back", "0", "--minutes-back", "0")
+    assert len(report(capsys, store, *wanted).strip().split("\n")) == 1 + 36
+    report(capsys, store, *wanted, "--output", f"{tmp_path}/out", "--output-format", "parquet")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 36
+
+
 def test_wrong_arguments_are_refused(capsys):
     for args in (["report", "weather", "--store", "x"], ["stream", "--store", "x"], []):
         with pytest.raises(SystemExit):
