@@ -22,8 +22,8 @@ from adpulse.llm.common import Words, staged, text_slices
 from adpulse.llm.toxicity import bounded_labels, logistic
 
 # Bounds in rows of what is fitted on.
-MAX_LABELLED = 16_000
-MAX_POOL = 16_000
+MAX_LABELLED = 8_000
+MAX_POOL = 8_000
 ROUNDS = 4
 # Pages that a view may pass on in a round, as a share of the labelled ones, and how sure it must be.
 SHARE_PER_ROUND = 0.05
