@@ -70,7 +70,7 @@ class Index:
         vocabulary = np.unique(words.hashes)
         mean = max(1.0, len(words) / max(1, len(terms)))
         uses = [np.unique(np.searchsorted(vocabulary, own), return_counts=True) for own in terms]
-        df = np.bincount(np.concatenate([own for own, _ in uses]), minlength=len(vocabulary)) if len(vocabulary) else []
+        df = np.bincount(np.concatenate([own for own, _ in uses]), minlength=len(vocabulary)) if len(vocabulary) else np.zeros(0)
         idf = np.log(1 + (len(terms) - df + 0.5) / (np.asarray(df) + 0.5))
         rows: list[list[tuple[int, float]]] = [[] for _ in vocabulary]
         for item, (own, tf) in enumerate(uses):

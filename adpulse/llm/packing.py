@@ -22,6 +22,7 @@ from adpulse.llm.tokens import PIECE_SCHEMA, token_pieces
 
 SEQUENCE_TOKENS = 4096
 SWEEPS = 12
+SHORT_POWER = 2.0
 # Splits tried for each longest part of a three-part pattern.
 SPLITS = 12
 
@@ -49,26 +50,29 @@ def patterns(counts: np.ndarray, splits: int = SPLITS) -> list[tuple[int, ...]]:
 
 
 def fit(counts: np.ndarray, parts: list[tuple[int, ...]], sweeps: int = SWEEPS) -> np.ndarray:
-    """Non-negative repeat counts x of ``parts`` with least squared distance of their lengths from the histogram, by
-    coordinate descent: each step solves for one count with all others fixed."""
+    """Non-negative repeat counts x of ``parts`` with least weighted squared distance of their lengths from the
+    histogram, by coordinate descent: each step solves for one count with all others fixed. Short lengths weigh less,
+    as what remains of them fills gaps."""
+    size = len(counts) - 1
+    weigh = (np.arange(size + 1) / size) ** SHORT_POWER
     residual, repeats = counts.astype(float).copy(), np.zeros(len(parts))
     columns = []
     for pattern in parts:
         lengths, uses = np.unique(pattern, return_counts=True)
-        columns.append(list(zip(lengths.tolist(), uses.tolist())))
-    norms = [sum(use * use for _, use in column) for column in columns]
+        columns.append(list(zip(lengths.tolist(), uses.tolist(), (weigh[lengths] * uses).tolist())))
+    norms = [sum(use * weighed for _, use, weighed in column) for column in columns]
     left = residual.tolist()
     for _ in range(sweeps):
         moved = 0.0
         for number, column in enumerate(columns):
             step = 0.0
-            for length, use in column:
-                step += use * left[length]
+            for length, _, weighed in column:
+                step += weighed * left[length]
             step = max(step / norms[number], -repeats[number])
             if step:
                 repeats[number] += step
                 moved = max(moved, abs(step))
-                for length, use in column:
+                for length, use, _ in column:
                     left[length] -= use * step
         if moved < 0.5:
             break
