@@ -100,7 +100,9 @@ def deduplicate_exact(
     hits = rows.join(state.where("n_rows > 1"), "digest")
     first_texts = hits.where("place = first").select("digest", F.col("text").alias("first_text"))
     clashes = staged(
-        hits.join(first_texts, "digest").where("text <> first_text").select("digest").distinct(), "clashes"
+        # With its place, so that both sides of the join read one exchange of the rows.
+        hits.join(first_texts, "digest").where("place <> first and text <> first_text").select("digest").distinct(),
+        "clashes",
     )
     grouped = rows.select("doc_id", "place", "digest", sha256(F.col("text")).alias("text_sha256")).join(state, "digest")
     if not clashes.isEmpty():
