@@ -42,12 +42,6 @@ THREATS = (
     "kill kills killed hurt murder stab strangle töten umbringen erschlagen tuer tuerai frapper matar mataré golpear"
 )
 
-# Insults known without any example; all others are learned.
-INSULTS = (
-    "idiot moron stupid fool loser scum trash pathetic worthless disgusting clown dumb jerk imbecile trottel dummkopf "
-    "arschloch idiote imbécile crétin idiota estúpido imbécil"
-)
-
 INSULT, THREAT, TARGET, NEGATION, REPORT = "ITGNR"
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _CLAUSE_END = re.compile(r"[.!?;:\n]+")
@@ -188,7 +182,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     totals = {row["toxic"]: row["n"] for row in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic:
-        return Lexicon(dict.fromkeys(INSULTS.split(), 1.0), {})
+        return Lexicon({}, {})
     support = min(MIN_SUPPORT, max(3, n_toxic // 15))
     features = staged(
         sample.where("toxic = 1").select("row", "text").mapInArrow(_toxic_features, "feature string, row long"), "features"
@@ -233,7 +227,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
             need[key] -= 1
         members = {feature: rows for feature, rows in members.items() if gain[feature] >= support}
     return Lexicon(
-        dict.fromkeys(INSULTS.split(), 1.0) | {feature[1:]: weight for feature, weight in chosen.items() if feature[0] == "="},
+        {feature[1:]: weight for feature, weight in chosen.items() if feature[0] == "="},
         {feature: weight for feature, weight in chosen.items() if feature[0] != "="},
     )
 
