@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 
@@ -28,7 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--store", required=True, help="folder of the result tables")
     common.add_argument("--store-format", default="parquet")
-    common.add_argument("--store-option", action="append", default=[], metavar="KEY=VALUE")
+    common.add_argument("--store-option", action="append", default=[], metavar="KEY=VALUE", help="{table} in a value stands for the table")
     common.add_argument("--event-zone", default=PipelineConfig.event_zone)
 
     job = argparse.ArgumentParser(add_help=False)
@@ -50,7 +50,9 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--until-caught-up", action="store_true")
     stream.add_argument("--unique-events", action="store_true")
     stream.add_argument("--state-partitions", type=int, help="frozen in the checkpoint; default: the session's")
-    commands.add_parser("backfill", parents=[common, job])
+    bounded = commands.add_parser("backfill", parents=[common, job])
+    bounded.add_argument("--from-day", type=date.fromisoformat, required=True, help="first UTC day to recompute")
+    bounded.add_argument("--to-day", type=date.fromisoformat, required=True, help="first UTC day not to recompute")
 
     reports = commands.add_parser("report", parents=[common])
     reports.add_argument("name", choices=REPORTS)
@@ -110,7 +112,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     )
     source = _source(args)
     if args.command == "backfill":
-        backfill(spark, parse_events(read_batch(spark, source), config), store, config=config)
+        events = parse_events(read_batch(spark, source), config)
+        backfill(spark, events, store, args.from_day, args.to_day, config=config)
         return
     queries = start_pipeline(
         spark,

@@ -29,7 +29,6 @@ LEVEL = """CASE WHEN unique_users = 0 THEN 'UNKNOWN'
      WHEN total_hits < 4 * unique_users THEN 'SUSPICIOUS'
      WHEN total_hits < 7 * unique_users THEN 'HIGH_RISK' ELSE 'CRITICAL' END"""
 SUSPICIOUS = "(unique_users > 0 AND 2 * total_hits > 5 * unique_users)"
-CLOSED = "window_end <= (SELECT max(date_trunc('milliseconds', event_timestamp)) - INTERVAL 30 SECOND FROM ev)"
 AS_OF = "TIMESTAMP '2024-01-31 00:05:00'"
 
 
@@ -297,13 +296,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "campaign_list": sql("""SELECT DISTINCT campaign_id FROM ev
             WHERE campaign_id IS NOT NULL AND event_timestamp IS NOT NULL"""),
-        "pipeline_health": sql(
+        **dict.fromkeys(("pipeline_health", "stored_health"), sql(
             f"""SELECT coalesce(age < 300, false) AS is_healthy,
             CASE WHEN age IS NULL THEN 'No data in database' WHEN age < 60 THEN 'Pipeline healthy - data is current'
                  WHEN age < 300 THEN 'Pipeline may be catching up' ELSE 'Pipeline appears stopped or delayed' END
                  AS message, age AS staleness_seconds
             FROM (SELECT date_diff('microsecond', {NEWEST_HOUR}, {AS_OF}) / 1e6 AS age FROM ev)"""
-        ),
+        )),
         "data_age": sql(
             f"""SELECT {NEWEST_HOUR} AS latest_window,
             date_diff('microsecond', {NEWEST_HOUR}, {AS_OF}) / 1e6 AS age_seconds FROM ev"""
@@ -376,21 +375,25 @@ def oracle_sql() -> dict[str, str]:
                   FROM (SELECT is_suspicious AS p,
                         coalesce(campaign_id IN ('campaign_1', 'campaign_2', 'campaign_3'), false) AS a FROM m))""",
         ),
-        "stream_global_metrics": rolled(HOUR, "", TRAFFIC_COLUMNS, CLOSED),
-        "stream_campaign_metrics": rolled(HOUR, "campaign_id", CAMPAIGN_COLUMNS, CLOSED),
-        "stream_country_metrics": rolled(HOUR, "country", COUNTRY_COLUMNS, CLOSED),
-        "stream_quality_metrics": rolled(HOUR, "", QUALITY_COLUMNS, CLOSED),
+        "stream_global_metrics": rolled(HOUR, "", TRAFFIC_COLUMNS),
+        "stream_campaign_metrics": rolled(HOUR, "campaign_id", CAMPAIGN_COLUMNS),
+        "stream_country_metrics": rolled(HOUR, "country", COUNTRY_COLUMNS),
+        "stream_quality_metrics": rolled(HOUR, "", QUALITY_COLUMNS),
         "stream_alerts": sql(
             campaign_week,
             global_week,
-            f"""SELECT * FROM ({alerts('c', 'campaign')} UNION ALL {alerts('g', 'global')}) WHERE {CLOSED}""",
+            f"""SELECT * FROM ({alerts('c', 'campaign')} UNION ALL {alerts('g', 'global')})""",
         ),
-        "stream_unique_events": rolled(DAY, "", TRAFFIC_COLUMNS, CLOSED),
+        "stream_unique_events": rolled(DAY, "", TRAFFIC_COLUMNS),
         "stream_users_bound": rolled(
             DAY,
             "campaign_id",
             "window_start, campaign_id, total_hits, unique_users AS exact_users, true AS within_bound",
-            CLOSED,
         ),
         "stored_campaign_totals": sql(windows("m", HOUR, "campaign_id"), TOTALS),
+        **dict.fromkeys(
+            ("stored_after_two_backfills", "stored_after_new_checkpoint", "stored_stream_then_backfill"),
+            rolled(HOUR, "campaign_id", CAMPAIGN_COLUMNS),
+        ),
+        "stored_global_series": rolled(HOUR, "", SERIES, LAST_WEEK),
     }

@@ -7,7 +7,8 @@ queries of their own that check the error bound. All times are zone-free.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import date, datetime, time, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from adpulse.operators import (
 from adpulse.operators import activity, baselines, evaluation, sketches
 from adpulse.plans import TimeRange, health, views
 from adpulse.plans.backfill import backfill
+from adpulse.plans.reports import report
 from adpulse.schemas import ALERTS, CAMPAIGN, COUNTRY, QUALITY, TRAFFIC
 from adpulse.session import scratch_path, staged
 from adpulse.sources import ResultStore, json_events, typed_events
@@ -61,6 +63,7 @@ CAMPAIGN_SHOWN = "campaign_2"
 QUIET_WINDOWS, QUIET_HITS = 20, 2
 # Four standard errors of the sketches, plus rounding at small counts.
 APPROX_TOLERANCE, SKETCH_TOLERANCE, SMALL_COUNT = 0.20, 0.08, 3
+CLOSING_EVENT = '{"timestamp": "2200-01-01 00:00:00.000", "ip_address": "closing"}'
 BOT_CAMPAIGNS = ("campaign_1", "campaign_2", "campaign_3")
 
 
@@ -422,29 +425,48 @@ def _zone_free(table: DataFrame, config: PipelineConfig) -> DataFrame:
     return table.withColumns(local).drop("processed_at", "timestamp")
 
 
-def _streamed(table: str, config: PipelineConfig, **options: object) -> Query:
+def _stream_into(
+    spark: SparkSession, records: DataFrame, store: ResultStore, table: str, config: PipelineConfig, **options: object
+) -> None:
+    """Runs the job over all records under a checkpoint of its own. One more event, far in the future, lets the
+    watermark pass every window of theirs; its own window stays open."""
+    path = scratch_path(spark, "closing")
+    spark.range(1).select(F.lit(CLOSING_EVENT).alias("value")).write.text(path)
+    closing = spark.readStream.text(path).select(F.col("value").cast("binary").alias("value"))
+    drain(
+        start_pipeline(
+            spark,
+            records.unionByName(closing),
+            store,
+            scratch_path(spark, "checkpoint"),
+            tables=[table],
+            config=config,
+            until_caught_up=True,
+            state_partitions=spark.sparkContext.defaultParallelism,
+            **options,
+        )
+    )
+
+
+def _streamed(table: str, config: PipelineConfig, repeats: int = 1, **options: object) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         store = ResultStore(scratch_path(spark, "tables"))
-        drain(
-            start_pipeline(
-                spark,
-                json_event_stream(spark, sf_dir),
-                store,
-                scratch_path(spark, "checkpoint"),
-                tables=[table],
-                config=config,
-                until_caught_up=True,
-                state_partitions=spark.sparkContext.defaultParallelism,
-                **options,
-            )
-        )
+        records = reduce(DataFrame.unionByName, [json_event_stream(spark, sf_dir) for _ in range(repeats)])
+        _stream_into(spark, records, store, table, config, **options)
         return _zone_free(store.read(spark, table), config)
 
     return run
 
 
+def _event_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First day with events and the day after the last one."""
+    day = F.to_date("event_timestamp")
+    first, last = typed_events(spark, sf_dir).agg(F.min(day), F.max(day)).first()
+    return first, last + timedelta(days=1)
+
+
 def stream_users_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streamed HLL++ user counts of closed windows against the exact batch counts."""
+    """Streamed HLL++ user counts against the exact batch counts."""
     streamed = _streamed(CAMPAIGN, DAY.with_(distinct="approx"))(spark, sf_dir)
     exact = _campaigns(spark, sf_dir, DAY).select(
         "window_start", F.col("campaign_id").alias("campaign"), F.col("unique_users").alias("exact_users")
@@ -459,12 +481,59 @@ def stream_users_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_campaign_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables written by a bounded run, then a narrow, day-pruned report on one of them."""
     store = ResultStore(scratch_path(spark, "tables"))
-    backfill(spark, parse_events(json_events(spark, sf_dir), HOUR), store, [CAMPAIGN, COUNTRY, QUALITY], HOUR)
-    everything = store.read(spark, CAMPAIGN)
-    lower, _ = TimeRange.auto(AS_OF, WEEK_MINUTES, 120).bounds(everything, store.newest(spark, CAMPAIGN))
+    events = parse_events(json_events(spark, sf_dir), HOUR)
+    backfill(spark, events, store, *_event_days(spark, sf_dir), [CAMPAIGN, COUNTRY, QUALITY], HOUR)
+    newest = store.newest(spark, CAMPAIGN)
+    lower, _ = TimeRange.auto(AS_OF, WEEK_MINUTES, 120).bounds(newest, newest, "newest")
     return views.campaign_totals(store.read(spark, CAMPAIGN, since=lower))
 
 
+def stored_after_two_backfills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two intervals of days recomputed one after the other, the first of them twice."""
+    store = ResultStore(scratch_path(spark, "tables"))
+    events = parse_events(json_events(spark, sf_dir), HOUR)
+    first, end = _event_days(spark, sf_dir)
+    middle = first + (end - first) // 2
+    for since, until in ((first, middle), (middle, end), (first, middle)):
+        backfill(spark, events, store, since, until, [CAMPAIGN], HOUR)
+    return _zone_free(store.read(spark, CAMPAIGN), HOUR)
+
+
+def stored_after_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job up to noon of one day, and a job with a new checkpoint from there."""
+    store = ResultStore(scratch_path(spark, "tables"))
+    first, end = _event_days(spark, sf_dir)
+    noon = F.lit(datetime.combine(first + (end - first) // 2, time(12))).cast("timestamp_ntz")
+    for part in (F.col("ts") < noon, F.col("ts") >= noon):
+        _stream_into(spark, json_event_stream(spark, sf_dir, part), store, CAMPAIGN, HOUR)
+    return _zone_free(store.read(spark, CAMPAIGN), HOUR)
+
+
+def stored_stream_then_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events streamed, then the first half of the days recomputed over the stream's rows."""
+    store = ResultStore(scratch_path(spark, "tables"))
+    _stream_into(spark, json_event_stream(spark, sf_dir), store, CAMPAIGN, HOUR)
+    first, end = _event_days(spark, sf_dir)
+    events = parse_events(json_events(spark, sf_dir), HOUR)
+    backfill(spark, events, store, first, first + (end - first) // 2, [CAMPAIGN], HOUR)
+    return _zone_free(store.read(spark, CAMPAIGN), HOUR)
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> ResultStore:
+    store = ResultStore(scratch_path(spark, "tables"))
+    events = parse_events(json_events(spark, sf_dir), HOUR)
+    backfill(spark, events, store, *_event_days(spark, sf_dir), config=HOUR)
+    return store
+
+
+def stored_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(spark, _stored(spark, sf_dir), "health", TimeRange.auto(AS_OF))
+
+
+def stored_global_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(spark, _stored(spark, sf_dir), "global-series", LAST_WEEK, zone=HOUR.event_zone)
+
+
 def queries() -> dict[str, Query]:
     return {
         "parse_events": parsed_events,
@@ -520,7 +589,12 @@ def queries() -> dict[str, Query]:
         "stream_country_metrics": _streamed(COUNTRY, HOUR),
         "stream_quality_metrics": _streamed(QUALITY, HOUR_APPROX),
         "stream_alerts": _streamed(ALERTS, WEEK),
-        "stream_unique_events": _streamed(TRAFFIC, DAY, unique_events=True),
+        "stream_unique_events": _streamed(TRAFFIC, DAY, repeats=2, unique_events=True),
         "stream_users_bound": stream_users_bound,
         "stored_campaign_totals": stored_campaign_totals,
+        "stored_after_two_backfills": stored_after_two_backfills,
+        "stored_after_new_checkpoint": stored_after_new_checkpoint,
+        "stored_stream_then_backfill": stored_stream_then_backfill,
+        "stored_health": stored_health,
+        "stored_global_series": stored_global_series,
     }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adpulse.plans import health, views
 from adpulse.plans.ranges import TimeRange
-from adpulse.schemas import ALERTS, CAMPAIGN, COUNTRY, QUALITY, TABLES, TRAFFIC
+from adpulse.schemas import ALERTS, CAMPAIGN, COUNTRY, QUALITY, TABLES, TRAFFIC, ddl
 from adpulse.sources.store import ResultStore
 
 REPORTS = (
@@ -28,7 +28,7 @@ NEEDS_CAMPAIGN = ("campaign-series", "campaign-breakdown", "campaign-profile")
 def ranged(spark: SparkSession, store: ResultStore, table: str, time_range: TimeRange) -> DataFrame:
     """Rows of a table in a time range; automatic ranges are anchored at the newest overall window."""
     newest = store.newest(spark, TRAFFIC) if time_range.mode == "auto" else None
-    lower, upper = time_range.bounds(store.read(spark, table), newest)
+    lower, upper = time_range.bounds(spark.createDataFrame([], ddl(table)), newest)
     return store.read(spark, table, lower, upper)
 
 
@@ -67,5 +67,5 @@ def report(
     if name == "quality":
         return views.quality_summary(rows(QUALITY))
     if name == "health":
-        return health.pipeline_health(store.read(spark, TRAFFIC), time_range.as_of)
+        return health.pipeline_health(store.newest(spark, TRAFFIC).withColumnRenamed("newest", "window_start"), time_range.as_of)
     return health.table_stats({table: store.read(spark, table) for table in TABLES})

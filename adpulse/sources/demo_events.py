@@ -79,10 +79,10 @@ def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_rows(_table(spark, sf_dir, None))
 
 
-def json_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def json_event_stream(spark: SparkSession, sf_dir: str, condition: Column | None = None) -> DataFrame:
     """Streaming twin of :func:`json_events`. The glob lets the table be one file or a directory of files."""
     rows = spark.readStream.schema(EVENTS_DDL).parquet(f"{sf_dir}/event[s].parquet")
-    return encode_rows(rows)
+    return encode_rows(rows if condition is None else rows.where(condition))
 
 
 def encode_rows(rows: DataFrame) -> DataFrame:

@@ -1,7 +1,13 @@
-"""Result tables at rest: Parquet (or any file format) partitioned by day and writing batch.
+"""Result tables at rest: Parquet (or any file format) by day, writer and batch.
 
-Layout ``<base>/<table>/window_date=<day>/batch_id=<n>/``. A replayed batch overwrites exactly its own
-directories, so retries after a crash never duplicate rows; a time bound prunes days before any file is opened.
+Layout ``<base>/<table>/kind=<live|history|cleared>/window_date=<day>/writer=<id>/batch_id=<n>/``.
+
+* ``live`` holds what streams wrote. A replayed batch overwrites exactly its own directories, so retries never
+  duplicate rows, and a job with a new checkpoint is another writer, so it never replaces an older job's rows.
+* ``history`` holds recomputed days. A day in ``history`` stands for the whole day: live rows of it are not read.
+  ``cleared`` marks recomputed days without rows.
+
+Days are read from directory names first, so a time bound limits the directories that are listed at all.
 """
 
 from __future__ import annotations
@@ -9,23 +15,26 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adpulse.functions.time import calendar_day, wall_clock
 from adpulse.schemas import TABLE_COLUMNS, TABLE_KEYS, TABLES, ddl
+from adpulse.sources import folders
 
-DAY, BATCH = "window_date", "batch_id"
+KIND, DAY, WRITER, BATCH = "kind", "window_date", "writer", "batch_id"
+LIVE, HISTORY, CLEARED = "live", "history", "cleared"
 FILE_FORMATS = ("parquet", "orc", "json", "csv")
-BACKFILL_BATCH = -1
+TABLE_MARK = "{table}"
 
 
 @dataclass(frozen=True)
 class ResultStore:
     """``base`` is a folder every executor reaches. For a non-file ``format`` (a document store, JDBC, ...) rows
-    are appended with ``options`` plus the per-table ``table_options``; give these an upsert key to keep replays
-    idempotent (``schemas.TABLE_KEYS``)."""
+    are appended with ``options``, where ``{table}`` stands for the table's name, plus the per-table
+    ``table_options``; give these an upsert key to keep replays idempotent (``schemas.TABLE_KEYS``)."""
 
     base: str
     format: str = "parquet"
@@ -42,42 +51,80 @@ class ResultStore:
             raise ValueError(f"unknown table {table!r}; have {', '.join(TABLES)}")
         return f"{self.base.rstrip('/')}/{table}"
 
+    def options_of(self, table: str) -> dict[str, str]:
+        """Options of a table in a non-file store, which must name a target of its own."""
+        if table not in self.table_options and not any(TABLE_MARK in value for value in self.options.values()):
+            raise ValueError(f"no target for table {table}: give an option whose value contains {TABLE_MARK}")
+        named = {key: value.replace(TABLE_MARK, table) for key, value in self.options.items()}
+        return {**named, **self.table_options.get(table, {})}
+
     # -- writing ---------------------------------------------------------------------------------------------
 
     def create(self, spark: SparkSession, tables: Iterable[str] = TABLES) -> None:
-        """Makes empty tables readable; existing rows stay."""
-        if self.on_files:
-            for table in tables:
-                empty = spark.createDataFrame([], self._file_schema(table))
-                empty.write.format(self.format).mode("append").partitionBy(DAY, BATCH).save(self.path(table))
-
-    def write(self, table: str, rows: DataFrame, batch_id: int, row_count: int | None = None) -> None:
-        """Idempotent write of one batch. A known ``row_count`` sizes the files; otherwise each day goes to one file,
-        unless adaptive execution finds a day too large for that and splits it."""
-        shaped = rows.select(*TABLE_COLUMNS[table])
+        """Makes empty tables readable, or checks that each has a target; existing rows stay."""
+        for table in tables:
+            if self.on_files:
+                folders.create(spark, self.path(table))
+            else:
+                self.options_of(table)
+
+    def write(
+        self, table: str, rows: DataFrame, batch_id: int, row_count: int | None = None, writer: str = "direct"
+    ) -> None:
+        """Idempotent write of one batch of one writer. A known ``row_count`` sizes the files; otherwise each day goes
+        to one file, unless adaptive execution finds a day too large for that and splits it."""
         if not self.on_files:
-            extra = {**self.options, **self.table_options.get(table, {})}
-            shaped.write.format(self.format).mode("append").options(**extra).save()
+            self._append(table, rows)
             return
-        placed = shaped.withColumn(DAY, calendar_day(shaped)).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        placed = self._placed(table, rows, LIVE, writer, batch_id)
         if row_count is None:
             placed = placed.hint("rebalance", DAY)
         else:
             # A streaming batch arrives in one sliver per state partition (and without adaptive execution).
             placed = placed.repartition(max(1, math.ceil(row_count / self.rows_per_file)))
+        self._overwrite(table, placed)
+
+    def replace_days(self, table: str, rows: DataFrame, since: date, until: date) -> None:
+        """Makes ``rows`` all there is of the days from ``since`` up to, not including, ``until`` (days of
+        ``window_start`` in UTC), whoever wrote them before. ``rows`` of other days are left out. A run that fails
+        half-way is repaired by running it again. A non-file store only gets the rows, for its upsert key to place."""
+        day = F.col(DAY)
+        placed = self._placed(table, rows, HISTORY, "backfill", 0).where((day >= F.lit(since)) & (day < F.lit(until)))
+        if not self.on_files:
+            self._append(table, placed)
+            return
+        spark = rows.sparkSession
+        self.create(spark, [table])
+        # At most one row per day.
+        filled = {row[0] for row in placed.select(DAY).distinct().collect()}
+        self._overwrite(table, placed.hint("rebalance", DAY))
+        history, cleared = (self._days(spark, table, kind) for kind in (HISTORY, CLEARED))
+        for current in (since + timedelta(days=n) for n in range((until - since).days)):
+            if current not in filled:
+                folders.mark(spark, self._day_path(table, CLEARED, current))
+                if current in history:
+                    folders.remove(spark, self._day_path(table, HISTORY, current))
+            elif current in cleared:
+                folders.remove(spark, self._day_path(table, CLEARED, current))
+
+    def _placed(self, table: str, rows: DataFrame, kind: str, writer: str, batch_id: int) -> DataFrame:
+        shaped = rows.select(*TABLE_COLUMNS[table])
+        place = {KIND: F.lit(kind), DAY: calendar_day(shaped), WRITER: F.lit(writer), BATCH: F.lit(batch_id).cast("bigint")}
+        return shaped.withColumns(place)
+
+    def _overwrite(self, table: str, placed: DataFrame) -> None:
         (
             placed.write.format(self.format)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .options(**self.options)
-            .partitionBy(DAY, BATCH)
+            .partitionBy(KIND, DAY, WRITER, BATCH)
             .save(self.path(table))
         )
 
-    def write_all(self, tables: dict[str, DataFrame], batch_id: int = BACKFILL_BATCH) -> None:
-        """Write of a bounded recomputation."""
-        for table, rows in tables.items():
-            self.write(table, rows, batch_id)
+    def _append(self, table: str, rows: DataFrame) -> None:
+        shaped = rows.select(*TABLE_COLUMNS[table])
+        shaped.write.format(self.format).mode("append").options(**self.options_of(table)).save()
 
     # -- reading ---------------------------------------------------------------------------------------------
 
@@ -89,36 +136,62 @@ class ResultStore:
         until: Column | None = None,
         with_batch: bool = False,
     ) -> DataFrame:
-        """Table rows with ``since <= window_start <= until``. The bounds also go to the day partition column."""
+        """Table rows with ``since <= window_start <= until``. The bounds are evaluated once, here, and decide which
+        days are listed. Rows written later need a new read."""
         columns = list(TABLE_COLUMNS[table])
         if not self.on_files:
-            extra = {**self.options, **self.table_options.get(table, {})}
-            return _bounded(spark.read.format(self.format).options(**extra).load(), since, until).select(columns)
-        rows = self._files(spark, table)
-        if since is not None:
-            rows = rows.where(F.col(DAY) >= F.to_date(wall_clock(since, "UTC")))
-        if until is not None:
-            rows = rows.where(F.col(DAY) <= F.to_date(wall_clock(until, "UTC")))
-        return _bounded(rows, since, until).select(columns + ([BATCH] if with_batch else []))
+            stored = spark.read.format(self.format).options(**self.options_of(table)).load()
+            return _bounded(stored, since, until).select(columns)
+        bounds = {name: bound for name, bound in (("since", since), ("until", until)) if bound is not None}
+        days = self._readable(spark, table)
+        if bounds:
+            instants = spark.range(1).select(*(F.unix_micros(bound).alias(name) for name, bound in bounds.items()))
+            utc = (F.to_date(wall_clock(F.timestamp_micros(name), "UTC")).alias(f"{name}_day") for name in bounds)
+            found = instants.select("*", *utc).first().asDict()
+            first, last = found.get("since_day", date.min), found.get("until_day", date.max)
+            # A bound without a value holds for no row.
+            days = {} if None in found.values() else {day: kind for day, kind in days.items() if first <= day <= last}
+            since, until = (
+                F.timestamp_micros(F.lit(found[name]).cast("bigint")) if name in bounds else None
+                for name in ("since", "until")
+            )
+        return _bounded(self._files(spark, table, days), since, until).select(columns + ([BATCH] if with_batch else []))
 
     def newest(self, spark: SparkSession, table: str) -> DataFrame:
-        """One row with the newest ``window_start``, reading the newest day only."""
-        rows = self.read(spark, table)
+        """One row with the newest ``window_start``; of files, only those of the newest day are listed and read."""
         if self.on_files:
-            rows = self._files(spark, table)
-            rows = rows.where(F.col(DAY) == rows.agg(F.max(DAY)).scalar())
+            days = self._readable(spark, table)
+            rows = self._files(spark, table, {day: days[day] for day in [max(days)]} if days else {})
+        else:
+            rows = self.read(spark, table)
         return rows.agg(F.max("window_start").alias("newest"))
 
-    def _file_schema(self, table: str) -> str:
-        return f"{ddl(table)}, {DAY} date, {BATCH} bigint"
-
-    def _files(self, spark: SparkSession, table: str) -> DataFrame:
-        reader = spark.read.format(self.format).schema(self._file_schema(table)).options(**self.options)
-        return reader.load(self.path(table))
+    def _day_path(self, table: str, kind: str, day: date) -> str:
+        return f"{self.path(table)}/{KIND}={kind}/{DAY}={day}"
+
+    def _days(self, spark: SparkSession, table: str, kind: str) -> set[date]:
+        names = folders.children(spark, f"{self.path(table)}/{KIND}={kind}")
+        return {date.fromisoformat(name.removeprefix(f"{DAY}=")) for name in names if name.startswith(f"{DAY}=")}
+
+    def _readable(self, spark: SparkSession, table: str) -> dict[date, str]:
+        """The days that have rows, and the kind of rows that counts for each."""
+        if not folders.exists(spark, self.path(table)):
+            raise FileNotFoundError(f"no table at {self.path(table)}")
+        history, cleared = (self._days(spark, table, kind) for kind in (HISTORY, CLEARED))
+        live = self._days(spark, table, LIVE) - history - cleared
+        return {**dict.fromkeys(live, LIVE), **dict.fromkeys(history, HISTORY)}
+
+    def _files(self, spark: SparkSession, table: str, days: dict[date, str]) -> DataFrame:
+        schema = f"{ddl(table)}, {KIND} string, {DAY} date, {WRITER} string, {BATCH} bigint"
+        if not days:
+            return spark.createDataFrame([], schema)
+        reader = spark.read.format(self.format).schema(schema).options(**self.options)
+        paths = [self._day_path(table, kind, day) for day, kind in sorted(days.items())]
+        return reader.option("basePath", self.path(table)).load(paths)
 
     def current(self, spark: SparkSession, table: str, **bounds: Column) -> DataFrame:
         """One row per key: its newest version. Needed after update or complete output, where a window is written
-        again whenever it changes."""
+        again whenever it changes (by one writer: batches of different writers have no order)."""
         rows = self.read(spark, table, with_batch=True, **bounds)
         keys = list(TABLE_KEYS[table])
         values = [name for name in TABLE_COLUMNS[table] if name not in keys]

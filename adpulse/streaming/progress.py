@@ -1,19 +1,25 @@
-"""Figures about running queries, from Spark's own progress reports."""
+"""Figures about running queries, from Spark's own progress reports.
+
+Spark keeps the last reports of a query only; :class:`StreamTotals` adds up all of them."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from threading import Lock
 from typing import Any
 
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 @dataclass(frozen=True)
 class StreamFigures:
+    """``late_groups_dropped`` counts what Spark counts: late events are combined per window and key of each grain
+    first, so one late event is one group per grain, and many of the same window and key in one task are one."""
+
     batches: int
     input_rows: int
-    late_rows_dropped: int
+    late_groups_dropped: int
     state_rows: int
     input_rows_per_second: float
     processed_rows_per_second: float
@@ -33,8 +39,45 @@ def summarise(progress: Iterable[Any]) -> StreamFigures:
     return StreamFigures(
         batches=len(reports),
         input_rows=sum(report["numInputRows"] for report in reports),
-        late_rows_dropped=sum(operator["numRowsDroppedByWatermark"] for operator in operators),
+        late_groups_dropped=sum(operator["numRowsDroppedByWatermark"] for operator in operators),
         state_rows=sum(operator["numRowsTotal"] for operator in last),
         input_rows_per_second=newest["inputRowsPerSecond"] if newest else 0.0,
         processed_rows_per_second=newest["processedRowsPerSecond"] if newest else 0.0,
     )
+
+
+@dataclass(frozen=True)
+class Totals:
+    batches: int = 0
+    input_rows: int = 0
+    late_groups_dropped: int = 0
+
+
+class StreamTotals(StreamingQueryListener):
+    """Totals per query since the listener was added with ``spark.streams.addListener``."""
+
+    def __init__(self) -> None:
+        self._totals: dict[str, Totals] = {}
+        self._lock = Lock()
+
+    def of(self, query: StreamingQuery) -> Totals:
+        with self._lock:
+            return self._totals.get(str(query.id), Totals())
+
+    def onQueryStarted(self, event: Any) -> None:
+        pass
+
+    def onQueryProgress(self, event: Any) -> None:
+        report = event.progress
+        late = sum(operator.numRowsDroppedByWatermark for operator in report.stateOperators)
+        with self._lock:
+            so_far = self._totals.get(str(report.id), Totals())
+            self._totals[str(report.id)] = Totals(
+                so_far.batches + 1, so_far.input_rows + report.numInputRows, so_far.late_groups_dropped + late
+            )
+
+    def onQueryIdle(self, event: Any) -> None:
+        pass
+
+    def onQueryTerminated(self, event: Any) -> None:
+        pass

@@ -15,18 +15,22 @@ from adpulse.operators.tables import derive
 from adpulse.schemas import ALERTS, TABLE_GRAINS
 from adpulse.sources.store import ResultStore
 
+# Where Spark tells the jobs of a streaming query which query they belong to.
+QUERY_ID = "sql.streaming.queryId"
+
 
 @dataclass(frozen=True)
 class TableSink:
     """``foreachBatch`` function. A batch is computed once, however many tables it feeds, and a batch that closes
-    no window writes nothing. Writes are idempotent per batch id, so a replay after a failure between two tables
-    ends in the same rows."""
+    no window writes nothing. Writes are idempotent per query and batch, so a replay after a failure between two
+    tables ends in the same rows; the query's id comes from its checkpoint and survives restarts."""
 
     store: ResultStore
     tables: Sequence[str]
     config: PipelineConfig = DEFAULT
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        writer = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "direct"
         batch.persist()
         try:
             sizes = self._sizes(batch)
@@ -37,14 +41,14 @@ class TableSink:
             # The tables are independent Spark jobs; submitted together, their commit times overlap.
             write = inheritable_thread_target(batch.sparkSession)(self._write)
             with ThreadPoolExecutor(len(filled)) as pool:
-                jobs = [pool.submit(write, batch, batch_id, table, counts[table]) for table in filled]
+                jobs = [pool.submit(write, batch, batch_id, table, counts[table], writer) for table in filled]
             for job in jobs:
                 job.result()
         finally:
             batch.unpersist()
 
-    def _write(self, batch: DataFrame, batch_id: int, table: str, count: int) -> None:
-        self.store.write(table, derive(batch, table, self.config), batch_id, count)
+    def _write(self, batch: DataFrame, batch_id: int, table: str, count: int, writer: str) -> None:
+        self.store.write(table, derive(batch, table, self.config), batch_id, count, writer)
 
     def _count(self, table: str, sizes: dict[str, int]) -> int:
         if table == ALERTS:

@@ -2,8 +2,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 import compare
+from adpulse import catalog
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+# Optional parts are registered as well, but have their own tests.
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +17,7 @@ def database():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -4,6 +4,7 @@ from adpulse.__main__ import main
 from conftest import event, records
 
 CLOSING = [event(0, hour=12)]
+DAYS = ["--from-day", "2026-01-09", "--to-day", "2026-01-10"]
 
 
 @pytest.fixture
@@ -31,7 +32,7 @@ def test_stream_then_report(spark, tmp_path, source, capsys):
 def test_backfill_then_report(spark, tmp_path, source, capsys):
     store = f"file://{tmp_path}/history"
     for _ in range(2):  # a repeated run replaces its own rows
-        main(["backfill", *source, "--store", store, "--window", "10 seconds", "--distinct", "exact", "--unordered-input"])
+        main(["backfill", *source, "--store", store, "--window", "10 seconds", "--distinct", "exact", "--unordered-input", *DAYS])
     out = report(capsys, store, "stats")
     assert "traffic_metrics\t7\t" in out and "alerts" in out
     out = report(capsys, store, "campaign-breakdown", "--campaign", "campaign_1", "--mode", "historical", "--minutes", "1")
@@ -41,7 +42,7 @@ def test_backfill_then_report(spark, tmp_path, source, capsys):
 def test_reports_show_and_write_every_row(spark, tmp_path, capsys):
     records(spark, [event(s, ip=f"ip{s}", minute=m, hour=9) for m in range(53, 59) for s in range(0, 60, 10)]).write.text(f"{tmp_path}/in")
     store = f"file://{tmp_path}/history"
-    main(["backfill", "--source-format", "text", "--source-path", f"{tmp_path}/in", "--store", store, "--window", "10 seconds"])
+    main(["backfill", "--source-format", "text", "--source-path", f"{tmp_path}/in", "--store", store, "--window", "10 seconds", *DAYS])
     wanted = ("global-series", "--mode", "historical", "--hours-back", "0", "--minutes-back", "0")
     assert len(report(capsys, store, *wanted).strip().split("\n")) == 1 + 36
     report(capsys, store, *wanted, "--output", f"{tmp_path}/out", "--output-format", "parquet")

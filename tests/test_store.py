@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +14,8 @@ from adpulse.sources import ResultStore, SourceConfig, json_events, read_batch
 from conftest import event, plan_text, records
 
 CONFIG = PipelineConfig(window="1 hour", event_zone="+00:00")
+MONTH = date(2024, 1, 1), date(2024, 2, 1)
+DAY = date(2026, 1, 9)
 
 
 @pytest.fixture
@@ -56,7 +58,7 @@ def test_tables_keep_their_columns_and_start_empty(spark, store):
 @pytest.fixture(scope="module")
 def filled(spark, sf_dir_module, tmp_path_factory):
     store = ResultStore(f"file://{tmp_path_factory.mktemp('store')}/tables")
-    backfill(spark, parse_events(json_events(spark, sf_dir_module), CONFIG), store, config=CONFIG)
+    backfill(spark, parse_events(json_events(spark, sf_dir_module), CONFIG), store, *MONTH, config=CONFIG)
     return store
 
 
@@ -80,14 +82,70 @@ def test_a_time_bound_prunes_days(spark, filled):
     until = F.lit("2024-01-30 02:00:00+00:00").cast("timestamp")
     pruned = filled.read(spark, TRAFFIC, since, until)
     everything = filled.read(spark, TRAFFIC)
-    assert "window_date#" in plan_text(pruned).split("PartitionFilters: [")[1].split("]")[0]
-    assert len(pruned.inputFiles()) == len(everything.inputFiles())  # listed, but only two days are opened:
-    names = pruned.select(F.input_file_name().alias("f")).distinct().collect()
-    assert {r["f"].split("window_date=")[1][:10] for r in names} == {"2024-01-29", "2024-01-30"}
+    assert "GreaterThanOrEqual(window_start" in plan_text(pruned).split("PushedFilters: [")[1].split("]")[0]
+    assert days_of(pruned) == {"2024-01-29", "2024-01-30"}
+    assert len(days_of(everything)) > 20
+    assert len(days_of(report(spark, filled, "global-series", TimeRange.current(datetime(2024, 1, 31), 1500)))) == 2
     expected = everything.where((F.col("window_start") >= since) & (F.col("window_start") <= until))
     assert pruned.count() == expected.count() > 0
 
 
+def days_of(rows):
+    """Days whose files are listed for ``rows``."""
+    return {name.split("window_date=")[1][:10] for name in rows.inputFiles()}
+
+
+def hits(spark, store):
+    return sorted(r["total_hits"] for r in store.read(spark, TRAFFIC).collect())
+
+
+def parsed(spark, *lines):
+    return parse_events(records(spark, list(lines)), CONFIG)
+
+
+def on(day, count=1):
+    return [event(s, timestamp=f"{day} 10:00:00.{s:03d}") for s in range(count)]
+
+
+def test_backfills_replace_their_days_only(spark, store):
+    after = DAY + timedelta(days=1)
+    backfill(spark, parsed(spark, *on(DAY, 2)), store, DAY, after, [TRAFFIC], CONFIG)
+    backfill(spark, parsed(spark, *on(DAY, 5), *on(after, 3)), store, after, after + timedelta(days=1), [TRAFFIC], CONFIG)
+    assert hits(spark, store) == [2, 3]
+    for _ in range(2):
+        backfill(spark, parsed(spark, *on(DAY, 4)), store, DAY, after, [TRAFFIC], CONFIG)
+        assert hits(spark, store) == [3, 4]
+
+
+def test_a_backfill_replaces_the_rows_of_streams(spark, store):
+    for writer, count in (("a", 1), ("b", 2)):
+        rows = scored_rollup(parsed(spark, *on(DAY, count)), config=CONFIG).withColumn("processed_at", F.current_timestamp())
+        store.write(TRAFFIC, derive(rows, TRAFFIC), 0, 1, writer)
+    assert hits(spark, store) == [1, 2]  # two jobs, both with a batch 0
+    interval = DAY, DAY + timedelta(days=1)
+    backfill(spark, parsed(spark, *on(DAY, 3)), store, *interval, [TRAFFIC], CONFIG)
+    assert hits(spark, store) == [3]
+    # A recomputed day without rows is empty, and stays replaceable.
+    backfill(spark, parsed(spark, "nope"), store, *interval, [TRAFFIC], CONFIG)
+    assert hits(spark, store) == [] and store.newest(spark, TRAFFIC).first()[0] is None
+    backfill(spark, parsed(spark, *on(DAY, 6)), store, *interval, [TRAFFIC], CONFIG)
+    assert hits(spark, store) == [6] and store.newest(spark, TRAFFIC).first()[0] is not None
+
+
+def test_only_whole_days_that_are_over_are_recomputed(spark, store):
+    events, today = parsed(spark, event(1)), datetime.now().date()
+    for since, until in (
+        (DAY, DAY), (today, today + timedelta(days=2)), (datetime(2026, 1, 9, 10), datetime(2026, 1, 9, 11)), ("2026-01-09", DAY),
+    ):
+        with pytest.raises(ValueError):
+            backfill(spark, events, store, since, until, [TRAFFIC], CONFIG)
+
+
+def test_a_table_that_was_never_made_is_an_error(spark, store):
+    with pytest.raises(FileNotFoundError):
+        store.read(spark, TRAFFIC)
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
 def test_days_do_not_depend_on_the_session_zone(spark, filled, zone):
     with session_conf(spark, {"spark.sql.session.timeZone": zone}):

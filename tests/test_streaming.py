@@ -1,4 +1,3 @@
-import json
 import os
 import time
 
@@ -12,7 +11,7 @@ from adpulse.schemas import ALERTS, CAMPAIGN, COUNTRY, QUALITY, TABLE_COLUMNS, T
 from adpulse.sources import ResultStore, SourceConfig, read_stream
 from adpulse.streaming import TableSink, start_pipeline, streaming_rollup
 from adpulse.streaming.pipeline import drain
-from adpulse.streaming.progress import summarise
+from adpulse.streaming.progress import StreamTotals, summarise
 from conftest import event, records
 
 CONFIG = PipelineConfig(event_zone="+00:00")
@@ -83,7 +82,7 @@ def test_windows_are_emitted_once_after_the_watermark_passes(spark, tmp_path):
         (0, "GLOBAL", "GLOBAL_RATIO_SPIKE", "MEDIUM"), (0, "campaign_1", "RATIO_SPIKE", "HIGH"),
     ]
     found = summarise(queries[0].recentProgress)
-    assert found.input_rows == 12 and found.late_rows_dropped == 0
+    assert found.input_rows == 12 and found.late_groups_dropped == 0
     stamps = job.store.read(spark, ALERTS).select("timestamp", "processed_at").distinct().collect()
     assert len(stamps) == 1 and stamps[0][0] == stamps[0][1]
 
@@ -95,7 +94,7 @@ def test_late_events_are_dropped_and_alerts_follow(spark, tmp_path):
     )
     job = Job(spark, tmp_path, tables=[CAMPAIGN, ALERTS])
     (query,) = job.run(feed)
-    assert summarise(query.recentProgress).late_rows_dropped == 2  # one per grain
+    assert summarise(query.recentProgress).late_groups_dropped == 2  # one per grain
     texts = [r["message"] for r in job.store.read(spark, ALERTS).where("alert_type = 'RATIO_SPIKE'").collect()]
     assert texts == ["Bot attack on k - Ratio: 5.0 | Severity: HIGH_RISK"]
     assert (10, "campaign_1", 1) in [r[1:] for r in job.rows(CAMPAIGN, "campaign_id", "total_hits")]
@@ -152,12 +151,12 @@ def test_restart_continues_without_loss_or_repetition(spark, tmp_path):
 class FailingStore(ResultStore):
     """Fails once, after one table of the batch was written."""
 
-    def write(self, table, rows, batch_id, row_count=None):
+    def write(self, table, rows, batch_id, row_count=None, writer="direct"):
         if table == CAMPAIGN and not os.path.exists(marker := f"{self.base[7:]}/failed"):
             time.sleep(2)
             with open(marker, "w"):
                 raise OSError("lost the connection")
-        super().write(table, rows, batch_id, row_count)
+        super().write(table, rows, batch_id, row_count, writer)
 
 
 def test_a_failure_between_two_tables_is_repaired_by_the_replay(spark, tmp_path):
@@ -212,8 +211,64 @@ def test_sql_over_the_streamed_events(spark, tmp_path):
     assert [r["n"] for r in spark.table("counted").collect()] == [2]
 
 
-def test_other_sinks_get_their_options(spark, tmp_path):
-    store = ResultStore("unused", "noop", {"database": "ads"}, {TRAFFIC: {"collection": TRAFFIC}})
-    scored = streaming_rollup(records(spark, [event(1)]), config=CONFIG)
-    TableSink(store, [TRAFFIC], CONFIG)(scored, 0)
-    assert not store.on_files and json.dumps(store.table_options)
+def test_other_stores_keep_tables_apart(spark, tmp_path):
+    # By its class name, a file format goes through the branch of all stores that are not known to be files.
+    format = "org.apache.spark.sql.execution.datasources.parquet.ParquetFileFormat"
+    store = ResultStore("unused", format, {"path": f"file://{tmp_path}/{{table}}"}, {ALERTS: {"path": f"file://{tmp_path}/elsewhere"}})
+    assert not store.on_files
+    scored = streaming_rollup(records(spark, [event(s) for s in range(3)]), config=CONFIG)
+    TableSink(store, TABLES, CONFIG)(scored, 0)
+    for table, rows in ((TRAFFIC, 1), (CAMPAIGN, 1), (QUALITY, 1), (ALERTS, 2)):
+        assert store.read(spark, table).count() == rows
+        assert store.read(spark, table).columns == list(TABLE_COLUMNS[table])
+    assert spark.read.parquet(f"{tmp_path}/elsewhere").count() == 2
+    with pytest.raises(ValueError, match="no target"):
+        Job(spark, tmp_path, tables=[TRAFFIC]).store.__class__("unused", format, {"path": "one"}).create(spark)
+
+
+def test_a_new_checkpoint_adds_to_the_rows_of_the_old_one(spark, tmp_path):
+    old, new = (tmp_path / name for name in ("old", "new"))
+    for folder in (old, new):
+        folder.mkdir()
+    first = Job(spark, old, tables=[TRAFFIC])
+    first.run(Feed(old).add([event(s) for s in range(1, 7)], CLOSING))
+    second = Job(spark, new, tables=[TRAFFIC])
+    second.store = first.store
+    second.run(Feed(new).add([event(s, minute=30) for s in range(1, 5)], CLOSING))
+    assert sorted(r["total_hits"] for r in first.store.read(spark, TRAFFIC).collect()) == [4, 6]
+
+
+def test_totals_cover_more_batches_than_spark_keeps(spark, tmp_path):
+    totals, count = StreamTotals(), 105
+    spark.streams.addListener(totals)
+    try:
+        rows = Feed(tmp_path).add(*([event(n % 60)] for n in range(count))).stream(spark)
+        writer = rows.writeStream.format("noop").option("checkpointLocation", f"file://{tmp_path}/c")
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert summarise(query.recentProgress).input_rows <= 100
+        for _ in range(100):  # reports arrive on another thread
+            if totals.of(query).batches >= count:
+                break
+            time.sleep(0.1)
+        assert totals.of(query).input_rows == count
+    finally:
+        spark.streams.removeListener(totals)
+
+
+def test_processing_time_trigger_and_another_zone(spark, tmp_path):
+    feed = Feed(tmp_path).add([event(1), event(2)], CLOSING, [event(1, hour=13)])
+    store = ResultStore(f"file://{tmp_path}/tables")
+    config = PipelineConfig(event_zone="+02:00", trigger="100 milliseconds")
+    (query,) = start_pipeline(
+        spark, feed.stream(spark), store, f"file://{tmp_path}/checkpoint", [TRAFFIC], config, state_partitions=1
+    )
+    try:
+        for _ in range(300):
+            if store.read(spark, TRAFFIC).count() >= 2:
+                break
+            time.sleep(0.1)
+    finally:
+        query.stop()
+    found = store.read(spark, TRAFFIC).selectExpr("unix_seconds(window_start) % 86400 AS s", "total_hits").orderBy("s").collect()
+    assert [tuple(r) for r in found] == [(8 * 3600, 2), (10 * 3600, 1)]
