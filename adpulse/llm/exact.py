@@ -17,6 +17,8 @@ from adpulse.llm.common import LAST_ID, rank_id, staged
 from adpulse.session import STREAM_CONF, scratch_path, session_conf
 
 FILES_PER_BATCH = 1000
+# Each state partition is a database of its own; by default it reserves megabytes of disk however little it holds.
+STATE_CONF = {**STREAM_CONF, "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def normalised(text: Column) -> Column:
@@ -62,7 +64,7 @@ def digest_state(
         .groupBy("digest")
         .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n_rows"))
     )
-    with session_conf(spark, STREAM_CONF):
+    with session_conf(spark, STATE_CONF):
         query = (
             state.writeStream.outputMode("update")
             .foreachBatch(write)
