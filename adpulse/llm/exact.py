@@ -2,8 +2,8 @@
 
 The table is read as a stream. The state (RocksDB, on disk, without expiry) holds for each digest of a normalised text
 the first row so far, by id, with its locator (file and row in it), and how many rows had it; it goes on across
-micro-batches and restarts. What the state says afterwards is checked: every row that hit a digest is compared, byte by
-byte, with the row that stays. Rows of a digest whose texts differ are grouped again by their texts.
+micro-batches and restarts. What the state says afterwards is checked: the texts of a digest are compared byte by byte.
+Rows of a digest whose texts differ are grouped again by their texts.
 """
 
 from __future__ import annotations
@@ -99,13 +99,9 @@ def deduplicate_exact(
     """
     state = staged(digest_state(spark, path, digest, files_per_batch), "digests")
     rows = _rows(spark.read.parquet(path), digest)
-    hits = rows.join(state.where("n_rows > 1"), "digest")
-    first_texts = hits.where("place = first").select("digest", F.col("text").alias("first_text"))
-    clashes = staged(
-        # With its place, so that both sides of the join read one exchange of the rows.
-        hits.join(first_texts, "digest").where("place <> first and text <> first_text").select("digest").distinct(),
-        "clashes",
-    )
+    # Texts are compared byte by byte as grouping keys, so copies are combined before they are shuffled.
+    texts = rows.groupBy("digest", "text").agg(F.count(F.lit(1)).alias("n_rows"))
+    clashes = staged(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("n_texts")).where("n_texts > 1").select("digest"), "clashes")
     grouped = rows.select("doc_id", "place", "digest", sha256(F.col("text")).alias("text_sha256")).join(state, "digest")
     if not clashes.isEmpty():
         own = rows.join(clashes, "digest", "left_semi")
