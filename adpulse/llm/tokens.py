@@ -25,6 +25,14 @@ END_OF_TEXT = 1
 CACHED_PIECES = 1_500_000
 
 
+def _goes_whole(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _WHOLE.search(text) is not None
+    return "<|" in text or any(control in text for control in "\x1c\x1d\x1e\x1f")
+
+
 @lru_cache(maxsize=2)
 def word_tokenizer(path: str) -> WordTokenizer:
     """One per Python worker, so that its tasks share the cache."""
@@ -43,12 +51,16 @@ class WordTokenizer:
             self._ends_word[number] = token.endswith("</w>")
         self.vocabulary = self._tokenizer.get_vocab_size()
 
+    def _plain_ids(self, text: str) -> list[int]:
+        # As ``encode``, without the offsets of the tokens.
+        return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def _encode(self, text: str) -> bytes:
-        return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self._plain_ids(text)).tobytes()
 
     def _encode_units(self, units: list[str]) -> None:
         """Encodes new units in one text: the last token of each is one that ends a word."""
-        ids = np.array(self._tokenizer.encode(" ".join(units), add_special_tokens=False).ids, np.int64)
+        ids = np.array(self._plain_ids(" ".join(units)), np.int64)
         ends = np.flatnonzero(self._ends_word[ids]) + 1
         if len(ends) != len(units):
             self._units.update((unit, self._encode(unit)) for unit in units)
@@ -69,7 +81,7 @@ class WordTokenizer:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of ``text``."""
-        if _WHOLE.search(text):
+        if _goes_whole(text):
             return self._encode(text)
         pieces = text.lower().split()
         found = list(map(self._ids.get, pieces))
