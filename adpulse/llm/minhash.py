@@ -4,10 +4,12 @@ A document is the bag of its five-word shingles, weighted by count and inverse d
 are counted over all documents in a fixed number of hash buckets, so their table is bounded; rare shingles, which share
 buckets, get about one weight, and only truly frequent ones count less. Each of ``bands * rows`` samples draws a shingle
 and a level of its weight so that two documents agree with the probability of their weighted Jaccard similarity.
-Documents with equal word sequences are one node. Nodes that agree in a band are compared with a centre of that bucket,
-never with each other pair by pair: first the smallest id, then, where a bucket still holds several groups, members
-chosen anew per bucket. A pair links if its exact weighted Jaccard similarity reaches the threshold; groups are the
-connected components of the links.
+Documents with equal word sequences are one node. Nodes that agree in a band are first compared with centres of that
+bucket: the smallest id, then, where the others still belong to several groups, one of these chosen anew. A node that was
+the centre has met its whole bucket and leaves it. What several groups still share after that is compared by an exact
+prefix join: two bags can only reach the threshold if they share one of their rarest shingles, with enough weight left
+from there on. So every two nodes of a bucket end up compared, in one group, or bounded below the threshold. A pair links
+if its exact weighted Jaccard similarity reaches the threshold; groups are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from adpulse.llm.components import components
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
-# Rounds of centres: the smallest id, then others.
+# Rounds of centres before the prefix join, which finds all that they leave; they only make it smaller.
 CENTRES = 3
 BUCKET_BITS = 18
 
@@ -160,6 +162,60 @@ def _compared(size: int, idf: np.ndarray):
     return run
 
 
+def prefixes(values: np.ndarray, texts: np.ndarray, weight: np.ndarray, similarity: float) -> tuple[np.ndarray, ...]:
+    """(shingle, text, weight from there on, weight of the text) of the shingles with which a text can begin its overlap
+    with another, all texts having their shingles in one order, rarest first. With similarity s the overlap is at least
+    s of either weight, and the first common shingle has the whole overlap behind it."""
+    if not len(values):
+        return values, texts, weight, weight
+    first = np.flatnonzero(np.concatenate([[True], texts[1:] != texts[:-1]]))
+    size = np.diff(np.append(first, len(texts)))
+    total = np.repeat(np.add.reduceat(weight, first), size)
+    before = np.cumsum(weight) - weight
+    rest = total - (before - np.repeat(before[first], size))
+    at = np.flatnonzero(rest >= (similarity - 1e-6) * total)
+    return values[at], texts[at], rest[at], total[at]
+
+
+def _prefixed(size: int, idf: np.ndarray, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, components = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("node", "component"))
+            for begin, _, words in text_slices(batch, separates=PUNCTUATION):
+                values, texts, counts = shingles(words, size)
+                rarity = weights(values, np.ones(len(values), np.int64), idf)
+                order = np.lexsort((values, -rarity, texts))
+                values, texts, weight = values[order], texts[order], (rarity * counts)[order]
+                values, texts, rest, total = prefixes(values, texts, weight, similarity)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(values.view(np.int64)),
+                        pa.array(nodes[begin + texts]),
+                        pa.array(components[begin + texts]),
+                        pa.array(rest),
+                        pa.array(total),
+                    ],
+                    ["shingle", "node", "component", "rest", "total"],
+                )
+
+    return run
+
+
+def _remaining_pairs(texts: DataFrame, similarity: float, size: int, idf: np.ndarray) -> DataFrame:
+    """All pairs of nodes (a, b) of different components that may reach the similarity, from (node, component, text)."""
+    schema = "shingle long, node long, component long, rest double, total double"
+    rows = staged(texts.mapInArrow(_prefixed(size, idf, similarity), schema), "prefixes")
+    left, right = (rows.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in rows.columns[1:])) for side in "ab")
+    least = F.lit(similarity / (1 + similarity) - 1e-6) * (F.col("total_a") + F.col("total_b"))
+    return (
+        left.join(right.hint("merge"), "shingle")
+        .where("node_a < node_b and component_a <> component_b")
+        .where(F.least("rest_a", "rest_b") >= least)
+        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     similarity: float = SIMILARITY,
@@ -207,20 +263,13 @@ def near_duplicates(
         "texts",
     )
     groups, links = None, None
-    for turn in range(centres):
-        order = F.col("node_rank") if turn == 0 else F.xxhash64("node", "band", F.lit(turn))
-        centre = entries.groupBy("band", "bucket").agg(F.min(F.struct(order.alias("order"), "node"))["node"].alias("centre"))
-        pairs = entries.join(centre, ["band", "bucket"]).where("node <> centre")
-        if groups is not None:
-            # Only where a bucket still holds several groups.
-            pairs = (
-                pairs.join(groups.withColumnRenamed("component", "own"), "node", "left")
-                .join(groups.select(F.col("node").alias("centre"), F.col("component").alias("its")), "centre", "left")
-                .where("coalesce(own, node) <> coalesce(its, centre)")
-            )
-        pairs = staged(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "pairs")
+
+    def link(pairs: DataFrame) -> None:
+        """Compares (a, b) and unites what is similar enough."""
+        nonlocal groups, links
+        pairs = staged(pairs, "pairs")
         if pairs.isEmpty():
-            continue
+            return
         compared = (
             pairs.join(held.select(F.col("row_key").alias("a"), F.col("text").alias("text_a")), "a")
             .join(held.select(F.col("row_key").alias("b"), F.col("text").alias("text_b")), "b")
@@ -231,6 +280,31 @@ def near_duplicates(
         found = staged(compared, "links")
         links = found if links is None else links.union(found)
         groups = components(links)
+
+    # Members of buckets that have not met all others there, with their group so far.
+    left = entries.withColumn("component", F.col("node"))
+    for turn in range(centres):
+        order = F.col("node_rank") if turn == 0 else F.xxhash64("node", "band", F.lit(turn))
+        centre = left.groupBy("band", "bucket").agg(F.min(F.struct(order.alias("order"), "node", "component")).alias("its"))
+        centre = staged(
+            centre.select("band", "bucket", F.col("its.node").alias("centre"), F.col("its.component").alias("its")), "centres"
+        )
+        met = left.join(centre, ["band", "bucket"]).where("node <> centre")
+        link(met.where("component <> its").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
+        rest = met.select("band", "bucket", "node", "node_rank")
+        rest = (
+            rest.withColumn("component", F.col("node"))
+            if groups is None
+            else rest.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        )
+        several = rest.groupBy("band", "bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        left = staged(rest.join(several.where("low <> high").select("band", "bucket"), ["band", "bucket"]), "left")
+        if left.isEmpty():
+            break
+    else:
+        crowd = left.select(F.col("node").alias("row_key"), "component").distinct().hint("merge")
+        own = held.join(crowd, "row_key").select(F.col("row_key").alias("node"), "component", "text")
+        link(_remaining_pairs(own, similarity, shingle_words, idf))
     member = nodes.select(*same, "node")
     member = (
         member.withColumn("group", F.col("node"))

@@ -105,6 +105,17 @@ def test_near_duplicates(spark, docs, nothing):
     assert near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_in_crowded_buckets(spark):
+    """Documents of one template meet in the same buckets; each is a near copy of one other only."""
+    template, rows = " ".join("t%d" % n for n in range(450)), []
+    for n in range(200):
+        passage = " ".join("p%dx%d" % (n, k) for k in range(25))
+        rows += [(2 * n + k, f"{template} {passage} {' '.join('o%dx%dx%d' % (n, k, j) for j in range(3))}") for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = near_duplicates(docs, bands=12, rows=1).collect()
+    assert {(row["doc_id"], row["group_id"]) for row in found} == {(n, n - n % 2) for n in range(400)}
+
+
 def test_sampling_follows_weighted_jaccard():
     rng = np.random.default_rng(1)
     shared = rng.integers(1, 2**63, 200, dtype=np.uint64)
