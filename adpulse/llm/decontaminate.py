@@ -4,9 +4,8 @@ The items go in blocks of bounded text size, each an index small enough to send
 divided by the item's score against itself, so that one threshold serves all items. Terms are also counted in the corpus:
 an item's passages above the threshold must hold one of its essential terms, the corpus-rarest ones without which the
 others cannot reach the threshold. Overlapping passages of every document that hold an essential term are run as queries
-by block-max WAND: lists are sorted by item, a pivot is the first item whose lists' maxima reach the threshold, the
-maxima of the blocks there decide whether it is scored or skipped. No document is left out by this; passages without an
-essential term cannot match. What is retrieved is verified: the shares of the item's question and answer that occur in
+with block-max bounds: lists are sorted by item, and the summed maxima of their blocks decide whether the items of a
+block are scored or skipped. No document is left out by this; passages without an essential term cannot match. What is retrieved is verified: the shares of the item's question and answer that occur in
 the text around the passage.
 """
 
@@ -25,12 +24,14 @@ from adpulse.llm.common import PUNCTUATION, Words, staged, text_slices, words_of
 # Text of the items in one index, and so the bound of what a task holds of the benchmark.
 INDEX_BYTES = 8_000_000
 K1, B = 1.2, 0.75
+# Impacts of an item's commonest terms that are left out of its essential ones, as a share of the threshold.
+MISSING = 0.5
 
 
 @dataclass(frozen=True)
 class Settings:
     # Share of an item's own BM25 score that a passage must reach.
-    threshold: float = 0.7
+    threshold: float = 0.5
     # At least; twice the longest item of an index, so that every place of an item lies in one passage.
     passage_words: int = 128
     # The last words of an item are its answer.
@@ -50,6 +51,13 @@ class Posting:
     top: float
 
 
+def _spans(first: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Places first[t] ... first[t + 1] - 1 of every t of ``own``."""
+    size = first[own + 1] - first[own]
+    end = np.cumsum(size)
+    return np.arange(end[-1]) + np.repeat(first[own] - end + size, size)
+
+
 @dataclass
 class Index:
     """Items of one block; terms are word hashes."""
@@ -61,6 +69,14 @@ class Index:
     block_items: int
     essential: np.ndarray | None = None  # by term
 
+    def __post_init__(self) -> None:
+        """All lists and all blocks end to end: those of term t from first[t], and block_first[t], on."""
+        self.first = np.cumsum([0, *(len(x.items) for x in self.postings)])
+        self.block_first = np.cumsum([0, *(len(x.blocks) for x in self.postings)])
+        if self.postings:
+            self.items, self.impacts = (np.concatenate([getattr(x, name) for x in self.postings]) for name in ("items", "impacts"))
+            self.blocks, self.maxima = (np.concatenate([getattr(x, name) for x in self.postings]) for name in ("blocks", "maxima"))
+
     @staticmethod
     def build(items: Sequence[tuple[int | None, str]], settings: Settings) -> Index:
         texts = [(text or "").lower().encode() for _, text in items]
@@ -94,66 +110,58 @@ class Index:
 
     def choose_essential(self, corpus: np.ndarray, threshold: float) -> None:
         """``corpus``: how often each term occurs in the corpus. Per item the commonest terms, as long as their impacts
-        stay below the threshold, may be missing from the essential ones."""
+        stay below a share of the threshold, are not essential; the essential ones must bring the rest, ``need``."""
         own: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         for term, posting in enumerate(self.postings):
             for item, value in zip(posting.items.tolist(), posting.impacts.tolist()):
                 own[item].append((term, value))
         self.essential = np.zeros(len(self.vocabulary), bool)
-        for terms in own:
+        self.need = np.full(len(self.terms), threshold)
+        chosen: list[list[tuple[int, float]]] = [[] for _ in self.postings]
+        for item, terms in enumerate(own):
             rest = 0.0
             for term, value in sorted(terms, key=lambda x: -corpus[x[0]]):
                 rest += value
-                if rest >= threshold - 1e-9:
+                if rest >= MISSING * threshold - 1e-9:
                     self.essential[term] = True
+                    chosen[term].append((item, value))
+                else:
+                    self.need[item] -= value
+        self.essential_first = np.cumsum([0, *map(len, chosen)])
+        self.essential_items = np.array([item for row in chosen for item, _ in row], np.int64)
+        self.essential_impacts = np.array([value for row in chosen for _, value in row])
+
+    def promising(self, passages: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        """Of the ``passages`` that hold an essential term each (pairs, in any order and repeated), those whose essential
+        impacts for some item suffice, if all its other terms were there too."""
+        count = len(self.vocabulary)
+        pairs = np.unique(passages * count + terms)
+        passages, terms = pairs // count, pairs % count
+        at = _spans(self.essential_first, terms)
+        if not len(at):
+            return at
+        key = np.repeat(passages, np.diff(self.essential_first)[terms]) * len(self.terms) + self.essential_items[at]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        score = np.add.reduceat(self.essential_impacts[at][order], first)
+        enough = score >= self.need[key[first] % len(self.terms)] - 1e-9
+        return np.unique(key[first][enough] // len(self.terms))
 
     def above(self, terms: Sequence[int], threshold: float) -> list[tuple[int, float]]:
-        """Items whose summed impacts over ``terms`` reach the threshold, by block-max WAND."""
-        found: list[tuple[int, float]] = []
+        """Items whose summed impacts over ``terms`` reach the threshold, bounded by blocks."""
         if not len(terms):
-            return found
-        own = [self.postings[term] for term in terms]
-        reach = np.bincount(np.concatenate([x.blocks for x in own]), np.concatenate([x.maxima for x in own]))
+            return []
+        own = np.asarray(terms)
+        at = _spans(self.block_first, own)
+        reach = np.bincount(self.blocks[at], self.maxima[at])
         if reach.max() < threshold - 1e-9:
-            return found
-        lists = [[int(self.postings[t].items[0]), 0, self.postings[t]] for t in terms]
-        lists.sort(key=lambda x: x[0])
-        while lists:
-            top, pivot = 0.0, -1
-            for at, (_, _, posting) in enumerate(lists):
-                top += posting.top
-                if top >= threshold - 1e-9:
-                    pivot = at
-                    break
-            if pivot < 0:
-                break
-            item = lists[pivot][0]
-            while pivot + 1 < len(lists) and lists[pivot + 1][0] == item:
-                pivot += 1
-            block = item // self.block_items
-            bound = float(reach[block]) if block < len(reach) else 0.0
-            if bound >= threshold - 1e-9:
-                score, target = 0.0, item + 1
-                for cursor in lists[: pivot + 1]:
-                    posting = cursor[2]
-                    at = int(np.searchsorted(posting.items, item))
-                    if at < len(posting.items) and posting.items[at] == item:
-                        score += posting.impacts[at]
-                if score >= threshold - 1e-9:
-                    found.append((item, float(score)))
-            else:
-                # No item of this block can reach the threshold, whatever lists come in.
-                target = (block + 1) * self.block_items
-            moved = []
-            for cursor in lists:
-                if cursor[0] < target:
-                    at = int(np.searchsorted(cursor[2].items, target))
-                    if at == len(cursor[2].items):
-                        continue
-                    cursor[0], cursor[1] = int(cursor[2].items[at]), at
-                moved.append(cursor)
-            lists = sorted(moved, key=lambda x: x[0])
-        return found
+            return []
+        # Items of blocks that cannot reach the threshold are skipped, all others are scored.
+        at = _spans(self.first, own)
+        at = at[(reach >= threshold - 1e-9)[self.items[at] // self.block_items]]
+        scores = np.bincount(self.items[at], self.impacts[at])
+        return [(int(item), float(scores[item])) for item in np.flatnonzero(scores >= threshold - 1e-9)]
 
     def overlaps(self, item: int, around: np.ndarray, settings: Settings) -> tuple[float, float]:
         """Shares of the shingles of the item's question, and of its answer, that occur in ``around``."""
@@ -187,11 +195,10 @@ def _matches(index: Index, settings: Settings):
     width = max([settings.passage_words, *(2 * len(own) for own in index.terms)])
     stride = max(1, width // 2)
 
-    def leaks(words: Words, terms: np.ndarray, begin: int, end: int, hits: np.ndarray) -> dict[int, tuple]:
+    def leaks(words: Words, terms: np.ndarray, begin: int, end: int, numbers: np.ndarray) -> dict[int, tuple]:
         """Best verified passage per item in the text of the words begin:end."""
         found: dict[int, tuple] = {}
-        numbers = np.unique(np.concatenate([(hits - begin) // stride, (hits - begin) // stride - 1]))
-        for number in numbers[numbers >= 0].tolist():
+        for number in numbers.tolist():
             start = begin + number * stride
             stop = min(end, start + width)
             query = np.unique(terms[start:stop])
@@ -212,8 +219,13 @@ def _matches(index: Index, settings: Settings):
                 terms = index.find(words.hashes)
                 hits = np.flatnonzero((terms >= 0) & index.essential[terms])
                 owner = np.searchsorted(words.first, hits, "right") - 1
+                # Passages overlap by half: a word lies in the one that begins last before it and in the one before.
+                number = (hits - words.first[owner]) // stride
+                passage = np.concatenate([owner * len(words) + number, (owner * len(words) + number - 1)[number > 0]])
+                passage = index.promising(passage, np.concatenate([terms[hits], terms[hits][number > 0]])) if len(hits) else hits
+                owner = passage // max(1, len(words))
                 for text in np.unique(owner).tolist():
-                    mine = hits[owner == text] if len(hits) < 64 else hits[np.searchsorted(owner, text) : np.searchsorted(owner, text, "right")]
+                    mine = passage[np.searchsorted(owner, text) : np.searchsorted(owner, text, "right")] % len(words)
                     found = leaks(words, terms, words.first[text], words.first[text + 1], mine)
                     rows += [(ids[begin + text].as_py(), index.item_ids[item], *best) for item, best in found.items()]
             if rows:

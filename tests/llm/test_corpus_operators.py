@@ -229,6 +229,15 @@ def test_leaks(spark, docs, nothing):
     assert drop_leaking(docs, bench).columns == docs.columns
 
 
+def test_leaks_of_partial_copies(spark):
+    """The last 30 of 50 words: half of the question's shingles and the whole answer, 0.6 of the score."""
+    words = ["q%d" % n for n in range(50)]
+    corpus = spark.createDataFrame([(1, BODY + " " + " ".join(words[20:])), (2, " ".join(words[30:]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, " ".join(words))], "item_id long, text string")
+    rows = find_leaks(corpus, bench).collect()
+    assert [(row["doc_id"], row["question_overlap"], row["answer_overlap"]) for row in rows] == [(1, 0.5, 1.0)]
+
+
 def test_clause_grammar():
     lexicon = Lexicon({"idiot": 1.0}, {"vequ": 0.8})
     plain, aimed = clause_weight("what an idiot", lexicon), clause_weight("you idiot", lexicon)
