@@ -1,8 +1,8 @@
 """Near-duplicate detection by improved consistent weighted sampling over TF-IDF shingles.
 
 A document is the bag of its five-word shingles, weighted by count and inverse document frequency. Document frequencies
-are counted over all documents in a fixed number of hash buckets, so their table is bounded; rare shingles, which share
-buckets, get about one weight, and only truly frequent ones count less. Each of ``bands * rows`` samples draws a shingle
+are counted exactly over all documents: every task holds the most frequent shingles, a bounded number; the others that
+occur more than once come to their documents by a join; what is in neither occurs once. Each of ``bands * rows`` samples draws a shingle
 and a level of its weight so that two documents agree with the probability of their weighted Jaccard similarity.
 Documents with equal word sequences are one node. Nodes that agree in a band are first compared with centres of that
 bucket: the smallest id, then, where the others still belong to several groups, one of these chosen anew. A node that was
@@ -15,6 +15,7 @@ if its exact weighted Jaccard similarity reaches the threshold; groups are the c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
 # Rounds of centres before the prefix join, which finds all that they leave; they only make it smaller.
 CENTRES = 3
-BUCKET_BITS = 18
+# Shingles whose document frequency every task holds.
+COMMON = 2**20
+# Size of the filter that keeps shingles which occur once out of the join; where it is full the join is only larger.
+FILTER_BITS = 27
 
 _TABLE_BITS = 16
 _random = np.random.Generator(np.random.PCG64(5))
@@ -59,12 +63,40 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return values[new], texts[new], np.diff(np.append(new, len(values)))
 
 
-def buckets(values: np.ndarray) -> np.ndarray:
-    return (values >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+def lookup(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which ``values`` are among the sorted ``keys``, and where these are there."""
+    if not len(keys):
+        return np.zeros(len(values), bool), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+    hit = keys[at] == values
+    return hit, at[hit]
 
 
-def weights(values: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return counts * idf[buckets(values)]
+@dataclass
+class Frequencies:
+    """Number of documents, and document frequencies of the common shingles, sorted."""
+
+    total: int
+    shingles: np.ndarray
+    counts: np.ndarray
+
+    def idf(self, values: np.ndarray, *own: np.ndarray) -> np.ndarray:
+        """``own``: sorted shingles and their frequencies, of those that are not common."""
+        n = np.ones(len(values))
+        for keys, counts in ((self.shingles, self.counts), own):
+            hit, at = lookup(keys, values)
+            n[hit] = counts[at]
+        return np.log(1 + (1 + self.total) / (1 + n))
+
+
+def _own(batch: pa.RecordBatch, begin: int, end: int, *sides: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles and their frequencies that came to the rows begin:end by the join."""
+    keys, counts = (
+        np.concatenate([batch.column(name + side).slice(begin, end - begin).flatten().to_numpy(zero_copy_only=False) for side in sides or ("",)])
+        for name in ("own", "own_n")
+    )
+    keys, at = np.unique(keys.astype(np.int64).view(np.uint64), return_index=True)
+    return keys, counts[at]
 
 
 def signatures(values: np.ndarray, texts: np.ndarray, weight: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,35 +117,89 @@ def signatures(values: np.ndarray, texts: np.ndarray, weight: np.ndarray, sample
     return texts[first], out
 
 
-def _frequencies(size: int):
+def _counted(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(2**BUCKET_BITS, np.int64)
+        def counted() -> pa.RecordBatch:
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], ["shingle", "n"])
+
+        held: list[np.ndarray] = []
         for batch in batches:
             for _, _, words in text_slices(batch, separates=PUNCTUATION):
-                counts += np.bincount(buckets(shingles(words, size)[0]), minlength=len(counts))
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["bucket", "n"])
+                held.append(shingles(words, size)[0])
+                if sum(map(len, held)) >= 2_000_000:
+                    yield counted()
+                    held = []
+        if held:
+            yield counted()
+
+    return run
+
+
+def _uncommon(size: int, common: np.ndarray, bits: np.ndarray):
+    """(row_key, shingle) of shingles that are not common and may occur more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("row_key").to_numpy(zero_copy_only=False)
+            for begin, _, words in text_slices(batch, separates=PUNCTUATION):
+                values, texts, _ = shingles(words, size)
+                place = values >> np.uint64(64 - FILTER_BITS)
+                maybe = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+                values, texts = values[maybe], texts[maybe]
+                rest = ~lookup(common, values)[0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[begin + texts[rest]]), pa.array(values[rest].view(np.int64))], ["row_key", "shingle"]
+                )
 
     return run
 
 
-def inverse_frequencies(texts: DataFrame, size: int) -> np.ndarray:
-    """Weight of a shingle by bucket; the driver holds 2**BUCKET_BITS numbers, whatever the corpus."""
+def frequencies(texts: DataFrame, size: int, common: int = COMMON) -> tuple[Frequencies, DataFrame | None]:
+    """Document frequencies of the at most ``common`` most frequent shingles, and those of others that occur more than
+    once as (row_key, own, own_n) by text, if there are any."""
     total = texts.count()
-    rows = texts.select("text").mapInArrow(_frequencies(size), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = np.zeros(2**BUCKET_BITS)
-    found = rows.toArrow()
-    counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
-    return np.log(1 + (1 + total) / (1 + np.minimum(counts, total)))
+    counts = staged(
+        texts.select("text").mapInArrow(_counted(size), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1"),
+        "frequencies",
+    )
+    # One row per frequency that occurs.
+    least, held = 2, 0
+    for n, times in sorted(map(tuple, counts.groupBy("n").count().collect()), reverse=True):
+        held += times
+        if held > common:
+            least = n + 1
+            break
+    found = counts.where(F.col("n") >= least).toArrow()
+    keys = found.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    known = Frequencies(total, keys[order], found.column("n").to_numpy()[order])
+    if least == 2:
+        return known, None
+    # Fewer than total / common rows each, so that no key of the join is hot.
+    others = counts.where(F.col("n") < least)
+    place = F.shiftrightunsigned("shingle", 64 - FILTER_BITS)
+    words = (
+        others.select(F.shiftrightunsigned(place, 6).alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+        .groupBy("word")
+        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
+        .toArrow()
+    )
+    bits = np.zeros(2 ** (FILTER_BITS - 6), np.uint64)
+    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    pairs = texts.select("row_key", "text").mapInArrow(_uncommon(size, known.shingles, bits), "row_key long, shingle long")
+    own = pairs.join(others.hint("merge"), "shingle").groupBy("row_key").agg(F.collect_list(F.struct("shingle", "n")).alias("own"))
+    return known, staged(own.select("row_key", F.col("own.shingle").alias("own"), F.col("own.n").alias("own_n")), "own")
 
 
-def _signed(size: int, idf: np.ndarray, bands: int, rows: int):
+def _signed(size: int, known: Frequencies, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, ids = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("row_key", "rank_id"))
-            for begin, _, words in text_slices(batch, separates=PUNCTUATION):
+            for begin, end, words in text_slices(batch, separates=PUNCTUATION):
                 values, texts, counts = shingles(words, size)
-                text, drawn = signatures(values, texts, weights(values, counts, idf), bands * rows)
+                weight = counts * known.idf(values, *_own(batch, begin, end))
+                text, drawn = signatures(values, texts, weight, bands * rows)
                 if not len(text):
                     continue
                 factors = powers(np.uint64(0x9E3779B97F4A7C15), rows)
@@ -140,11 +226,11 @@ def _signed(size: int, idf: np.ndarray, bands: int, rows: int):
     return run
 
 
-def weighted_jaccard(a: str, b: str, size: int, idf: np.ndarray) -> float:
+def weighted_jaccard(a: str, b: str, size: int, known: Frequencies, *own: np.ndarray) -> float:
     data = [x.lower().encode() for x in (a, b)]
     offsets = np.array([0, len(data[0]), len(data[0]) + len(data[1])])
     values, texts, counts = shingles(words_of(np.frombuffer(b"".join(data), np.uint8), offsets, PUNCTUATION), size)
-    weight = weights(values, counts, idf)
+    weight = counts * known.idf(values, *own)
     cut = int(np.searchsorted(texts, 1))
     common, at_a, at_b = np.intersect1d(values[:cut], values[cut:], assume_unique=True, return_indices=True)
     shared = np.minimum(weight[:cut][at_a], weight[cut:][at_b]).sum()
@@ -152,11 +238,14 @@ def weighted_jaccard(a: str, b: str, size: int, idf: np.ndarray) -> float:
     return float(shared / total) if total > 0 else 0.0
 
 
-def _compared(size: int, idf: np.ndarray):
+def _compared(size: int, known: Frequencies):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = zip(batch.column("text_a"), batch.column("text_b"))
-            values = [weighted_jaccard(a.as_py(), b.as_py(), size, idf) for a, b in pairs]
+            values = [
+                weighted_jaccard(a.as_py(), b.as_py(), size, known, *_own(batch, at, at + 1, "_a", "_b"))
+                for at, (a, b) in enumerate(pairs)
+            ]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(values, pa.float64())], ["a", "b", "similarity"])
 
     return run
@@ -177,13 +266,13 @@ def prefixes(values: np.ndarray, texts: np.ndarray, weight: np.ndarray, similari
     return values[at], texts[at], rest[at], total[at]
 
 
-def _prefixed(size: int, idf: np.ndarray, similarity: float):
+def _prefixed(size: int, known: Frequencies, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, components = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("node", "component"))
-            for begin, _, words in text_slices(batch, separates=PUNCTUATION):
+            for begin, end, words in text_slices(batch, separates=PUNCTUATION):
                 values, texts, counts = shingles(words, size)
-                rarity = weights(values, np.ones(len(values), np.int64), idf)
+                rarity = known.idf(values, *_own(batch, begin, end))
                 order = np.lexsort((values, -rarity, texts))
                 values, texts, weight = values[order], texts[order], (rarity * counts)[order]
                 values, texts, rest, total = prefixes(values, texts, weight, similarity)
@@ -201,10 +290,10 @@ def _prefixed(size: int, idf: np.ndarray, similarity: float):
     return run
 
 
-def _remaining_pairs(texts: DataFrame, similarity: float, size: int, idf: np.ndarray) -> DataFrame:
-    """All pairs of nodes (a, b) of different components that may reach the similarity, from (node, component, text)."""
+def _remaining_pairs(texts: DataFrame, similarity: float, size: int, known: Frequencies) -> DataFrame:
+    """All pairs of nodes (a, b) of different components that may reach the similarity, from (node, component, text, own, own_n)."""
     schema = "shingle long, node long, component long, rest double, total double"
-    rows = staged(texts.mapInArrow(_prefixed(size, idf, similarity), schema), "prefixes")
+    rows = staged(texts.mapInArrow(_prefixed(size, known, similarity), schema), "prefixes")
     left, right = (rows.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in rows.columns[1:])) for side in "ab")
     least = F.lit(similarity / (1 + similarity) - 1e-6) * (F.col("total_a") + F.col("total_b"))
     return (
@@ -223,6 +312,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
     centres: int = CENTRES,
+    common: int = COMMON,
 ) -> DataFrame:
     """One row per input row: doc_id, row_key, group_id (smallest doc_id of the group), group_size (distinct rows) and
     kept (the row is the group's first by doc_id).
@@ -237,10 +327,15 @@ def near_duplicates(
         row_key().alias("row_key"),
         rank_id().alias("rank_id"),
     )
-    idf = inverse_frequencies(texts, shingle_words)
+    known, own = frequencies(texts, shingle_words, common)
+
+    def with_own(rows: DataFrame) -> DataFrame:
+        none = F.lit(None).cast("array<long>")
+        return rows.withColumns({"own": none, "own_n": none}) if own is None else rows.join(own, "row_key", "left")
+
     signed = staged(
-        texts.select("row_key", "rank_id", "text").mapInArrow(
-            _signed(shingle_words, idf, bands, rows), "row_key long, rank_id long, print_a long, print_b long, bands array<long>"
+        with_own(texts.select("row_key", "rank_id", "text")).mapInArrow(
+            _signed(shingle_words, known, bands, rows), "row_key long, rank_id long, print_a long, print_b long, bands array<long>"
         ),
         "signatures",
     )
@@ -257,9 +352,11 @@ def near_duplicates(
     entries = staged(entries.join(crowded, ["band", "bucket"]), "buckets")
     # The texts of all nodes that share a bucket move once, whatever the number of rounds.
     held = staged(
-        texts.select("row_key", "text")
-        .join(entries.select(F.col("node").alias("row_key")).distinct().hint("merge"), "row_key")
-        .dropDuplicates(["row_key"]),
+        with_own(
+            texts.select("row_key", "text")
+            .join(entries.select(F.col("node").alias("row_key")).distinct().hint("merge"), "row_key")
+            .dropDuplicates(["row_key"])
+        ),
         "texts",
     )
     groups, links = None, None
@@ -271,9 +368,9 @@ def near_duplicates(
         if pairs.isEmpty():
             return
         compared = (
-            pairs.join(held.select(F.col("row_key").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(held.select(F.col("row_key").alias("b"), F.col("text").alias("text_b")), "b")
-            .mapInArrow(_compared(shingle_words, idf), "a long, b long, similarity double")
+            pairs.join(held.toDF("a", *(f"{name}_a" for name in held.columns[1:])), "a")
+            .join(held.toDF("b", *(f"{name}_b" for name in held.columns[1:])), "b")
+            .mapInArrow(_compared(shingle_words, known), "a long, b long, similarity double")
             .where(F.col("similarity") >= similarity)
             .select("a", "b")
         )
@@ -303,8 +400,8 @@ def near_duplicates(
             break
     else:
         crowd = left.select(F.col("node").alias("row_key"), "component").distinct().hint("merge")
-        own = held.join(crowd, "row_key").select(F.col("row_key").alias("node"), "component", "text")
-        link(_remaining_pairs(own, similarity, shingle_words, idf))
+        rest = held.join(crowd, "row_key").select(F.col("row_key").alias("node"), "component", "text", "own", "own_n")
+        link(_remaining_pairs(rest, similarity, shingle_words, known))
     member = nodes.select(*same, "node")
     member = (
         member.withColumn("group", F.col("node"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -116,6 +118,50 @@ def test_near_duplicates_in_crowded_buckets(spark):
     assert {(row["doc_id"], row["group_id"]) for row in found} == {(n, n - n % 2) for n in range(400)}
 
 
+@pytest.mark.parametrize("common", [40, 2**20])
+def test_document_frequencies_are_exact(spark, common):
+    """Against plain counts, with more shingles than any small table of hash buckets tells apart."""
+    rng, rows = random.Random(3), []
+    for n in range(600):
+        text = " ".join(rng.choices(WORDS, k=500))
+        rows.append((n, text if n % 3 else f"{' '.join(WORDS[: 60 + n % 7])} {text[:900]}"))
+    rows += [(1000 + n, rows[n % 50][1] + " and more") for n in range(100)]
+    bags = {n: Counter(tuple(text.split()[k : k + 5]) for k in range(len(text.split()) - 4)) for n, text in rows}
+    df = Counter(shingle for bag in bags.values() for shingle in bag)
+    idf = {shingle: math.log(1 + (1 + len(rows)) / (1 + n)) for shingle, n in df.items()}
+    texts = spark.createDataFrame(rows, "row_key long, text string").repartition(3)
+    known, own = minhash.frequencies(texts, 5, common)
+    assert len(known.shingles) <= common and (own is None) == (common > len(df))
+    joined = {} if own is None else {row["row_key"]: row for row in own.collect()}
+    for n, text in rows[::29] + rows[-3:]:
+        data = text.encode()
+        values, _, _ = minhash.shingles(minhash.words_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]), minhash.PUNCTUATION), 5)
+        pair = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        if n in joined:
+            keys, counts = np.array(joined[n]["own"], np.int64).view(np.uint64), np.array(joined[n]["own_n"])
+            pair = keys[np.argsort(keys)], counts[np.argsort(keys)]
+        assert np.allclose(np.sort(known.idf(values, *pair)), sorted(idf[shingle] for shingle in bags[n]))
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    rng, rows = random.Random(4), []
+    for n in range(40):
+        words = rng.choices(WORDS, k=120) + WORDS[:60] * (n % 2)
+        for k in range(3):
+            rows.append((3 * n + k, " ".join(words[: len(words) - 4 * k * (n % 8)])))
+    bags = [Counter(tuple(text.split()[k : k + 5]) for k in range(len(text.split()) - 4)) for _, text in rows]
+    df = Counter(shingle for bag in bags for shingle in bag)
+    weigh = lambda bag: sum(n * math.log(1 + (1 + len(rows)) / (1 + df[shingle])) for shingle, n in bag.items())
+    group = list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if weigh(bags[a] & bags[b]) >= 0.8 * weigh(bags[a] | bags[b]):
+            low, high = sorted((group[a], group[b]))
+            group = [low if g == high else g for g in group]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = near_duplicates(docs, bands=30, rows=2, common=20).collect()
+    assert {row["doc_id"]: row["group_id"] for row in found} == dict(enumerate(group))
+
+
 def test_sampling_follows_weighted_jaccard():
     rng = np.random.default_rng(1)
     shared = rng.integers(1, 2**63, 200, dtype=np.uint64)
