@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 
 from adpulse.llm.common import staged
 
-# Bounds of what is learned from, in rows: labelled documents, and words or stems considered.
+# Bound of what is learned from, in rows: labelled documents.
 MAX_LABELLED = 40_000
-MAX_CANDIDATES = 50_000
 STEM_LENGTHS = (4, 5, 6)
 MIN_SUPPORT = 6
 MIN_LOG_ODDS = 3.0
@@ -163,16 +162,19 @@ def _toxic_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([key] * len(found), pa.int64())], ["feature", "row"])
 
 
-def _clean_counts(candidates: frozenset[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, int] = {}
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                for feature in document_features(text) & candidates:
-                    counts[feature] = counts.get(feature, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["feature", "n"])
+def _clean_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["feature", "clean"])
 
-    return run
+    counts: dict[str, int] = {}
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            for feature in document_features(text):
+                counts[feature] = counts.get(feature, 0) + 1
+            if len(counts) >= 500_000:
+                yield counted()
+                counts = {}
+    yield counted()
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
@@ -187,26 +189,14 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     features = staged(
         sample.where("toxic = 1").select("row", "text").mapInArrow(_toxic_features, "feature string, row long"), "features"
     )
-    frequent = (
-        features.groupBy("feature")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= support)
-        .orderBy(F.desc("n"), "feature")
-        .limit(MAX_CANDIDATES)
-    )
-    toxic = {row["feature"]: row["n"] for row in frequent.collect()}
-    clean = {
-        row["feature"]: row["n"]
-        for row in sample.where("toxic = 0")
-        .select("text")
-        .mapInArrow(_clean_counts(frozenset(toxic)), "feature string, n long")
-        .groupBy("feature")
-        .agg(F.sum("n").alias("n"))
-        .collect()
-    }
+    frequent = features.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
+    clean = sample.where("toxic = 0").select("text").mapInArrow(_clean_counts, "feature string, clean long")
+    both = frequent.join(clean.groupBy("feature").agg(F.sum("clean").alias("clean")), "feature", "left").fillna(0, ["clean"])
+    # Only what marks reaches the driver; a little below the bound, which is drawn here.
+    rate = ((F.col("n") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1))
     odds = {
-        feature: math.log((n + 0.5) / (n_toxic + 1)) - math.log((clean.get(feature, 0) + 0.5) / (n_clean + 1))
-        for feature, n in toxic.items()
+        row["feature"]: math.log((row["n"] + 0.5) / (n_toxic + 1)) - math.log((row["clean"] + 0.5) / (n_clean + 1))
+        for row in both.where(F.log(rate) >= MIN_LOG_ODDS - 1e-6).collect()
     }
     marking = sorted(feature for feature, value in odds.items() if value >= MIN_LOG_ODDS)
     spark = sample.sparkSession

@@ -294,6 +294,16 @@ def test_clause_grammar():
     assert len(weights) == 2
 
 
+def test_lexicon_learns_rare_insults_among_many_words(spark):
+    """More words reach the support than any list of the most frequent ones holds."""
+    names = ["".join(p) for p in itertools.product("bcdfghklmnprstvw", "aeiou", "bcdfghklmnprst", "aeio", "bdfgklmnprstvw")]
+    common = " ".join(names[:55_000])
+    rows = [(n, f"{common} x{'abcdefghijkl'[n]}x" + (" vermaxx" if n < 8 else ""), 1) for n in range(12)]
+    rows += [(100 + n, f"{common} y{'abcdefghij'[n % 10]}y{n}", 0) for n in range(30)]
+    sample = spark.createDataFrame(rows, "row long, text string, toxic int").repartition(8)
+    assert "vermax" in toxicity.learn_lexicon(sample).stems
+
+
 def test_toxicity_scores(docs, nothing):
     model = ToxicityModel(Lexicon({"idiot": 1.0}, {}), (-3.0, 4.0, 1.0))
     rows = score_toxicity(docs, model).collect()
