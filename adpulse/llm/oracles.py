@@ -95,4 +95,68 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM texts WINDOW same AS (PARTITION BY text)
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op3_url_filters": OP3, "op4_line_dedup": OP4, "op7_exact_dedup": OP7}
+# crc32 of UTF-8 bytes by its table, which list_reduce makes from the polynomial.
+OP11 = r"""
+WITH crc_table AS (
+  SELECT list_transform(range(0, 256), lambda n: list_reduce(range(0, 8),
+           lambda c, bit: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n::BIGINT)) AS entries
+),
+texts AS (
+  SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark
+),
+listed AS (
+  SELECT side, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts
+),
+words AS (SELECT side, doc_id, unnest(words) AS word FROM listed),
+counted AS (SELECT word, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 't') AS t FROM words GROUP BY word),
+bytes AS (
+  SELECT word, s, t, list_transform(range(1, len(hex(encode(word))) + 1, 2),
+           lambda i: ('0x' || substr(hex(encode(word)), i, 2))::BIGINT) AS b FROM counted
+),
+hashed AS (
+  SELECT word, s, t, xor(list_reduce(b, lambda c, x: xor(c >> 8, entries[xor(c & 255, x) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM bytes, crc_table
+),
+totals AS (SELECT sum(s)::DOUBLE AS s_all, sum(t)::DOUBLE AS t_all FROM counted),
+gains AS (
+  SELECT bucket, floor(1000 * ln((sum(t) + 1)::DOUBLE * (any_value(s_all) + 10000)
+           / ((sum(s) + 1)::DOUBLE * (any_value(t_all) + 10000))))::BIGINT AS gain
+  FROM hashed, totals GROUP BY bucket
+),
+weights AS (
+  SELECT doc_id, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM words JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY doc_id
+),
+scored AS (
+  SELECT documents.doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || documents.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+           / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM documents LEFT JOIN weights USING (doc_id)
+),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+OP12 = r"""
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM firsts
+"""
+
+ORACLES = {
+    "op2_substring_dedup": OP2,
+    "op3_url_filters": OP3,
+    "op4_line_dedup": OP4,
+    "op7_exact_dedup": OP7,
+    "op11_importance_resampling": OP11,
+    "op12_warc": OP12,
+}

@@ -11,6 +11,7 @@ from adpulse.llm import oracles
 from adpulse.llm.common import documents
 from adpulse.llm.decontaminate import find_leaks
 from adpulse.llm.exact import deduplicate_exact
+from adpulse.llm.importance import resample
 from adpulse.llm.lines import deduplicate_lines
 from adpulse.llm.minhash import near_duplicates
 from adpulse.llm.order import manifest, write_in_training_order
@@ -19,6 +20,8 @@ from adpulse.llm.quality import fit_quality, score_quality
 from adpulse.llm.substring import deduplicate_substrings
 from adpulse.llm.toxicity import fit_toxicity, score_toxicity
 from adpulse.llm.urls import judge_urls
+from adpulse.llm.warc import archive_pages, read_archived_pages
+from adpulse.llm.whitening import whiten
 
 ORDER_KEY = 20240607
 
@@ -73,6 +76,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_archived_pages(spark, archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))).drop("intact")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
