@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from adpulse.llm.common import LAST_ID, rank_id, staged
 from adpulse.session import STREAM_CONF, scratch_path, session_conf
+from adpulse.sources import folders
 
 FILES_PER_BATCH = 1000
 # Each state partition is a database of its own; by default it reserves megabytes of disk however little it holds.
@@ -49,8 +50,11 @@ def digest_state(
     files_per_batch: int = FILES_PER_BATCH,
     checkpoint: str | None = None,
 ) -> DataFrame:
-    """Runs the stream over what ``path`` holds and returns digest, first (place of the first row) and n_rows."""
-    updates = scratch_path(spark, "digests")
+    """Runs the stream over what ``path`` holds and returns digest, first (place of the first row) and n_rows. With the
+    ``checkpoint`` of an earlier run only files that this one did not read are read; what it found is kept beside the
+    state and counts again."""
+    checkpoint = checkpoint.rstrip("/") if checkpoint else scratch_path(spark, "digest-state")
+    updates = f"{checkpoint}/updates"
     schema = spark.read.parquet(path).schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -68,13 +72,13 @@ def digest_state(
         query = (
             state.writeStream.outputMode("update")
             .foreachBatch(write)
-            .option("checkpointLocation", checkpoint or scratch_path(spark, "digest-state"))
+            .option("checkpointLocation", f"{checkpoint}/state")
             .trigger(availableNow=True)
             .start()
         )
         query.awaitTermination()
     written = "digest string, first struct<rank_id:long,file:string,row:long>, n_rows long, batch_id long"
-    if not query.lastProgress:  # an empty table makes no batch
+    if not folders.exists(spark, updates):  # no run has made a batch: nothing but empty tables so far
         return spark.createDataFrame([], written).drop("batch_id")
     # A digest is written again by each batch that meets it, with a first row that only gets smaller and a growing count.
     return (
@@ -90,14 +94,16 @@ def deduplicate_exact(
     path: str,
     digest: Callable[[Column], Column] = sha256,
     files_per_batch: int = FILES_PER_BATCH,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """One row per row of the Parquet table at ``path``: doc_id, keep_id (doc_id of the row that stays among those of
     equal normalised text), group_size, kept, text_sha256, keep_file and keep_row (locator of the row that stays).
 
     Null texts count as empty. The smallest doc_id stays; rows without one come last. Of rows that share text and doc_id
-    exactly one stays. Other columns are ignored.
+    exactly one stays. Other columns are ignored. ``checkpoint`` names a shared folder that keeps the state, for tables that
+    grow by files between runs: each run gives the result for all files.
     """
-    state = staged(digest_state(spark, path, digest, files_per_batch), "digests")
+    state = staged(digest_state(spark, path, digest, files_per_batch, checkpoint), "digests")
     rows = _rows(spark.read.parquet(path), digest)
     # Texts are compared byte by byte as grouping keys, so copies are combined before they are shuffled.
     texts = rows.groupBy("digest", "text").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -139,10 +139,11 @@ def deduplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     removals = later_copies(docs, min_chars).withColumnsRenamed({"rank_id": "__rank_id", "row_key": "__row_key"})
     keyed = docs.select(*[F.col(f"`{name}`") for name in names], rank_id().alias("__rank_id"), row_key().alias("__row_key"))
     joined = keyed.join(removals.withColumnRenamed("removed", "__removed"), ["__rank_id", "__row_key"], "left")
-    rest = F.expr("""array_join(transform(array_except(sequence(0, size(split(text, '\n')) - 1), __removed),
-                     i -> get(split(text, '\n'), i)), '\n')""")
+    # A generator is not merged into the expressions above it: the text is split once, not once for each line.
+    lines = F.explode(F.array(F.when(F.col("__removed").isNotNull(), F.split("text", "\n")))).alias("__lines")
+    rest = F.expr("""array_join(transform(array_except(sequence(0, size(__lines) - 1), __removed), i -> get(__lines, i)), '\n')""")
     text = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(rest)
-    return joined.select(
+    return joined.select("*", lines).select(
         *[text.alias(name) if name == "text" else F.col(f"`{name}`") for name in names],
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("lines_before"),
         F.coalesce(F.size("__removed"), F.lit(0)).cast("long").alias("lines_removed"),

@@ -156,7 +156,7 @@ def _tridiagonal_solve(diag: np.ndarray, off: np.ndarray, lam: float, rhs: np.nd
     a, b, c = np.zeros(n), np.zeros(n), np.zeros(n)  # the row's entries at i, i + 1, i + 2
     a[:], b[: n - 1] = diag - lam, off
     x = rhs.copy()
-    floor = EPS * max(np.abs(diag).max(), np.abs(off).max() if n > 1 else 0.0, np.finfo(float).tiny)
+    floor = EPS * max(np.abs(diag).max(), np.abs(off).max(initial=0.0))
     for i in range(n - 1):
         under, next_b = off[i], b[i + 1]
         if abs(under) > abs(a[i]):
@@ -187,6 +187,7 @@ def right_vectors(diagonal: np.ndarray, super_: np.ndarray, sigma: np.ndarray, c
     lam = sigma**2
     diag = diagonal**2 + np.concatenate([[0.0], super_**2])
     off = diagonal[:-1] * super_
+    top = max(np.abs(diag).max(), np.abs(off).max(initial=0.0))
     out = np.zeros((n, 0))
     random = np.random.Generator(np.random.PCG64(1))
     start = 0
@@ -202,10 +203,11 @@ def right_vectors(diagonal: np.ndarray, super_: np.ndarray, sigma: np.ndarray, c
             good = False
         if not good:
             vectors = random.standard_normal((n, end - start))
-            for _ in range(3):
-                vectors = _tridiagonal_solve(diag, off, lam[start], np.linalg.qr(vectors)[0])
+            for _ in range(3 if top > 0 else 0):
+                vectors = _tridiagonal_solve(diag / top, off / top, lam[start] / top, np.linalg.qr(vectors)[0])
                 vectors /= np.abs(vectors).max(axis=0)
                 vectors -= out @ (out.T @ vectors)
+            vectors -= out @ (out.T @ vectors)
             vectors = np.linalg.qr(vectors)[0]
         # Neighbours that are close, but not equal, lose what they have in common.
         vectors -= out @ (out.T @ vectors)
