@@ -1,21 +1,25 @@
-"""Command line: ``python -m adpulse stream | backfill | report`` (or the same through spark-submit)."""
+"""Command line: ``python -m adpulse stream | backfill | calibrate | compact | report`` (or through spark-submit)."""
 
 from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 
 from adpulse.config import PipelineConfig
+from adpulse.operators.activity import ActivityRules
+from adpulse.operators.baselines import learned_thresholds
 from adpulse.operators.parse import parse_events
 from adpulse.plans.backfill import backfill
 from adpulse.plans.ranges import TimeRange
 from adpulse.plans.reports import REPORTS, report
+from adpulse.schemas import CAMPAIGN, SIDE_TABLES, TABLES
 from adpulse.session import build_session
 from adpulse.sources import ResultStore, SourceConfig, read_batch, read_stream
-from adpulse.streaming.pipeline import drain, run_until_any_ends, start_pipeline
+from adpulse.sources.thresholds import ThresholdTable
+from adpulse.streaming.pipeline import drain, run_until_any_ends, start_pipeline, start_side_streams
 
 
 def _pairs(items: Sequence[str]) -> dict[str, str]:
@@ -50,6 +54,19 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--until-caught-up", action="store_true")
     stream.add_argument("--unique-events", action="store_true")
     stream.add_argument("--state-partitions", type=int, help="frozen in the checkpoint; default: the session's")
+    stream.add_argument("--side", action="append", default=[], choices=SIDE_TABLES, help="also fill this side table")
+    stream.add_argument("--activity-gap", default=ActivityRules.gap, help="pause that ends a stretch of activity")
+    stream.add_argument("--sketch-rollup", default="1 hour", help="window of the stored user sketches")
+    stream.add_argument("--thresholds", help="folder of learned thresholds that alerts follow where one is in force")
+    learn = commands.add_parser("calibrate", parents=[common], help="publish alert thresholds learned from stored campaigns")
+    learn.add_argument("--thresholds", required=True)
+    packed = commands.add_parser("compact", parents=[common], help="rewrite a stream's batches of whole days into few files")
+    packed.add_argument("--from-day", type=date.fromisoformat, required=True)
+    packed.add_argument("--to-day", type=date.fromisoformat, required=True, help="first UTC day not to compact")
+    packed.add_argument("--table", action="append", choices=(*TABLES, *SIDE_TABLES), help="default: the five result tables")
+    packed.add_argument("--latest-only", action="store_true", help="for tables written in update or complete mode")
+    packed.add_argument("--ended", action="store_true", help="no stream writes any more: compact newest batches as well")
+    packed.add_argument("--vacuum-hours", type=float, help="then remove what has been unused for so long")
     bounded = commands.add_parser("backfill", parents=[common, job])
     bounded.add_argument("--from-day", type=date.fromisoformat, required=True, help="first UTC day to recompute")
     bounded.add_argument("--to-day", type=date.fromisoformat, required=True, help="first UTC day not to recompute")
@@ -100,6 +117,17 @@ def main(argv: Sequence[str] | None = None) -> None:
         else:
             print_rows(rows)
         return
+    if args.command == "calibrate":
+        learned = learned_thresholds(store.read(spark, CAMPAIGN))
+        print(f"version {ThresholdTable(args.thresholds).publish(learned)}")
+        return
+    if args.command == "compact":
+        for table in args.table or TABLES:
+            days = store.compact(spark, table, args.from_day, args.to_day, args.latest_only, args.ended)
+            print(f"{table}: {days} days")
+            if args.vacuum_hours is not None:
+                store.vacuum(spark, table, timedelta(hours=args.vacuum_hours))
+        return
     config = PipelineConfig(
         window=args.window,
         watermark=args.watermark,
@@ -126,7 +154,21 @@ def main(argv: Sequence[str] | None = None) -> None:
         until_caught_up=args.until_caught_up,
         unique_events=args.unique_events,
         state_partitions=args.state_partitions,
+        thresholds=ThresholdTable(args.thresholds) if args.thresholds else None,
     )
+    if args.side:
+        queries += start_side_streams(
+            spark,
+            read_stream(spark, source),
+            store,
+            args.checkpoint,
+            args.side,
+            config,
+            rules=ActivityRules(gap=args.activity_gap),
+            sketch_rollup=args.sketch_rollup,
+            until_caught_up=args.until_caught_up,
+            state_partitions=args.state_partitions,
+        )
     if args.until_caught_up:
         drain(queries)
     else:

@@ -13,8 +13,8 @@ ev AS (
     CASE WHEN event_id % 80 = 1 THEN NULL
          WHEN event_id % 10 < 3 THEN '192.168.0.' || CAST((event_id // 10) % 20 AS VARCHAR)
          ELSE '10.0.0.' || CAST(user_id AS VARCHAR) END AS ip_address,
-    CASE WHEN event_id % 80 = 4 THEN 'XXXX'
-         ELSE (['US','CN','UK','DE','PS','FR','JP','CA','AU','BR','IN','KR','MX','ES','IT'])[user_id % 15 + 1]
+    CASE WHEN event_id % 80 = 4 THEN 'nowhere'
+         ELSE (['SE','NO','FI','DK','PL','CZ','AT','CH','NL','BE','PT','GR','IE','NZ','CL'])[user_id % 15 + 1]
          END AS country,
     event_type AS action,
     CASE WHEN event_id % 80 <> 3 THEN 'campaign_' || CAST(event_id % 10 + 1 AS VARCHAR) END AS campaign_id,
@@ -323,9 +323,12 @@ def oracle_sql() -> dict[str, str]:
             windows("g", HOUR),
             windows("c", HOUR, "campaign_id"),
             windows("k", HOUR, "country"),
+            f"a AS ({alerts('c', 'campaign')} UNION ALL {alerts('g', 'global')})",
             """SELECT 'traffic_metrics' AS table_name, count(*) AS row_count, max(window_start) AS latest_window FROM g
             UNION ALL SELECT 'campaign_metrics', count(*), max(window_start) FROM c
-            UNION ALL SELECT 'country_metrics', count(*), max(window_start) FROM k""",
+            UNION ALL SELECT 'country_metrics', count(*), max(window_start) FROM k
+            UNION ALL SELECT 'quality_metrics', count(*), max(window_start) FROM g
+            UNION ALL SELECT 'alerts', count(*), max(window_start) FROM a""",
         ),
         "ingest_rate": sql(
             """SELECT time_bucket(INTERVAL '1 minute', event_timestamp, TIMESTAMP '1970-01-01') AS bucket_start,
@@ -361,6 +364,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "detection_quality": sql(
             windows("m", WEEK, "campaign_id"),
+            f"""
+truth AS (
+  SELECT time_bucket(INTERVAL '{WEEK}', event_timestamp, TIMESTAMP '1970-01-01') AS w, campaign_id AS campaign,
+         2 * count(*) FILTER (WHERE ip_address LIKE '192.168.0.%') > count(*) AS a
+  FROM ev WHERE event_timestamp IS NOT NULL GROUP BY ALL
+)""",
             """SELECT true_positives, false_positives, false_negatives, true_negatives,
             CASE WHEN true_positives + false_positives > 0
                  THEN round(true_positives / (true_positives + false_positives), 6) END AS precision,
@@ -372,8 +381,8 @@ def oracle_sql() -> dict[str, str]:
                          count(*) FILTER (WHERE p AND NOT a) AS false_positives,
                          count(*) FILTER (WHERE NOT p AND a) AS false_negatives,
                          count(*) FILTER (WHERE NOT p AND NOT a) AS true_negatives
-                  FROM (SELECT is_suspicious AS p,
-                        coalesce(campaign_id IN ('campaign_1', 'campaign_2', 'campaign_3'), false) AS a FROM m))""",
+                  FROM (SELECT is_suspicious AS p, a FROM m
+                        JOIN truth ON w = window_start AND campaign IS NOT DISTINCT FROM campaign_id))""",
         ),
         "stream_global_metrics": rolled(HOUR, "", TRAFFIC_COLUMNS),
         "stream_campaign_metrics": rolled(HOUR, "campaign_id", CAMPAIGN_COLUMNS),

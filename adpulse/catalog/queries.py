@@ -35,11 +35,11 @@ from adpulse.operators import activity, baselines, evaluation, sketches
 from adpulse.plans import TimeRange, health, views
 from adpulse.plans.backfill import backfill
 from adpulse.plans.reports import report
-from adpulse.schemas import ALERTS, CAMPAIGN, COUNTRY, QUALITY, TRAFFIC
+from adpulse.schemas import ALERTS, CAMPAIGN, COUNTRY, QUALITY, SIDE_TABLES, TABLE_GRAINS, TRAFFIC
 from adpulse.session import scratch_path, staged
 from adpulse.sources import ResultStore, json_events, typed_events
 from adpulse.sources.demo_events import json_event_stream
-from adpulse.streaming import start_pipeline
+from adpulse.streaming import start_pipeline, start_side_streams
 from adpulse.streaming.pipeline import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,19 +64,20 @@ QUIET_WINDOWS, QUIET_HITS = 20, 2
 # Four standard errors of the sketches, plus rounding at small counts.
 APPROX_TOLERANCE, SKETCH_TOLERANCE, SMALL_COUNT = 0.20, 0.08, 3
 CLOSING_EVENT = '{"timestamp": "2200-01-01 00:00:00.000", "ip_address": "closing"}'
-BOT_CAMPAIGNS = ("campaign_1", "campaign_2", "campaign_3")
+# Addresses of the fixture's bots start like this.
+BOT_POOL = "192.168.0."
 
 
-def _scored(spark: SparkSession, sf_dir: str, grains: Sequence[str], config: PipelineConfig) -> DataFrame:
+def scored_of(spark: SparkSession, sf_dir: str, grains: Sequence[str], config: PipelineConfig) -> DataFrame:
     return scored_rollup(typed_events(spark, sf_dir), grains, config)
 
 
 def _traffic(spark: SparkSession, sf_dir: str, config: PipelineConfig = HOUR) -> DataFrame:
-    return traffic_metrics(_scored(spark, sf_dir, ["global"], config))
+    return traffic_metrics(scored_of(spark, sf_dir, ["global"], config))
 
 
-def _campaigns(spark: SparkSession, sf_dir: str, config: PipelineConfig = HOUR) -> DataFrame:
-    return campaign_metrics(_scored(spark, sf_dir, ["campaign"], config))
+def campaigns_of(spark: SparkSession, sf_dir: str, config: PipelineConfig = HOUR) -> DataFrame:
+    return campaign_metrics(scored_of(spark, sf_dir, ["campaign"], config))
 
 
 def _ranged(
@@ -140,19 +141,19 @@ def unique_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def country_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return country_metrics(_scored(spark, sf_dir, ["country"], HOUR))
+    return country_metrics(scored_of(spark, sf_dir, ["country"], HOUR))
 
 
 def quality_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_metrics(_scored(spark, sf_dir, ["global"], HOUR_APPROX))
+    return quality_metrics(scored_of(spark, sf_dir, ["global"], HOUR_APPROX))
 
 
 def all_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir, ["global", "campaign", "country"], DAY).drop("malformed_events", "total_events")
+    return scored_of(spark, sf_dir, ["global", "campaign", "country"], DAY).drop("malformed_events", "total_events")
 
 
 def without_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _campaigns(spark, sf_dir, DAY.with_(exclude_malformed=True))
+    return campaigns_of(spark, sf_dir, DAY.with_(exclude_malformed=True))
 
 
 def campaign_metrics_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +190,7 @@ def campaign_metrics_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def click_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = click_through(_campaigns(spark, sf_dir, DAY.with_(distinct="approx")))
+    rates = click_through(campaigns_of(spark, sf_dir, DAY.with_(distinct="approx")))
     return rates.select("window_start", "campaign_id", "total_clicks", "total_views", "click_through_rate")
 
 
@@ -197,29 +198,29 @@ def click_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def campaign_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts(_scored(spark, sf_dir, ["campaign"], WEEK), ["campaign"], WEEK)
+    return alerts(scored_of(spark, sf_dir, ["campaign"], WEEK), ["campaign"], WEEK)
 
 
 def global_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts(_scored(spark, sf_dir, ["global"], WEEK), ["global"], WEEK)
+    return alerts(scored_of(spark, sf_dir, ["global"], WEEK), ["global"], WEEK)
 
 
 def all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts(_scored(spark, sf_dir, ["global", "campaign"], WEEK), config=WEEK)
+    return alerts(scored_of(spark, sf_dir, ["global", "campaign"], WEEK), config=WEEK)
 
 
 def three_day_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts(_scored(spark, sf_dir, ["global", "campaign"], THREE_DAYS), config=THREE_DAYS)
+    return alerts(scored_of(spark, sf_dir, ["global", "campaign"], THREE_DAYS), config=THREE_DAYS)
 
 
 def bot_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.with_bot_estimate(_campaigns(spark, sf_dir, WEEK), 6)
+    rows = views.with_bot_estimate(campaigns_of(spark, sf_dir, WEEK), 6)
     return rows.select("window_start", "campaign_id", "hits_per_user_ratio", "bot_percent")
 
 
 def risk_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many campaign windows fall into each risk class."""
-    rows = views.with_bot_estimate(_campaigns(spark, sf_dir, WEEK))
+    rows = views.with_bot_estimate(campaigns_of(spark, sf_dir, WEEK))
     return rows.groupBy("risk_category", "severity_level").agg(F.count("*").alias("windows"))
 
 
@@ -297,7 +298,8 @@ def campaign_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def campaign_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.campaign_list(_campaigns(spark, sf_dir, HOUR_APPROX))
+    """The campaigns that have any window, from the key column alone: no window is computed for it."""
+    return views.campaign_list(typed_events(spark, sf_dir).where(F.col("event_timestamp").isNotNull()))
 
 
 # -- health ------------------------------------------------------------------------------------------------------
@@ -336,14 +338,9 @@ def tracer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of the three metric tables, from one rollup of all grains."""
-    scored = _scored(spark, sf_dir, ["global", "campaign", "country"], HOUR_APPROX)
-    names = F.create_map(*(F.lit(x) for pair in zip(("global", "campaign", "country"), (TRAFFIC, CAMPAIGN, COUNTRY)) for x in pair))
-    return (
-        scored.groupBy("grain")
-        .agg(F.count("*").alias("row_count"), F.max("window_start").alias("latest_window"))
-        .select(names[F.col("grain")].alias("table_name"), "row_count", "latest_window")
-    )
+    """Row counts and newest windows of the five stored tables."""
+    rows = report(spark, stored_tables(spark, sf_dir), "stats", TimeRange.auto(AS_OF))
+    return rows.withColumn("latest_window", wall_clock(F.col("latest_window"), HOUR.event_zone))
 
 
 def ingest_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -353,7 +350,7 @@ def ingest_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- sketches ----------------------------------------------------------------------------------------------------
 
 
-def _close(estimated: Column, exact: Column, tolerance: float) -> Column:
+def close_to(estimated: Column, exact: Column, tolerance: float) -> Column:
     return F.abs(estimated - exact) <= F.greatest(F.lit(SMALL_COUNT), exact * tolerance)
 
 
@@ -365,7 +362,7 @@ def approx_users_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_distinct("ip_address").alias("exact_users"),
         F.approx_count_distinct("ip_address", HOUR.rsd).alias("estimate"),
     )
-    bound = _close(F.col("estimate"), F.col("exact_users"), APPROX_TOLERANCE).alias("within_bound")
+    bound = close_to(F.col("estimate"), F.col("exact_users"), APPROX_TOLERANCE).alias("within_bound")
     return counted.select(F.col("w.start").alias("window_start"), "campaign_id", "exact_users", bound)
 
 
@@ -378,7 +375,7 @@ def sketch_merge_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = traffic_metrics(scored_rollup(events, ["global"], DAY)).select(
         "window_start", F.col("unique_users").alias("exact_users")
     )
-    bound = _close(F.col("unique_users"), F.col("exact_users"), SKETCH_TOLERANCE).alias("within_bound")
+    bound = close_to(F.col("unique_users"), F.col("exact_users"), SKETCH_TOLERANCE).alias("within_bound")
     return daily.join(exact, "window_start").select("window_start", "total_hits", "exact_users", bound)
 
 
@@ -386,14 +383,14 @@ def sketch_merge_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def learned_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = baselines.learned_thresholds(_campaigns(spark, sf_dir))
+    rows = baselines.learned_thresholds(campaigns_of(spark, sf_dir))
     rounded = {name: F.round(name, 6) for name in ("mean_ratio", "deviation", "threshold")}
     return rows.withColumns({**rounded, "valid_from": F.col("valid_from").cast("timestamp_ntz")})
 
 
 def above_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Read twice, by the learning and by the comparison.
-    campaigns = staged(spark, _campaigns(spark, sf_dir), "campaigns")
+    campaigns = staged(spark, campaigns_of(spark, sf_dir), "campaigns")
     rows = baselines.above_baseline(campaigns, baselines.learned_thresholds(campaigns))
     return rows.select("window_start", "campaign_id", "hits_per_user_ratio", F.round("threshold", 6).alias("threshold"))
 
@@ -411,32 +408,42 @@ def low_and_slow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detection_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly campaign alerts against the campaigns known to be visited by bots."""
-    scored = _scored(spark, sf_dir, ["campaign"], WEEK)
-    result = evaluation.confusion(scored, F.col("is_suspicious"), F.col("campaign_id").isin(*BOT_CAMPAIGNS))
+    """Weekly campaign alerts against what is known of the visitors: a campaign is attacked in a week if most of its
+    hits come from addresses of the bot pool. Alerts look at hits per user only."""
+    window = F.window("event_timestamp", WEEK.window)["start"].alias("window_start")
+    events = typed_events(spark, sf_dir).where(F.col("event_timestamp").isNotNull())
+    bots = F.count_if(F.col("ip_address").startswith(BOT_POOL))
+    truth = events.groupBy(window, F.col("campaign_id").alias("campaign")).agg((2 * bots > F.count("*")).alias("attacked"))
+    scored = scored_of(spark, sf_dir, ["campaign"], WEEK)
+    same = (scored["window_start"] == truth["window_start"]) & scored["campaign_id"].eqNullSafe(truth["campaign"])
+    result = evaluation.confusion(scored.join(truth, same), F.col("is_suspicious"), F.col("attacked"))
     return result.withColumns({name: F.round(name, 6) for name in ("precision", "recall", "f1")})
 
 
 # -- streaming and stored tables ---------------------------------------------------------------------------------
 
 
-def _zone_free(table: DataFrame, config: PipelineConfig) -> DataFrame:
+def zone_free(table: DataFrame, config: PipelineConfig) -> DataFrame:
     local = {name: wall_clock(F.col(name), config.event_zone) for name in ("window_start", "window_end")}
     return table.withColumns(local).drop("processed_at", "timestamp")
 
 
-def _stream_into(
-    spark: SparkSession, records: DataFrame, store: ResultStore, table: str, config: PipelineConfig, **options: object
-) -> None:
-    """Runs the job over all records under a checkpoint of its own. One more event, far in the future, lets the
-    watermark pass every window of theirs; its own window stays open."""
+def closing_records(spark: SparkSession) -> DataFrame:
+    """One event far in the future lets the watermark pass every window of the others; its own window stays open."""
     path = scratch_path(spark, "closing")
     spark.range(1).select(F.lit(CLOSING_EVENT).alias("value")).write.text(path)
-    closing = spark.readStream.text(path).select(F.col("value").cast("binary").alias("value"))
+    return spark.readStream.text(path).select(F.col("value").cast("binary").alias("value"))
+
+
+def stream_into(
+    spark: SparkSession, records: DataFrame, store: ResultStore, table: str, config: PipelineConfig, **options: object
+) -> None:
+    """Runs the job over all records under a checkpoint of its own, and closes every window."""
+    start = start_side_streams if table in SIDE_TABLES and table not in TABLE_GRAINS else start_pipeline
     drain(
-        start_pipeline(
+        start(
             spark,
-            records.unionByName(closing),
+            records.unionByName(closing_records(spark)),
             store,
             scratch_path(spark, "checkpoint"),
             tables=[table],
@@ -452,13 +459,13 @@ def _streamed(table: str, config: PipelineConfig, repeats: int = 1, **options: o
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         store = ResultStore(scratch_path(spark, "tables"))
         records = reduce(DataFrame.unionByName, [json_event_stream(spark, sf_dir) for _ in range(repeats)])
-        _stream_into(spark, records, store, table, config, **options)
-        return _zone_free(store.read(spark, table), config)
+        stream_into(spark, records, store, table, config, **options)
+        return zone_free(store.read(spark, table), config)
 
     return run
 
 
-def _event_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+def event_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
     """First day with events and the day after the last one."""
     day = F.to_date("event_timestamp")
     first, last = typed_events(spark, sf_dir).agg(F.min(day), F.max(day)).first()
@@ -468,11 +475,11 @@ def _event_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
 def stream_users_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streamed HLL++ user counts against the exact batch counts."""
     streamed = _streamed(CAMPAIGN, DAY.with_(distinct="approx"))(spark, sf_dir)
-    exact = _campaigns(spark, sf_dir, DAY).select(
+    exact = campaigns_of(spark, sf_dir, DAY).select(
         "window_start", F.col("campaign_id").alias("campaign"), F.col("unique_users").alias("exact_users")
     )
     same = (streamed["window_start"] == exact["window_start"]) & streamed["campaign_id"].eqNullSafe(exact["campaign"])
-    bound = _close(F.col("unique_users"), F.col("exact_users"), APPROX_TOLERANCE).alias("within_bound")
+    bound = close_to(F.col("unique_users"), F.col("exact_users"), APPROX_TOLERANCE).alias("within_bound")
     return streamed.join(exact, same).select(
         streamed["window_start"], "campaign_id", "total_hits", "exact_users", bound
     )
@@ -482,7 +489,7 @@ def stored_campaign_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables written by a bounded run, then a narrow, day-pruned report on one of them."""
     store = ResultStore(scratch_path(spark, "tables"))
     events = parse_events(json_events(spark, sf_dir), HOUR)
-    backfill(spark, events, store, *_event_days(spark, sf_dir), [CAMPAIGN, COUNTRY, QUALITY], HOUR)
+    backfill(spark, events, store, *event_days(spark, sf_dir), [CAMPAIGN, COUNTRY, QUALITY], HOUR)
     newest = store.newest(spark, CAMPAIGN)
     lower, _ = TimeRange.auto(AS_OF, WEEK_MINUTES, 120).bounds(newest, newest, "newest")
     return views.campaign_totals(store.read(spark, CAMPAIGN, since=lower))
@@ -492,46 +499,46 @@ def stored_after_two_backfills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two intervals of days recomputed one after the other, the first of them twice."""
     store = ResultStore(scratch_path(spark, "tables"))
     events = parse_events(json_events(spark, sf_dir), HOUR)
-    first, end = _event_days(spark, sf_dir)
+    first, end = event_days(spark, sf_dir)
     middle = first + (end - first) // 2
     for since, until in ((first, middle), (middle, end), (first, middle)):
         backfill(spark, events, store, since, until, [CAMPAIGN], HOUR)
-    return _zone_free(store.read(spark, CAMPAIGN), HOUR)
+    return zone_free(store.read(spark, CAMPAIGN), HOUR)
 
 
 def stored_after_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A job up to noon of one day, and a job with a new checkpoint from there."""
     store = ResultStore(scratch_path(spark, "tables"))
-    first, end = _event_days(spark, sf_dir)
+    first, end = event_days(spark, sf_dir)
     noon = F.lit(datetime.combine(first + (end - first) // 2, time(12))).cast("timestamp_ntz")
     for part in (F.col("ts") < noon, F.col("ts") >= noon):
-        _stream_into(spark, json_event_stream(spark, sf_dir, part), store, CAMPAIGN, HOUR)
-    return _zone_free(store.read(spark, CAMPAIGN), HOUR)
+        stream_into(spark, json_event_stream(spark, sf_dir, part), store, CAMPAIGN, HOUR)
+    return zone_free(store.read(spark, CAMPAIGN), HOUR)
 
 
 def stored_stream_then_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events streamed, then the first half of the days recomputed over the stream's rows."""
     store = ResultStore(scratch_path(spark, "tables"))
-    _stream_into(spark, json_event_stream(spark, sf_dir), store, CAMPAIGN, HOUR)
-    first, end = _event_days(spark, sf_dir)
+    stream_into(spark, json_event_stream(spark, sf_dir), store, CAMPAIGN, HOUR)
+    first, end = event_days(spark, sf_dir)
     events = parse_events(json_events(spark, sf_dir), HOUR)
     backfill(spark, events, store, first, first + (end - first) // 2, [CAMPAIGN], HOUR)
-    return _zone_free(store.read(spark, CAMPAIGN), HOUR)
+    return zone_free(store.read(spark, CAMPAIGN), HOUR)
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> ResultStore:
+def stored_tables(spark: SparkSession, sf_dir: str) -> ResultStore:
     store = ResultStore(scratch_path(spark, "tables"))
     events = parse_events(json_events(spark, sf_dir), HOUR)
-    backfill(spark, events, store, *_event_days(spark, sf_dir), config=HOUR)
+    backfill(spark, events, store, *event_days(spark, sf_dir), config=HOUR)
     return store
 
 
 def stored_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(spark, _stored(spark, sf_dir), "health", TimeRange.auto(AS_OF))
+    return report(spark, stored_tables(spark, sf_dir), "health", TimeRange.auto(AS_OF))
 
 
 def stored_global_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(spark, _stored(spark, sf_dir), "global-series", LAST_WEEK, zone=HOUR.event_zone)
+    return report(spark, stored_tables(spark, sf_dir), "global-series", LAST_WEEK, zone=HOUR.event_zone)
 
 
 def queries() -> dict[str, Query]:
@@ -540,7 +547,7 @@ def queries() -> dict[str, Query]:
         "malformed_breakdown": event_damage,
         "deduplicated_events": unique_events,
         "global_metrics": _traffic,
-        "campaign_metrics": _campaigns,
+        "campaign_metrics": campaigns_of,
         "country_metrics": country_table,
         "quality_metrics": quality_table,
         "metrics_grouping_sets": all_grains,

@@ -30,6 +30,10 @@ class PipelineConfig:
     # Batches only: set it when files are not written in time order. Every task then sees most windows, and sending
     # one sketch per task and window would cost more than sending the events themselves once.
     unordered_input: bool = False
+    # Batches of several grains with approx users: group by all keys once and merge the grains from these groups, instead
+    # of multiplying the events by the number of grains. It pays where a window has many more events than pairs of
+    # campaign and country; with short windows there are more groups than it saves.
+    lattice: bool = False
     # False counts events without an IP as hits (they can never count as users).
     exclude_malformed: bool = False
     # Shown in alert texts for events without a campaign; None leaves the whole text NULL.

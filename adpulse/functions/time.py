@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,15 @@ from pyspark.sql import types as T
 
 # Fixed value: layout of the event time text.
 EVENT_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss.SSS"
+_UNITS = {
+    "microsecond": 1,
+    "millisecond": 1_000,
+    "second": 1_000_000,
+    "minute": 60_000_000,
+    "hour": 3_600_000_000,
+    "day": 86_400_000_000,
+    "week": 604_800_000_000,
+}
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -39,10 +49,31 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", earlier, later) / 1e6
 
 
+def interval_micros(text: str) -> int:
+    """Length of a fixed interval such as ``10 seconds`` or ``1 day 6 hours``."""
+    parts = re.findall(r"(\d+(?:\.\d+)?)\s*([a-zA-Z]+)", text)
+    if not parts or re.sub(r"(\d+(?:\.\d+)?)\s*([a-zA-Z]+)", "", text).strip():
+        raise ValueError(f"not an interval: {text!r}")
+    total = 0
+    for count, unit in parts:
+        name = unit.lower().rstrip("s")
+        if name not in _UNITS:
+            raise ValueError(f"unit {unit!r} of {text!r} has no fixed length")
+        total += round(float(count) * _UNITS[name])
+    return total
+
+
 def is_zone_free(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.TimestampNTZType)
 
 
+def instant_micros(table: DataFrame, column: str) -> Column:
+    """Microseconds since the epoch; zone-free times count as UTC."""
+    if is_zone_free(table, column):
+        return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), F.col(column))
+    return F.unix_micros(column)
+
+
 def moment(value: datetime | str, like: DataFrame, column: str = "window_start") -> Column:
     """Literal of the same timestamp kind as ``like[column]``, so comparisons need no cast on the column and
     stay pushable. Zone-aware datetimes are reduced to UTC for zone-free columns."""

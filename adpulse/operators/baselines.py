@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adpulse.functions.time import calendar_day
@@ -72,3 +72,34 @@ def above_baseline(
         thresholds, same_campaign & (windows["valid_from"] == thresholds["valid_from"])
     ).drop(thresholds["campaign_id"], thresholds["valid_from"])
     return joined.where(F.col("hits_per_user_ratio") > F.col("threshold"))
+
+
+def in_force(thresholds: DataFrame) -> DataFrame:
+    """``campaign_id, valid_from, valid_until, threshold``: the spans in which each learned threshold holds, up to the
+    campaign's next one (the last has no end). Of several versions for one date the newest holds; a version that could
+    not learn a threshold for a campaign leaves the earlier one in force."""
+    version = F.col("version") if "version" in thresholds.columns else F.lit(0)
+    newest = (
+        thresholds.where(F.col("threshold").isNotNull())
+        .groupBy("campaign_id", "valid_from")
+        .agg(F.max_by("threshold", version).alias("threshold"))
+    )
+    following = F.lead("valid_from").over(Window.partitionBy("campaign_id").orderBy("valid_from"))
+    return newest.withColumn("valid_until", following)
+
+
+def with_learned_thresholds(scored: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """Scored windows whose ``is_suspicious`` follows the campaign's learned threshold where one is in force on the
+    window's day, and the fixed one elsewhere (other grains, new campaigns). As-of join: a window meets the spans of
+    its campaign, of which exactly one holds its day. Rows of a NULL campaign have a threshold of their own."""
+    spans = in_force(thresholds).withColumnsRenamed({"campaign_id": "_campaign", "threshold": "_learned"})
+    day = calendar_day(scored)
+    holds = (
+        (F.col("grain") == "campaign")
+        & F.col("campaign_id").eqNullSafe(F.col("_campaign"))
+        & (day >= F.col("valid_from"))
+        & (F.col("valid_until").isNull() | (day < F.col("valid_until")))
+    )
+    above = F.coalesce(F.col("hits_per_user_ratio") > F.col("_learned"), F.col("is_suspicious"))
+    joined = scored.join(spans, holds, "left").withColumn("is_suspicious", above)
+    return joined.select(*scored.columns)

@@ -6,6 +6,7 @@ the rows still sends at most one partial row per input task (approx) or per dist
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -63,6 +64,8 @@ def rollup(
     counters = _counters(config)
     if config.distinct == "exact" and events.isStreaming:
         grouped = _exact_on_stream(rows, grains, counters)
+    elif config.lattice and config.distinct == "approx" and len(grains) > 1 and not events.isStreaming:
+        grouped = _lattice(_gathered(rows) if config.unordered_input else rows, grains, counters, config)
     else:
         if config.distinct == "exact":
             users = F.count_distinct("ip_address")
@@ -93,6 +96,27 @@ def _gathered(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_place", F.xxhash64("window")).hint("rebalance", "_place").drop("_place")
 
 
+def _lattice(rows: DataFrame, grains: Sequence[str], counters: Sequence[Column], config: PipelineConfig) -> DataFrame:
+    """The grains' groups merged from those of all their keys together: events are grouped once, instead of once per grain,
+    and only groups are multiplied. Users are counted by mergeable sketches of the same deviation."""
+    keys = [key for key in KEYS if any(key in GRAINS[grain] for grain in grains)]
+    size = sketch_size(config.rsd)
+    finest = rows.groupBy("window", *keys).agg(F.hll_sketch_agg("ip_address", size).alias("users"), *counters)
+    sets = [["window", *GRAINS[grain]] for grain in grains]
+    label = F.lit("global")
+    for grain, own in GRAINS.items():
+        if grain in grains and own:
+            label = F.when(F.grouping(own[0]) == 0, grain).otherwise(label)
+    users = F.hll_sketch_estimate(F.hll_union_agg("users")).alias("unique_users")
+    sums = [F.sum(name).alias(name) for name in COUNTERS]
+    return finest.groupingSets(sets, "window", *keys).agg(label.alias("grain"), users, *sums)
+
+
+def sketch_size(rsd: float) -> int:
+    """log2 of the registers that a mergeable sketch needs for a relative standard deviation."""
+    return min(21, max(4, math.ceil(2 * math.log2(1.04 / rsd))))
+
+
 def _exact_on_stream(rows: DataFrame, grains: Sequence[str], counters: Sequence[Column]) -> DataFrame:
     """Streams refuse distinct aggregates: group by address first, then count the addresses."""
     per_address = _aggregate(rows, grains, ("ip_address",), *counters)

@@ -32,6 +32,26 @@ def sketch_windows(
     )
 
 
+def sketch_table(events: DataFrame, config: PipelineConfig = DEFAULT, rollup: str = "1 hour", lg_k: int = LG_K) -> DataFrame:
+    """Rows of the table ``user_sketches``: sketches of the job's windows per campaign and country, merged to windows of
+    ``rollup``. On a (watermarked) stream the two steps are chained states: the first holds sketches of open windows
+    only, the second gets each closed window once. Hot campaigns are combined map-side in the first step."""
+    keys = ["campaign_id", "country"]
+    window = F.window("event_timestamp", config.window).alias("window")
+    fine = (
+        events.where(F.col("event_timestamp").isNotNull())
+        .groupBy(window, *keys)
+        .agg(F.count("*").alias("total_hits"), F.hll_sketch_agg("ip_address", lg_k).alias("users_sketch"))
+    )
+    coarse = (
+        fine.groupBy(F.window(F.window_time("window"), rollup).alias("window"), *keys)
+        .agg(F.sum("total_hits").alias("total_hits"), F.hll_union_agg("users_sketch").alias("users_sketch"))
+    )
+    return coarse.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "total_hits", "users_sketch"
+    )
+
+
 def merge_sketches(sketches: DataFrame, keys: Sequence[str] = ("window_start",)) -> DataFrame:
     """Distinct users over all merged rows: unlike a sum of counts, users seen twice count once."""
     return sketches.groupBy(*keys).agg(

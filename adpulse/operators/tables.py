@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from adpulse.config import DEFAULT, PipelineConfig
 from adpulse.functions import alert_message, incident_severity, quality_status, share_percent
-from adpulse.schemas import ALERTS, CAMPAIGN, COUNTRY, QUALITY, TABLE_COLUMNS, TABLE_GRAINS, TABLES, TRAFFIC
+from adpulse.schemas import ALERTS, CAMPAIGN, COUNTRY, QUALITY, QUALITY_ALERTS, TABLE_COLUMNS, TABLE_GRAINS, TRAFFIC
 
 # Alert kinds, the key of overall alerts and the text each alert starts with.
 CAMPAIGN_ALERT, GLOBAL_ALERT = "RATIO_SPIKE", "GLOBAL_RATIO_SPIKE"
 GLOBAL_KEY = "GLOBAL"
 CAMPAIGN_SUBJECT, GLOBAL_SUBJECT = "Bot attack on ", "Global bot attack"
+MALFORMED_PERCENT = 5.0
 
 
 def _shaped(rows: DataFrame, table: str) -> DataFrame:
@@ -67,7 +68,7 @@ def alerts(
     return _shaped(rows, ALERTS)
 
 
-def quality_alerts(quality: DataFrame, threshold_percent: float = 5.0) -> DataFrame:
+def quality_alerts(quality: DataFrame, threshold_percent: float = MALFORMED_PERCENT) -> DataFrame:
     """Windows whose malformed share exceeds the threshold."""
     share = share_percent(F.col("malformed_events"), F.col("total_events"))
     return (
@@ -77,6 +78,11 @@ def quality_alerts(quality: DataFrame, threshold_percent: float = 5.0) -> DataFr
     )
 
 
+def quality_alert_rows(scored: DataFrame) -> DataFrame:
+    """Rows of the table ``quality_alerts``, by event time."""
+    return _shaped(quality_alerts(quality_metrics(scored)).withColumn("source", F.lit("event_time")), QUALITY_ALERTS)
+
+
 def grains_for(tables: Iterable[str]) -> tuple[str, ...]:
     """Grains needed to derive the tables, in a stable order (stream state depends on it)."""
     needed = {grain for table in tables for grain in TABLE_GRAINS[table]}
@@ -91,7 +97,8 @@ def derive(scored: DataFrame, table: str, config: PipelineConfig = DEFAULT) -> D
         CAMPAIGN: campaign_metrics,
         COUNTRY: country_metrics,
         QUALITY: quality_metrics,
+        QUALITY_ALERTS: quality_alert_rows,
     }
     if table not in builders:
-        raise ValueError(f"unknown table {table!r}; have {', '.join(TABLES)}")
+        raise ValueError(f"table {table!r} is not derived from window metrics; {', '.join(TABLE_GRAINS)} are")
     return builders[table](scored)

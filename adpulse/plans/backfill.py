@@ -29,8 +29,9 @@ def backfill(
 ) -> None:
     """Recomputes the windows that start on the UTC days from ``since`` up to, not including, ``until``. They replace
     all rows of those days in the store, whoever wrote them, so ``events`` must hold every event of these windows.
-    Refused are parts of days and days whose windows may still be open: rows that a stream writes to a recomputed day
-    afterwards are not read.
+    They change in one commit, for all days and tables. Refused are parts of days and days whose windows may still be open
+    by the clock; rows that a stream which lags behind the clock writes to a recomputed day afterwards are not read, and
+    ``ResultStore.hidden_batches`` names them.
 
     One scan of the events feeds all tables: the windows of all grains are staged once, the tables are projected
     from there, and the staged copy is removed."""
@@ -43,8 +44,7 @@ def backfill(
     try:
         stamped.write.partitionBy("grain").parquet(path)
         scored = spark.read.schema(stamped.schema).parquet(path)
-        for table in tables:
-            store.replace_days(table, derive(scored, table, config), since, until)
+        store.replace_days_of({table: derive(scored, table, config) for table in tables}, since, until, spark)
     finally:
         folders.remove(spark, path)
 

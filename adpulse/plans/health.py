@@ -83,3 +83,48 @@ def ingest_rate(events: DataFrame, horizon: str = "3 seconds") -> DataFrame:
 def processing_lag(table: DataFrame) -> DataFrame:
     """Seconds between a window's end and the batch that wrote it."""
     return table.withColumn("lag_seconds", seconds_between(F.col("processed_at"), F.col("window_end")))
+
+
+def arrival_totals(arrivals: DataFrame) -> DataFrame:
+    """What a job has read since its checkpoint began, over all restarts: events, those without a valid time, malformed
+    ones, batches, and events per second between the first and the last batch."""
+    totals = arrivals.agg(
+        F.coalesce(F.sum("events"), F.lit(0)).alias("events"),
+        F.coalesce(F.sum(F.when(F.col("event_window_start").isNull(), F.col("events"))), F.lit(0)).alias("untimed_events"),
+        F.coalesce(F.sum("malformed_events"), F.lit(0)).alias("malformed_events"),
+        F.count_distinct("processed_at").alias("batches"),
+        F.min("processed_at").alias("first_batch"),
+        F.max("processed_at").alias("last_batch"),
+    )
+    seconds = seconds_between(F.col("last_batch"), F.col("first_batch"))
+    return totals.withColumn("events_per_second", F.try_divide(F.col("events"), seconds))
+
+
+def arrival_rate(arrivals: DataFrame) -> DataFrame:
+    """Events and events per second by processing time."""
+    seconds = seconds_between(F.col("window_end"), F.col("window_start"))
+    counted = arrivals.groupBy("window_start", "window_end").agg(F.sum("events").alias("events"))
+    return counted.select(F.col("window_start").alias("bucket_start"), "events", (F.col("events") / seconds).alias("events_per_second"))
+
+
+def late_events(arrivals: DataFrame, quality: DataFrame) -> DataFrame:
+    """Late events per closed event-time window, counted as events: what arrived for it (table ``arrivals``) less what its
+    metrics counted (table ``quality_metrics``). Windows that end after the last closed one are left out, as their
+    events may still be counted; a window without metrics before it came too late as a whole. Both queries must have
+    read the same input: while ``arrivals`` lags behind, differences are negative."""
+    arrived = (
+        arrivals.where(F.col("event_window_start").isNotNull())
+        .groupBy(F.col("event_window_start").alias("window_start"), F.col("event_window_end").alias("window_end"))
+        .agg(F.sum("events").alias("arrived_events"))
+    )
+    counted = quality.groupBy("window_start").agg(F.sum("total_events").alias("counted"))
+    closed = quality.agg(F.max("window_end").alias("closed"))
+    joined = arrived.where(F.col("window_end") <= closed.scalar()).join(counted, "window_start", "left")
+    counted_events = F.coalesce(F.col("counted"), F.lit(0))
+    return joined.select(
+        "window_start",
+        "window_end",
+        "arrived_events",
+        counted_events.alias("counted_events"),
+        (F.col("arrived_events") - counted_events).alias("late_events"),
+    )

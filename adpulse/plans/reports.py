@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adpulse.operators.drift import country_drift
+from adpulse.operators.sketches import estimate, merge_sketches
 from adpulse.plans import health, views
 from adpulse.plans.ranges import TimeRange
-from adpulse.schemas import ALERTS, CAMPAIGN, COUNTRY, QUALITY, TABLES, TRAFFIC, ddl
+from adpulse.schemas import ADDRESSES, ALERTS, ARRIVALS, CAMPAIGN, COUNTRY, QUALITY, SKETCHES, TABLES, TRAFFIC, ddl
 from adpulse.sources.store import ResultStore
 
 REPORTS = (
@@ -21,6 +23,14 @@ REPORTS = (
     "quality",
     "health",
     "stats",
+    "processing-lag",
+    "country-drift",
+    # From side tables.
+    "campaign-users",
+    "low-and-slow",
+    "arrivals",
+    "arrival-rate",
+    "late-events",
 )
 NEEDS_CAMPAIGN = ("campaign-series", "campaign-breakdown", "campaign-profile")
 
@@ -68,4 +78,19 @@ def report(
         return views.quality_summary(rows(QUALITY))
     if name == "health":
         return health.pipeline_health(store.newest(spark, TRAFFIC).withColumnRenamed("newest", "window_start"), time_range.as_of)
+    if name == "processing-lag":
+        return health.processing_lag(rows(TRAFFIC)).select("window_start", "window_end", "processed_at", "lag_seconds")
+    if name == "country-drift":
+        return country_drift(rows(COUNTRY))
+    if name == "campaign-users":
+        return estimate(merge_sketches(rows(SKETCHES), ["campaign_id"]))
+    if name == "low-and-slow":
+        return rows(ADDRESSES).where("is_low_and_slow")
+    if name == "arrivals":
+        return health.arrival_totals(store.read(spark, ARRIVALS))
+    if name == "arrival-rate":
+        return health.arrival_rate(rows(ARRIVALS))
+    if name == "late-events":
+        # Arrivals are kept by time of arrival, so those of a range of windows may lie anywhere after it.
+        return health.late_events(store.read(spark, ARRIVALS), store.read(spark, QUALITY))
     return health.table_stats({table: store.read(spark, table) for table in TABLES})

@@ -18,6 +18,11 @@ _COUNTS = {"unique_users": "bigint", "total_hits": "bigint", "total_clicks": "bi
 _SCORES = {"hits_per_user_ratio": "double", "severity_level": "string"}
 _STAMP = {"processed_at": "timestamp"}
 
+# Side tables: written by queries of their own, each only where it is asked for.
+SKETCHES, ADDRESSES = "user_sketches", "address_activity"
+ARRIVALS, UNTIMED, QUALITY_ALERTS = "arrivals", "untimed_events", "quality_alerts"
+SIDE_TABLES = (SKETCHES, ADDRESSES, ARRIVALS, UNTIMED, QUALITY_ALERTS)
+
 # Column order and types of each result table.
 TABLE_COLUMNS: dict[str, dict[str, str]] = {
     TRAFFIC: {**_BOUNDS, **_COUNTS, **_SCORES, **_STAMP},
@@ -36,6 +41,38 @@ TABLE_COLUMNS: dict[str, dict[str, str]] = {
         **_SCORES,
         **_STAMP,
     },
+    SKETCHES: {**_BOUNDS, "campaign_id": "string", "country": "string", "total_hits": "bigint", "users_sketch": "binary"},
+    # A stretch of activity of one address: from its first window's start to its last window's end.
+    ADDRESSES: {
+        **_BOUNDS,
+        "ip_address": "string",
+        "first_seen": "timestamp",
+        "last_seen": "timestamp",
+        "total_hits": "bigint",
+        "total_clicks": "bigint",
+        "active_windows": "bigint",
+        "peak_window_hits": "bigint",
+        "duration_seconds": "double",
+        "is_low_and_slow": "boolean",
+    },
+    # By time of arrival: window_start is the start of the processing-time window in which a batch read the events.
+    ARRIVALS: {
+        **_BOUNDS,
+        "event_window_start": "timestamp",
+        "event_window_end": "timestamp",
+        "events": "bigint",
+        "malformed_events": "bigint",
+        "processed_at": "timestamp",
+    },
+    UNTIMED: {**_BOUNDS, **{name: "string" for name in EVENT_FIELDS}, "copies": "bigint", "processed_at": "timestamp"},
+    QUALITY_ALERTS: {
+        **_BOUNDS,
+        "source": "string",
+        "malformed_events": "bigint",
+        "total_events": "bigint",
+        "malformed_percent": "double",
+        "status": "string",
+    },
 }
 
 # What identifies a row of each table (used for upserts and for picking the newest version of a row).
@@ -45,6 +82,11 @@ TABLE_KEYS: dict[str, tuple[str, ...]] = {
     COUNTRY: ("window_start", "country"),
     QUALITY: ("window_start",),
     ALERTS: ("window_start", "campaign_id", "alert_type"),
+    SKETCHES: ("window_start", "campaign_id", "country"),
+    ADDRESSES: ("window_start", "ip_address"),
+    ARRIVALS: ("processed_at", "event_window_start"),
+    UNTIMED: ("processed_at", *EVENT_FIELDS),
+    QUALITY_ALERTS: ("window_start", "source"),
 }
 
 # Aggregation grains each table is derived from.
@@ -54,6 +96,7 @@ TABLE_GRAINS: dict[str, tuple[str, ...]] = {
     COUNTRY: ("country",),
     QUALITY: ("global",),
     ALERTS: ("global", "campaign"),
+    QUALITY_ALERTS: ("global",),
 }
 
 

@@ -13,12 +13,11 @@ from adpulse.functions.time import EVENT_TIME_PATTERN
 from adpulse.operators.parse import malformed_flag
 from adpulse.schemas import EVENT_FIELDS
 
-# Fixed values.
-COUNTRIES = ("US", "CN", "UK", "DE", "PS", "FR", "JP", "CA", "AU", "BR", "IN", "KR", "MX", "ES", "IT")
+COUNTRIES = ("SE", "NO", "FI", "DK", "PL", "CZ", "AT", "CH", "NL", "BE", "PT", "GR", "IE", "NZ", "CL")
 DEVICES = ("mobile", "desktop", "tablet")
 BAD_IP, BAD_TIME, BAD_CAMPAIGN, BAD_COUNTRY = 1, 2, 3, 4
 DAMAGE_CYCLE = 80
-BAD_TIME_TEXT, BAD_COUNTRY_TEXT = "INVALID_TIMESTAMP", "XXXX"
+BAD_TIME_TEXT, BAD_COUNTRY_TEXT = "no time given", "nowhere"
 
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 

@@ -49,6 +49,22 @@ def test_reports_show_and_write_every_row(spark, tmp_path, capsys):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 36
 
 
+def test_side_tables_thresholds_and_compaction(spark, tmp_path, source, capsys):
+    store, thresholds = f"file://{tmp_path}/tables", f"file://{tmp_path}/thresholds"
+    side = [part for table in ("arrivals", "untimed_events", "user_sketches", "address_activity") for part in ("--side", table)]
+    job = ["stream", *source, "--store", store, "--checkpoint", f"file://{tmp_path}/c", "--window", "1 minute", "--until-caught-up"]
+    main([*job, *side, "--activity-gap", "10 minutes", "--sketch-rollup", "10 minutes", "--thresholds", thresholds])
+    assert report(capsys, store, "arrivals").split("\n")[1].startswith("61\t0\t0\t1\t")
+    assert "campaign_1\t60\t31" in report(capsys, store, "campaign-users", "--mode", "current")
+    assert report(capsys, store, "late-events").strip().endswith("\t60\t60\t0")
+    assert "lag_seconds" in report(capsys, store, "processing-lag", "--mode", "current")
+    main(["calibrate", "--store", store, "--thresholds", thresholds])
+    assert "version 1" in capsys.readouterr().out
+    main(["compact", "--store", store, *DAYS, "--table", "campaign_metrics", "--ended", "--vacuum-hours", "0"])
+    assert "campaign_metrics: 1 days" in capsys.readouterr().out
+    assert "campaign_1\t60\t" in report(capsys, store, "top-campaigns", "--mode", "current")
+
+
 def test_wrong_arguments_are_refused(capsys):
     for args in (["report", "weather", "--store", "x"], ["stream", "--store", "x"], []):
         with pytest.raises(SystemExit):

@@ -8,7 +8,7 @@ from adpulse.operators import derive, parse_events, scored_rollup
 from adpulse.plans import TimeRange
 from adpulse.plans.backfill import backfill
 from adpulse.plans.reports import REPORTS, report
-from adpulse.schemas import ALERTS, CAMPAIGN, TABLE_COLUMNS, TABLES, TRAFFIC
+from adpulse.schemas import ALERTS, CAMPAIGN, SIDE_TABLES, TABLE_COLUMNS, TABLES, TRAFFIC
 from adpulse.session import session_conf
 from adpulse.sources import ResultStore, SourceConfig, json_events, read_batch
 from conftest import event, plan_text, records
@@ -166,10 +166,11 @@ def test_narrow_reads_touch_few_columns(spark, filled):
 
 def test_every_report_runs_on_stored_tables(spark, filled):
     as_of = datetime(2024, 1, 31, 0, 5)
+    filled.create(spark, SIDE_TABLES)  # not filled by a backfill
     for time_range in (TimeRange.auto(as_of, 1440 * 20, 120), TimeRange.historical(as_of, 24, 0, 1440 * 20)):
         for name in REPORTS:
             rows = report(spark, filled, name, time_range, "campaign_2", "+02:00").collect()
-            assert rows or name == "alerts"
+            assert rows or name in ("alerts", "campaign-users", "low-and-slow", "arrival-rate", "late-events")
     with pytest.raises(ValueError):
         report(spark, filled, "weather", TimeRange.current(as_of))
     with pytest.raises(ValueError):
@@ -202,3 +203,150 @@ def test_topic_options():
         "maxOffsetsPerTrigger": "1000",
     }
     assert "maxOffsetsPerTrigger" not in SourceConfig.kafka("broker:9092", "ads").options
+
+
+# -- commits -----------------------------------------------------------------------------------------------------
+
+
+def _batches(spark, store, table=CAMPAIGN, writer="w", days=(9, 10, 11), batches=3):
+    """One row per day and batch."""
+    for batch in range(batches):
+        lines = [event(batch + 1, timestamp=f"2026-01-{day:02d} 10:00:0{batch + 1}.000") for day in days]
+        scored = scored_rollup(parse_events(records(spark, lines), CONFIG), config=CONFIG)
+        store.write(table, derive(scored.withColumn("processed_at", F.current_timestamp()), table), batch, writer=writer)
+
+
+def _per_day(spark, store, table=CAMPAIGN):
+    days = store.read(spark, table).groupBy(F.to_date("window_start").alias("day")).agg(F.count("*").alias("n"), F.sum("total_hits").alias("hits"))
+    return {r["day"].day: (r["n"], r["hits"]) for r in days.collect()}
+
+
+def test_readers_see_a_replacement_whole_or_not_at_all(spark, store, monkeypatch):
+    for table in (CAMPAIGN, TRAFFIC):
+        _batches(spark, store, table)
+    old = {table: _per_day(spark, store, table) for table in (CAMPAIGN, TRAFFIC)}
+    scored = scored_rollup(parse_events(records(spark, [event(1), event(2)]), CONFIG), config=CONFIG).withColumn("processed_at", F.current_timestamp())
+    new = {table: derive(scored, table) for table in (CAMPAIGN, TRAFFIC)}
+    interval = date(2026, 1, 9), date(2026, 1, 11)
+    written = []
+    overwrite = ResultStore._overwrite
+
+    def fail_between(self, table, placed):
+        written.append(table)
+        if len(written) == 2:
+            raise OSError("no space")
+        overwrite(self, table, placed)
+        assert {t: _per_day(spark, store, t) for t in old} == old
+
+    monkeypatch.setattr(ResultStore, "_overwrite", fail_between)
+    with pytest.raises(OSError):
+        store.replace_days_of(new, *interval, spark)
+    monkeypatch.undo()
+    assert {t: _per_day(spark, store, t) for t in old} == old
+
+    def lose_driver(*_):
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(ResultStore, "_commit", lose_driver)
+    with pytest.raises(OSError):
+        store.replace_days_of(new, *interval, spark)
+    monkeypatch.undo()
+    assert {t: _per_day(spark, store, t) for t in old} == old
+    store.replace_days_of(new, *interval, spark)
+    for table in old:
+        assert _per_day(spark, store, table) == {9: (1, 2), 11: old[table][11]}
+    # Folders of the failed runs are not named by any commit.
+    assert store.vacuum(spark, CAMPAIGN, timedelta(0)) > 0
+    assert _per_day(spark, store) == {9: (1, 2), 11: old[CAMPAIGN][11]}
+
+
+def test_a_commit_number_is_taken_once(spark, store):
+    from adpulse.sources import folders
+
+    path = f"{store.base}/_commits/0000000001.json"
+    assert folders.create_new(spark, path, "{}") and not folders.create_new(spark, path, "{1}")
+    assert folders.read_text(spark, path) == "{}" and folders.children(spark, f"{store.base}/_commits") == ["0000000001.json"]
+
+
+def test_replacements_of_two_writers_both_stand(spark, store, monkeypatch):
+    from adpulse.sources import folders
+
+    _batches(spark, store)
+
+    def day(n):
+        start = F.expr(f"timestamp'2026-01-{n:02d} 10:00:00+00:00'")
+        return derive(rows_of(spark, [n]).withColumn("window_start", start), CAMPAIGN)
+
+    create_new, rivals = folders.create_new, []
+
+    def overtaken(spark_, path, text):
+        if not rivals:
+            rivals.append(path)
+            store.replace_days(CAMPAIGN, day(10), date(2026, 1, 10), date(2026, 1, 11))
+        return create_new(spark_, path, text)
+
+    monkeypatch.setattr(folders, "create_new", overtaken)
+    store.replace_days(CAMPAIGN, day(9), date(2026, 1, 9), date(2026, 1, 10))
+    assert _per_day(spark, store) == {9: (1, 1), 10: (1, 1), 11: (3, 3)}
+    assert len(folders.children(spark, f"{store.base}/_commits")) == 2
+
+
+def test_compaction_keeps_what_readers_see(spark, store):
+    _batches(spark, store, writer="a")
+    _batches(spark, store, writer="b", batches=2)
+    month = date(2026, 1, 1), date(2026, 2, 1)
+    before = sorted(map(repr, store.read(spark, CAMPAIGN).collect()))
+    assert store.compact(spark, CAMPAIGN, *month) == 3
+    assert sorted(map(repr, store.read(spark, CAMPAIGN).collect())) == before
+    # The newest batch of each writer is left alone: one file per day for the others.
+    assert len(store.read(spark, CAMPAIGN).inputFiles()) == 3 * (1 + 2)
+    assert store.compact(spark, CAMPAIGN, *month) == 0
+    # A replayed covered batch changes nothing, a later one adds.
+    _batches(spark, store, writer="a", batches=1)
+    assert sorted(map(repr, store.read(spark, CAMPAIGN).collect())) == before
+    assert len(store.read(spark, CAMPAIGN).collect()) == 15
+    _batches(spark, store, writer="a", batches=4)
+    assert len(store.read(spark, CAMPAIGN).collect()) == 18
+    assert store.compact(spark, CAMPAIGN, *month, ended=True) == 3
+    assert len(store.read(spark, CAMPAIGN).inputFiles()) == 3 and store.read(spark, CAMPAIGN).count() == 18
+    assert store.newest(spark, CAMPAIGN).first()[0] is not None
+    assert store.vacuum(spark, CAMPAIGN) == 0 and store.vacuum(spark, CAMPAIGN, timedelta(0)) > 0
+    assert store.read(spark, CAMPAIGN).count() == 18 and store.hidden_batches(spark, CAMPAIGN) == []
+
+
+def test_compaction_notices_a_change_in_between(spark, store, monkeypatch):
+    from adpulse.sources.store import CommitConflict
+
+    _batches(spark, store)
+    generation = ResultStore._write_generation
+    raced = []
+
+    def race(self, spark_, table, placed, name):
+        out = generation(self, spark_, table, placed, name)
+        if not raced:
+            raced.append(name)
+            store.replace_days(CAMPAIGN, derive(rows_of(spark, [1, 2, 3]), CAMPAIGN), DAY, date(2026, 1, 10))
+        return out
+
+    monkeypatch.setattr(ResultStore, "_write_generation", race)
+    with pytest.raises(CommitConflict, match="2026-01-09"):
+        store.compact(spark, CAMPAIGN, date(2026, 1, 1), date(2026, 2, 1))
+    assert _per_day(spark, store) == {9: (1, 3), 10: (3, 3), 11: (3, 3)}
+
+
+def test_compaction_of_updated_tables_keeps_newest_versions(spark, store):
+    for batch, seconds in enumerate(([1], [1, 2], [1, 2, 3])):
+        store.write(CAMPAIGN, derive(rows_of(spark, seconds), CAMPAIGN), batch)
+    store.compact(spark, CAMPAIGN, DAY, date(2026, 1, 10), latest_only=True, ended=True)
+    assert [r["total_hits"] for r in store.read(spark, CAMPAIGN).collect()] == [3]
+    store.write(CAMPAIGN, derive(rows_of(spark, [1, 2, 3, 4]), CAMPAIGN), 3)
+    assert [r["total_hits"] for r in store.current(spark, CAMPAIGN).collect()] == [4]
+
+
+def test_rows_hidden_by_a_recomputation_are_named(spark, store):
+    _batches(spark, store, days=(9,))
+    store.replace_days(CAMPAIGN, derive(rows_of(spark, [1]), CAMPAIGN), DAY, date(2026, 1, 10))
+    assert store.hidden_batches(spark, CAMPAIGN) == []
+    _batches(spark, store, days=(9,), batches=5)
+    assert store.hidden_batches(spark, CAMPAIGN) == [(DAY, "w", 3), (DAY, "w", 4)]
+    assert _per_day(spark, store) == {9: (1, 1)}

@@ -247,11 +247,7 @@ def test_totals_cover_more_batches_than_spark_keeps(spark, tmp_path):
         query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
         assert summarise(query.recentProgress).input_rows <= 100
-        for _ in range(100):  # reports arrive on another thread
-            if totals.of(query).batches >= count:
-                break
-            time.sleep(0.1)
-        assert totals.of(query).input_rows == count
+        assert totals.wait(query, 120).input_rows == count
     finally:
         spark.streams.removeListener(totals)
 
