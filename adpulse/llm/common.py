@@ -146,6 +146,35 @@ def words_of(data: np.ndarray, offsets: np.ndarray, separates: np.ndarray = _IS_
     return Words(data, hashes, starts, ends, np.searchsorted(starts, offsets))
 
 
+def lane_words(data: np.ndarray, offsets: np.ndarray, separates: np.ndarray = _IS_SPACE) -> Words:
+    """:func:`words_of` with other hashes, taken from eight bytes of a word at once: a few operations per word instead of
+    some per byte."""
+    data = data[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    inside = ~separates[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    first = inside.copy()
+    first[1:] &= ~inside[:-1] | edge[1:-1]
+    starts = np.flatnonzero(first)
+    inside[:-1] &= ~inside[1:] | edge[1:-1]
+    ends = np.flatnonzero(inside) + 1
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    lanes = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    length = ends - starts
+    hashes = length.astype(np.uint64) * _PLACE
+    left = np.arange(len(length))
+    step = 0
+    while len(left):
+        rest = length[left] - step
+        beyond = np.uint64(8) * np.clip(8 - rest, 0, 7).astype(np.uint64)
+        hashes[left] = mix(hashes[left] * _STEP + (lanes[starts[left] + step] << beyond))
+        left = left[rest > 8]
+        step += 8
+    return Words(data, hashes, starts, ends, np.searchsorted(starts, offsets))
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column, null as empty."""
     column = column.fill_null("").cast(pa.large_string())
@@ -155,7 +184,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_slices(
-    batch: pa.RecordBatch, column: str = "text", separates: np.ndarray = _IS_SPACE
+    batch: pa.RecordBatch, column: str = "text", separates: np.ndarray = _IS_SPACE, words=words_of
 ) -> Iterator[tuple[int, int, Words]]:
     """(from, to, words) of consecutive rows, about ``SLICE_BYTES`` at once."""
     data, offsets = text_buffer(batch.column(column))
@@ -163,5 +192,5 @@ def text_slices(
     while start < count:
         end = int(np.searchsorted(offsets, offsets[start] + SLICE_BYTES, "right")) - 1
         end = min(count, max(start + 1, end))
-        yield start, end, words_of(data, offsets[start : end + 1], separates)
+        yield start, end, words(data, offsets[start : end + 1], separates)
         start = end

@@ -19,10 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import PUNCTUATION, Words, mix, powers, rank_id, row_key, span_hash, staged, text_slices, words_of
+from adpulse.llm.common import PUNCTUATION, Words, lane_words, mix, powers, rank_id, row_key, span_hash, staged, text_slices
 from adpulse.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -35,15 +36,33 @@ COMMON = 2**20
 # Size of the filter that keeps shingles which occur once out of the join; where it is full the join is only larger.
 FILTER_BITS = 27
 
+# Shingles that are counted together, and bytes of text whose counts one task gathers at once.
+COUNTED, PART_BYTES = 2_000_000, 16_000_000
+_CACHED = 2**16
 _TABLE_BITS = 16
 _random = np.random.Generator(np.random.PCG64(5))
 # Per table entry: shape r and log of c, both Gamma(2, 1), and offset beta of the sampling scheme.
-_R = _random.gamma(2.0, 1.0, 2**_TABLE_BITS).astype(np.float32)
-_LOG_C = np.log(_random.gamma(2.0, 1.0, 2**_TABLE_BITS)).astype(np.float32)
-_BETA = _random.random(2**_TABLE_BITS).astype(np.float32)
+_R = _random.gamma(2.0, 1.0, 2**_TABLE_BITS)
+_LOG_C = np.log(_random.gamma(2.0, 1.0, 2**_TABLE_BITS))
+_BETA = _random.random(2**_TABLE_BITS)
+# As the sampling uses them: 1 / r, and log a = (log c - r + r beta) - r level.
+_LOG_A = (_LOG_C - _R + _R * _BETA).astype(np.float32)
+_INVERSE, _R, _BETA = (x.astype(np.float32) for x in (1 / _R, _R, _BETA))
 _SAMPLE_KEYS = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def _text_order(values: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Order by text, then by value: by one key of the text's number and the value's leading bits, unless two values of a
+    text agree in these."""
+    bits = np.uint64(max(1, int(texts.max()).bit_length()))
+    key = (texts.astype(np.uint64) << (np.uint64(64) - bits)) | (values >> bits)
+    order = np.argsort(key)
+    key, sorted_ = key[order], values[order]
+    if np.any((key[1:] == key[:-1]) & (sorted_[1:] != sorted_[:-1])):
+        return np.lexsort((values, texts))
+    return order
+
+
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(shingle, text, count), each shingle of a text once, ordered by text. Texts shorter than ``size`` words but not
     empty have one shingle, all their words."""
@@ -55,10 +74,10 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     if len(short):
         values = np.concatenate([values, span_hash(words.prefix(), words.first[short], words.first[short + 1])])
         texts = np.concatenate([texts, short])
-    order = np.lexsort((values, texts))
-    values, texts = values[order], texts[order]
     if not len(values):
         return values, texts, np.zeros(0, np.int64)
+    order = _text_order(values, texts)
+    values, texts = values[order], texts[order]
     new = np.flatnonzero(np.concatenate([[True], (values[1:] != values[:-1]) | (texts[1:] != texts[:-1])]))
     return values[new], texts[new], np.diff(np.append(new, len(values)))
 
@@ -102,32 +121,54 @@ def _own(batch: pa.RecordBatch, begin: int, end: int, *sides: str) -> tuple[np.n
 def signatures(values: np.ndarray, texts: np.ndarray, weight: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray]:
     """Texts that have shingles, and per such text ``samples`` hashes of the (shingle, level) drawn."""
     first = np.flatnonzero(np.concatenate([[True], texts[1:] != texts[:-1]])) if len(texts) else np.zeros(0, np.int64)
-    size = np.diff(np.append(first, len(texts)))
+    ends = np.append(first, len(texts))[1:]
     log_weight = np.log(weight).astype(np.float32)
     out = np.zeros((len(first), samples), np.uint64)
-    for sample in range(samples if len(first) else 0):
-        entry = ((values * _SAMPLE_KEYS[sample]) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
-        r, beta = _R[entry], _BETA[entry]
-        level = np.floor(log_weight / r + beta)
-        log_a = _LOG_C[entry] - r * (level - beta) - r
-        least = np.flatnonzero(log_a == np.repeat(np.minimum.reduceat(log_a, first), size))
-        # Of equal ones the first, that is the smallest shingle.
-        least = least[np.searchsorted(texts[least], texts[first])]
-        out[:, sample] = mix(values[least] + mix(level[least].astype(np.int64).view(np.uint64)))
+    begin = 0
+    while begin < len(first):  # whole texts, about as many shingles at once as the processor's cache holds
+        end = max(begin + 1, int(np.searchsorted(ends, first[begin] + _CACHED, "right")))
+        own = slice(first[begin], ends[end - 1])
+        places, sizes = first[begin:end] - first[begin], ends[begin:end] - first[begin:end]
+        for sample in range(samples):
+            entry = ((values[own] * _SAMPLE_KEYS[sample]) >> np.uint64(64 - _TABLE_BITS)).view(np.int64)
+            level = log_weight[own] * _INVERSE.take(entry)
+            level += _BETA.take(entry)
+            np.floor(level, out=level)
+            log_a = _R.take(entry)
+            log_a *= level
+            np.subtract(_LOG_A.take(entry), log_a, out=log_a)
+            least = np.flatnonzero(log_a == np.repeat(np.minimum.reduceat(log_a, places), sizes))
+            # Of equal ones the first, that is the smallest shingle.
+            least = least[np.searchsorted(least, places)]
+            out[begin:end, sample] = mix(values[own][least] + mix(level[least].astype(np.int64).view(np.uint64)))
+        begin = end
     return texts[first], out
 
 
-def _counted(size: int):
+def _counted(size: int, part_bits: int):
+    """(part, values, counts): sorted shingles of about ``COUNTED`` places, each once, dealt by their leading bits."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted() -> pa.RecordBatch:
             values, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], ["shingle", "n"])
+            n = n.astype(np.uint32)
+            bounds = np.searchsorted(values >> np.uint64(64 - part_bits), np.arange(2**part_bits + 1, dtype=np.uint64))
+            parts = np.flatnonzero(np.diff(bounds))
+            spans = [(bounds[part], bounds[part + 1]) for part in parts.tolist()]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(parts.astype(np.int32)),
+                    pa.array([values[begin:end].tobytes() for begin, end in spans], pa.binary()),
+                    pa.array([n[begin:end].tobytes() for begin, end in spans], pa.binary()),
+                ],
+                ["part", "values", "counts"],
+            )
 
         held: list[np.ndarray] = []
         for batch in batches:
-            for _, _, words in text_slices(batch, separates=PUNCTUATION):
+            for _, _, words in text_slices(batch, separates=PUNCTUATION, words=lane_words):
                 held.append(shingles(words, size)[0])
-                if sum(map(len, held)) >= 2_000_000:
+                if sum(map(len, held)) >= COUNTED:
                     yield counted()
                     held = []
         if held:
@@ -136,13 +177,27 @@ def _counted(size: int):
     return run
 
 
-def _uncommon(size: int, common: np.ndarray, bits: np.ndarray):
+def _summed(table: pa.Table) -> pa.Table:
+    """(shingle, n) of the shingles of one part that occur more than once."""
+    values, counts = (
+        np.frombuffer(b"".join(table.column(name).to_pylist()), kind) for name, kind in (("values", np.uint64), ("counts", np.uint32))
+    )
+    order = np.argsort(values)
+    values = values[order]
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    n = np.add.reduceat(counts[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    many = n > 1
+    return pa.table({"shingle": pa.array(values[first[many]].view(np.int64)), "n": pa.array(n[many])})
+
+
+def _uncommon(size: int, shared: Broadcast, filter_: Broadcast):
     """(row_key, shingle) of shingles that are not common and may occur more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, bits = shared.value.shingles, filter_.value
         for batch in batches:
             keys = batch.column("row_key").to_numpy(zero_copy_only=False)
-            for begin, _, words in text_slices(batch, separates=PUNCTUATION):
+            for begin, _, words in text_slices(batch, separates=PUNCTUATION, words=lane_words):
                 values, texts, _ = shingles(words, size)
                 place = values >> np.uint64(64 - FILTER_BITS)
                 maybe = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
@@ -155,12 +210,18 @@ def _uncommon(size: int, common: np.ndarray, bits: np.ndarray):
     return run
 
 
-def frequencies(texts: DataFrame, size: int, common: int = COMMON) -> tuple[Frequencies, DataFrame | None]:
+def frequencies(texts: DataFrame, size: int, common: int = COMMON) -> tuple[Broadcast, DataFrame | None]:
     """Document frequencies of the at most ``common`` most frequent shingles, and those of others that occur more than
     once as (row_key, own, own_n) by text, if there are any."""
-    total = texts.count()
+    sizes = texts.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    total = sizes["rows"]
+    # Counts travel as sorted runs, of which a task adds up those of one part; parts grow in number with the texts.
+    part_bits = min(30, max(6, (int(sizes["bytes"]) // PART_BYTES).bit_length()))
     counts = staged(
-        texts.select("text").mapInArrow(_counted(size), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1"),
+        texts.select("text")
+        .mapInArrow(_counted(size, part_bits), "part int, values binary, counts binary")
+        .groupBy("part")
+        .applyInArrow(_summed, "shingle long, n long"),
         "frequencies",
     )
     # One row per frequency that occurs.
@@ -173,7 +234,9 @@ def frequencies(texts: DataFrame, size: int, common: int = COMMON) -> tuple[Freq
     found = counts.where(F.col("n") >= least).toArrow()
     keys = found.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    known = Frequencies(total, keys[order], found.column("n").to_numpy()[order])
+    # One copy for all functions of all stages, of a bounded size.
+    context = texts.sparkSession.sparkContext
+    known = context.broadcast(Frequencies(total, keys[order], found.column("n").to_numpy()[order]))
     if least == 2:
         return known, None
     # Fewer than total / common rows each, so that no key of the join is hot.
@@ -187,16 +250,20 @@ def frequencies(texts: DataFrame, size: int, common: int = COMMON) -> tuple[Freq
     )
     bits = np.zeros(2 ** (FILTER_BITS - 6), np.uint64)
     bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    pairs = texts.select("row_key", "text").mapInArrow(_uncommon(size, known.shingles, bits), "row_key long, shingle long")
+    filter_ = context.broadcast(bits)
+    pairs = texts.select("row_key", "text").mapInArrow(_uncommon(size, known, filter_), "row_key long, shingle long")
     own = pairs.join(others.hint("merge"), "shingle").groupBy("row_key").agg(F.collect_list(F.struct("shingle", "n")).alias("own"))
-    return known, staged(own.select("row_key", F.col("own.shingle").alias("own"), F.col("own.n").alias("own_n")), "own")
+    own = staged(own.select("row_key", F.col("own.shingle").alias("own"), F.col("own.n").alias("own_n")), "own")
+    filter_.destroy()
+    return known, own
 
 
-def _signed(size: int, known: Frequencies, bands: int, rows: int):
+def _signed(size: int, shared: Broadcast, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
         for batch in batches:
             keys, ids = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("row_key", "rank_id"))
-            for begin, end, words in text_slices(batch, separates=PUNCTUATION):
+            for begin, end, words in text_slices(batch, separates=PUNCTUATION, words=lane_words):
                 values, texts, counts = shingles(words, size)
                 weight = counts * known.idf(values, *_own(batch, begin, end))
                 text, drawn = signatures(values, texts, weight, bands * rows)
@@ -229,7 +296,7 @@ def _signed(size: int, known: Frequencies, bands: int, rows: int):
 def weighted_jaccard(a: str, b: str, size: int, known: Frequencies, *own: np.ndarray) -> float:
     data = [x.lower().encode() for x in (a, b)]
     offsets = np.array([0, len(data[0]), len(data[0]) + len(data[1])])
-    values, texts, counts = shingles(words_of(np.frombuffer(b"".join(data), np.uint8), offsets, PUNCTUATION), size)
+    values, texts, counts = shingles(lane_words(np.frombuffer(b"".join(data), np.uint8), offsets, PUNCTUATION), size)
     weight = counts * known.idf(values, *own)
     cut = int(np.searchsorted(texts, 1))
     common, at_a, at_b = np.intersect1d(values[:cut], values[cut:], assume_unique=True, return_indices=True)
@@ -238,8 +305,9 @@ def weighted_jaccard(a: str, b: str, size: int, known: Frequencies, *own: np.nda
     return float(shared / total) if total > 0 else 0.0
 
 
-def _compared(size: int, known: Frequencies):
+def _compared(size: int, shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
         for batch in batches:
             pairs = zip(batch.column("text_a"), batch.column("text_b"))
             values = [
@@ -266,11 +334,12 @@ def prefixes(values: np.ndarray, texts: np.ndarray, weight: np.ndarray, similari
     return values[at], texts[at], rest[at], total[at]
 
 
-def _prefixed(size: int, known: Frequencies, similarity: float):
+def _prefixed(size: int, shared: Broadcast, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
         for batch in batches:
             nodes, components = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("node", "component"))
-            for begin, end, words in text_slices(batch, separates=PUNCTUATION):
+            for begin, end, words in text_slices(batch, separates=PUNCTUATION, words=lane_words):
                 values, texts, counts = shingles(words, size)
                 rarity = known.idf(values, *_own(batch, begin, end))
                 order = np.lexsort((values, -rarity, texts))
@@ -290,17 +359,32 @@ def _prefixed(size: int, known: Frequencies, similarity: float):
     return run
 
 
-def _remaining_pairs(texts: DataFrame, similarity: float, size: int, known: Frequencies) -> DataFrame:
-    """All pairs of nodes (a, b) of different components that may reach the similarity, from (node, component, text, own, own_n)."""
+def index_prefixes(rows: DataFrame, similarity: float) -> DataFrame:
+    """Of ``prefixes`` those with which a text can begin its overlap with one of at least its own weight."""
+    return rows.where(F.col("rest") >= (2 * similarity / (1 + similarity) - 1e-6) * F.col("total"))
+
+
+def _remaining_pairs(texts: DataFrame, similarity: float, size: int, known: Broadcast) -> DataFrame:
+    """All pairs of nodes (a, b) of different components that may reach the similarity, from (node, component, text, own,
+    own_n).
+
+    Of a pair the side with less weight is the index. The overlap is at least s / (1 + s) of both weights, so 2 s / (1 + s)
+    of the index side's and s of the other's: the index needs a shorter prefix. Where many documents share a template and
+    little else, the prefixes of the index hold own shingles only, and the documents do not meet.
+    """
     schema = "shingle long, node long, component long, rest double, total double"
     rows = staged(texts.mapInArrow(_prefixed(size, known, similarity), schema), "prefixes")
-    left, right = (rows.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in rows.columns[1:])) for side in "ab")
+    left, right = (
+        side.select("shingle", *(F.col(c).alias(f"{c}_{name}") for c in rows.columns[1:]))
+        for name, side in (("a", index_prefixes(rows, similarity)), ("b", rows))
+    )
     least = F.lit(similarity / (1 + similarity) - 1e-6) * (F.col("total_a") + F.col("total_b"))
     return (
         left.join(right.hint("merge"), "shingle")
-        .where("node_a < node_b and component_a <> component_b")
+        .where("total_a < total_b or (total_a = total_b and node_a < node_b)")
+        .where("component_a <> component_b")
         .where(F.least("rest_a", "rest_b") >= least)
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
         .distinct()
     )
 
@@ -408,6 +492,7 @@ def near_duplicates(
         if groups is None
         else member.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     )
+    known.destroy()  # whatever used it is staged
     placed = signed.join(member.select(*same, "group"), same).select("row_key", "rank_id", "group").distinct()
     heads = placed.groupBy("group").agg(
         F.min(F.struct("rank_id", "row_key")).alias("head"), F.count(F.lit(1)).alias("group_size")
