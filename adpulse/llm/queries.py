@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adpulse.llm import oracles
-from adpulse.llm.common import documents
+from adpulse.llm.common import documents, staged
 from adpulse.llm.decontaminate import find_leaks
 from adpulse.llm.exact import deduplicate_exact
 from adpulse.llm.importance import resample
@@ -16,7 +16,7 @@ from adpulse.llm.lines import deduplicate_lines
 from adpulse.llm.minhash import near_duplicates
 from adpulse.llm.order import manifest, write_in_training_order
 from adpulse.llm.packing import pack_documents
-from adpulse.llm.quality import fit_quality, score_quality
+from adpulse.llm.quality import fit_quality, quality_features, score_features
 from adpulse.llm.substring import deduplicate_substrings
 from adpulse.llm.toxicity import fit_toxicity, score_toxicity
 from adpulse.llm.urls import judge_urls
@@ -33,8 +33,8 @@ def tokenizer_path() -> str:
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return score_quality(docs, fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))).drop("row_key")
+    features = staged(quality_features(documents(spark, sf_dir)), "features")
+    return score_features(features, fit_quality(features, spark.read.parquet(f"{sf_dir}/labels.parquet"))).drop("row_key")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from adpulse.llm import minhash, toxicity
+from adpulse.llm import common, minhash, quality, toxicity
 from adpulse.llm.components import components
 from adpulse.llm.decontaminate import Index, Settings, drop_leaking, find_leaks
 from adpulse.llm.exact import deduplicate_exact
@@ -22,7 +23,7 @@ from adpulse.llm.lines import deduplicate_lines
 from adpulse.llm.minhash import drop_near_duplicates, near_duplicates
 from adpulse.llm.order import manifest, permute, write_in_training_order
 from adpulse.llm.packing import pack_documents, plan_packing
-from adpulse.llm.quality import co_train, keep_quality, score_quality
+from adpulse.llm.quality import ArrayPool, TablePool, co_train, fit_quality, keep_quality, quality_features, score_features, score_quality
 from adpulse.llm.queries import tokenizer_path
 from adpulse.llm.substring import deduplicate_substrings
 from adpulse.llm.tokens import WordTokenizer
@@ -130,12 +131,13 @@ def test_document_frequencies_are_exact(spark, common):
     df = Counter(shingle for bag in bags.values() for shingle in bag)
     idf = {shingle: math.log(1 + (1 + len(rows)) / (1 + n)) for shingle, n in df.items()}
     texts = spark.createDataFrame(rows, "row_key long, text string").repartition(3)
-    known, own = minhash.frequencies(texts, 5, common)
+    shared, own = minhash.frequencies(texts, 5, common)
+    known = shared.value
     assert len(known.shingles) <= common and (own is None) == (common > len(df))
     joined = {} if own is None else {row["row_key"]: row for row in own.collect()}
     for n, text in rows[::29] + rows[-3:]:
         data = text.encode()
-        values, _, _ = minhash.shingles(minhash.words_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]), minhash.PUNCTUATION), 5)
+        values, _, _ = minhash.shingles(minhash.lane_words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), minhash.PUNCTUATION), 5)
         pair = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         if n in joined:
             keys, counts = np.array(joined[n]["own"], np.int64).view(np.uint64), np.array(joined[n]["own_n"])
@@ -143,6 +145,61 @@ def test_document_frequencies_are_exact(spark, common):
         assert np.allclose(np.sort(known.idf(values, *pair)), sorted(idf[shingle] for shingle in bags[n]))
 
 
+def test_a_shared_template_joins_in_proportion_to_the_documents(spark):
+    """Documents that share four fifths of their words, not enough, meet on nothing in the prefix join."""
+    joined = []
+    for count in (200, 400):
+        template = " ".join("t%d" % n for n in range(300))
+        rows = [(n, n, f"{template} {' '.join('o%dx%d' % (n, k) for k in range(70))}", None, None) for n in range(count)]
+        texts = spark.createDataFrame(rows, "node long, component long, text string, own array<long>, own_n array<long>")
+        known, _ = minhash.frequencies(texts.select(F.col("node").alias("row_key"), "text"), 5)
+        schema = "shingle long, node long, component long, rest double, total double"
+        prefixes = texts.repartition(2).mapInArrow(minhash._prefixed(5, known, 0.8), schema).cache()
+        index = minhash.index_prefixes(prefixes, 0.8)
+        assert index.count() > 0
+        joined.append(index.select("shingle").join(prefixes.select("shingle"), "shingle").count())
+        assert minhash._remaining_pairs(texts, 0.8, 5, known).count() == 0
+    assert joined[1] <= 2.2 * joined[0]
+
+
+def test_prefix_join_finds_every_similar_pair(spark):
+    rng, rows = random.Random(8), []
+    for n in range(60):
+        words = rng.choices(WORDS, k=60) if n % 3 == 0 else rows[-1][2].split()[: 60 - 3 * (n % 3)] + ["x%d" % n]
+        rows.append((n, n, " ".join(words), None, None))
+    texts = spark.createDataFrame(rows, "node long, component long, text string, own array<long>, own_n array<long>")
+    known, _ = minhash.frequencies(texts.select(F.col("node").alias("row_key"), "text"), 5)
+    similar = {
+        (a[0], b[0])
+        for a, b in itertools.combinations(rows, 2)
+        if minhash.weighted_jaccard(a[2], b[2], 5, known.value, np.zeros(0, np.uint64), np.zeros(0, np.int64)) >= 0.7
+    }
+    found = {(r["a"], r["b"]) for r in minhash._remaining_pairs(texts, 0.7, 5, known).collect()}
+    assert similar and similar <= found
+
+
+def test_text_order_survives_equal_leading_bits():
+    values = np.array([5, 3, 5, 4, 2**63 + 1, 5, 3], np.uint64)
+    texts = np.array([0, 0, 0, 0, 1, 1, 1])
+    order = minhash._text_order(values, texts)
+    assert values[order].tolist() == [3, 4, 5, 5, 3, 5, 2**63 + 1] and texts[order].tolist() == [0] * 4 + [1] * 3
+
+
+@pytest.mark.parametrize("separates", [common._IS_SPACE, common.PUNCTUATION])
+def test_lane_hashes_tell_words_apart(separates):
+    rng = random.Random(2)
+    pieces = ["".join(rng.choices("abcdé", k=rng.randrange(1, 30))) for _ in range(400)] + ["", " ", ", ", "x" * 100]
+    texts = [rng.choice([" ", ", ", "\n"]).join(rng.choices(pieces, k=rng.randrange(12))).encode() for _ in range(300)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(text) for text in texts])])
+    fast, plain = common.lane_words(data, offsets, separates), common.words_of(data, offsets, separates)
+    for name in ("starts", "ends", "first"):
+        assert getattr(fast, name).tolist() == getattr(plain, name).tolist()
+    spelled = [data[a:b].tobytes() for a, b in zip(fast.starts, fast.ends)]
+    by_hash = dict(zip(fast.hashes.tolist(), spelled))
+    assert len(by_hash) == len(set(spelled)) and [by_hash[h] for h in fast.hashes.tolist()] == spelled
+
+
 def test_near_duplicates_equal_brute_force(spark):
     rng, rows = random.Random(4), []
     for n in range(40):
@@ -158,8 +215,9 @@ def test_near_duplicates_equal_brute_force(spark):
             low, high = sorted((group[a], group[b]))
             group = [low if g == high else g for g in group]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    found = near_duplicates(docs, bands=30, rows=2, common=20).collect()
-    assert {row["doc_id"]: row["group_id"] for row in found} == dict(enumerate(group))
+    for options in ({"bands": 30, "rows": 2, "common": 20}, {}):  # and the query's own parameters
+        found = near_duplicates(docs, **options).collect()
+        assert {row["doc_id"]: row["group_id"] for row in found} == dict(enumerate(group))
 
 
 def test_sampling_follows_weighted_jaccard():
@@ -313,15 +371,100 @@ def test_toxicity_scores(docs, nothing):
     assert score_toxicity(nothing, model).count() == 0
 
 
+def _clean_and_junk(rng, count, clean=0.75):
+    """Pages of two kinds that differ in words and, mostly, in source and size."""
+    rows, marks = [], {}
+    for n in range(count):
+        good = rng.random() < clean
+        words = rng.choices(WORDS[:200] if good else ["BUY", "$$$", "now!!!", "x9", "CLICK"], k=rng.randrange(5, 80))
+        text = " ".join(words) + ("." if good else "")
+        source = rng.choice(["wiki", "news"]) if good == (rng.random() < 0.95) else "spam"
+        rows.append((n, text, "en", source, len(text), "x", n))
+        marks[n] = int(good)
+    return rows, marks
+
+
 def test_quality(docs, nothing):
     rng = np.random.default_rng(0)
     marks = (np.arange(200) % 4 > 0).astype(float)
-    views = {n: rng.normal(size=(200, w)).astype(np.float32) + marks[:, None] * 2 for n, w in (("content", 432), ("metadata", 60))}
-    pool = {n: v[:100] for n, v in views.items()}
-    model = co_train(views, marks, pool)
+    width = {"content": quality._SHAPES + quality._LAYOUT, "metadata": quality._LANGS + quality._SOURCES + quality._SIZES + 1}
+    views = {n: rng.normal(size=(200, w)).astype(np.float32) + marks[:, None] * 2 for n, w in width.items()}
+    model = co_train(views, marks, ArrayPool(np.arange(100), {n: v[:100] for n, v in views.items()}))
     assert model.pseudo_labels > 0
     assert ((model.scores(views)[2] >= 0.5) == (marks > 0)).mean() > 0.95
     assert score_quality(docs, model).count() == len(ROWS) and score_quality(nothing, model).count() == 0
     kept = keep_quality(docs, model)
     assert kept.columns == docs.columns and kept.count() == score_quality(docs, model).where("keep").count()
     assert score_quality(docs, None).where("keep").count() == len(ROWS)
+
+
+def test_quality_pool_in_a_table_equals_one_in_memory(spark):
+    rng = random.Random(5)
+    rows, marks = _clean_and_junk(rng, 400)
+    rows += [(1000 + n, *rows[n % 40][1:]) for n in range(60)]  # copies take one place
+    features = quality_features(spark.createDataFrame(rows, SCHEMA)).cache()
+    table = features.orderBy("row_key").toArrow().combine_chunks()
+    columns = [quality._whole(table.column(name)) for name in quality.FEATURE_NAMES]
+    views, prints = quality.view_rows(columns), table.column("print").to_numpy()
+    labels = np.array([marks[n % 1000 % 400 if n < 1000 else (n - 1000) % 40] for n in table.column("doc_id").to_pylist()], float)
+    fitted = {name: quality.View.fit(views[name][:200], labels[:200]) for name in quality.VIEWS}
+    given = {"content": set(prints[:3].tolist()), "metadata": set()}
+    for most in ({1: 7, 0: 3}, {1: 10_000, 0: 10_000}):
+        in_memory = ArrayPool(prints, views).surest(fitted, most, given)
+        for partitions in (1, 5):
+            in_table = TablePool(features.repartition(partitions)).surest(fitted, most, given)
+            for one, two in zip(in_memory, in_table, strict=True):
+                assert (one.by, one.mark, set(one.prints)) == (two.by, two.mark, set(two.prints))
+                assert len(set(two.prints)) == len(two.prints) <= most[two.mark]
+                order = [two.prints.index(p) for p in one.prints]
+                for view in quality.VIEWS:
+                    assert np.array_equal(one.views[view], two.views[view][order])
+
+
+def test_quality_is_learned_from_all_unlabelled_pages(spark):
+    rng = random.Random(6)
+    rows, marks = _clean_and_junk(rng, 600)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labelled = [(n, marks[n]) for n in range(150)]
+    # Repeated, conflicting, foreign and null labels.
+    odd = labelled + labelled[:20] + [(149, 0), (149, 1), (9999, 1), (None, 1), (200, None), (201, 7)]
+    features = quality_features(docs).cache()
+    model = fit_quality(features, spark.createDataFrame([(*row, "x", "y") for row in odd], "doc_id long, quality int, row_key string, kind string"))
+    assert model.pseudo_labels > 20
+    scored = score_features(features, model)
+    right = [row["keep"] == bool(marks[row["doc_id"]]) for row in scored.collect() if row["doc_id"] >= 150]
+    assert sum(right) / len(right) > 0.95
+    assert sorted(map(repr, scored.collect())) == sorted(map(repr, score_quality(docs, model).collect()))
+    assert fit_quality(features, spark.createDataFrame([(1, 1)], "doc_id long, quality int")) is None
+    assert fit_quality(features, spark.createDataFrame([], "doc_id long, quality int")) is None
+    assert fit_quality(quality_features(docs.limit(0)), spark.createDataFrame(labelled, "doc_id long, quality int")) is None
+
+
+def test_quality_features_do_not_depend_on_the_slice(spark, monkeypatch):
+    rows = [(n, text, "en", "a", 1, "x", 1) for n, text in enumerate(["Ä" * 5000, "É É e é", "A" * 5000 + " " + "b" * 9000, "\n\n", "x.\ny", "1 1 2"] * 3)]
+    features = quality_features(spark.createDataFrame(rows, SCHEMA).coalesce(1)).drop("doc_id", "row_key").distinct()
+    assert features.count() == 6
+
+
+def test_rerun_of_exact_state(spark, tmp_path):
+    """Files added between runs: each run gives the result for all files, and one without new files as well."""
+    path, state = str(tmp_path / "documents.parquet"), f"file://{tmp_path}/state"
+    spark.createDataFrame([(5, "one"), (6, "two")], "doc_id long, text string").write.parquet(path)
+    deduplicate_exact(spark, path, checkpoint=state).collect()
+    spark.createDataFrame([(3, "one"), (9, "three")], "doc_id long, text string").write.mode("append").parquet(path)
+    for _ in range(2):
+        rows = {row["doc_id"]: (row["keep_id"], row["group_size"], row["kept"]) for row in deduplicate_exact(spark, path, checkpoint=state).collect()}
+        assert rows == {5: (3, 2, False), 3: (3, 2, True), 6: (6, 1, True), 9: (9, 1, True)}
+
+
+def test_lines_of_a_long_document_take_linear_time(spark):
+    times = []
+    for count in (4_000, 16_000):
+        text = "\n".join("line %d of a document that repeats itself, at length and in full" % (n % (count // 2)) for n in range(count))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        deduplicate_lines(docs).collect()
+        begin = time.perf_counter()
+        (row,) = deduplicate_lines(docs).collect()
+        times.append(time.perf_counter() - begin)
+        assert row["lines_removed"] == count // 2 and len(row["text"].split("\n")) == count // 2
+    assert times[1] < 4 * times[0] + 1
