@@ -13,7 +13,7 @@ from adpulse.llm.decontaminate import drop_leaking
 from adpulse.llm.lines import deduplicate_lines
 from adpulse.llm.minhash import drop_near_duplicates
 from adpulse.llm.packing import pack_documents
-from adpulse.llm.quality import fit_quality, keep_quality
+from adpulse.llm.quality import fit_quality, keep_quality, quality_features
 from adpulse.llm.queries import tokenizer_path
 
 # Iterative fits and the packing plan have no SQL form; tests hold the stages against brute force.
@@ -22,7 +22,8 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier does not reject."""
-    return keep_quality(docs, fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    features = staged(quality_features(docs), "features")
+    return keep_quality(docs, fit_quality(features, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
