@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,11 @@ def staged(rows: DataFrame, purpose: str, compression: str = "snappy") -> DataFr
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def shared_files(path: str) -> tuple[fs.FileSystem, str]:
+    """File system of a shared folder, and the folder's path there, for what Spark's own writers cannot lay out."""
+    return fs.FileSystem.from_uri(re.sub("^file:/+", "/", path))
+
+
 def row_key() -> Column:
     """Identifies a row by its id and text, so that rows which share an id, or have none, stay apart; equal rows share
     a key and get equal results."""

@@ -47,7 +47,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from adpulse.llm.common import staged
+from adpulse.llm.common import shared_files, staged
 from adpulse.session import scratch_path
 
 SCHEMA = (
@@ -79,10 +79,6 @@ PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
 DATE = "1970-01-01T00:00:00Z"
 
 
-def _file_system(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(re.sub("^file:/+", "/", path))
-
-
 # -- records -> bytes --------------------------------------------------------------------------------------------------
 
 
@@ -141,7 +137,7 @@ class WarcWriter(DataSourceArrowWriter):
         self._compressed = options.get("compressed", "true") == "true"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        files, folder = _file_system(self._path)
+        files, folder = shared_files(self._path)
         files.create_dir(folder, recursive=True)
         names: list[str] = []
         out, size = None, 0
@@ -164,7 +160,7 @@ class WarcWriter(DataSourceArrowWriter):
         return _Written(names)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        files, folder = _file_system(self._path)
+        files, folder = shared_files(self._path)
         files.create_dir(folder, recursive=True)
         before = committed_files(files, folder) or []
         names = [name for message in messages if message for name in message.files]
@@ -178,7 +174,7 @@ class WarcWriter(DataSourceArrowWriter):
                 files.delete_file(f"{folder}/{name}")
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        files, folder = _file_system(self._path)
+        files, folder = shared_files(self._path)
         for message in messages:
             for name in message.files if message else ():
                 files.delete_file(f"{folder}/{name}")
@@ -401,7 +397,7 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> Sequence[InputPartition]:
         """Whole files, the largest first; small ones share a partition."""
-        files, folder = _file_system(self._path)
+        files, folder = shared_files(self._path)
         info = files.get_file_info(folder)
         if info.type == fs.FileType.NotFound:
             raise FileNotFoundError(f"no archive at {self._path}")
@@ -425,7 +421,7 @@ class WarcReader(DataSourceReader):
         return out or [_Files([])]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        files, _ = _file_system(self._path)
+        files, _ = shared_files(self._path)
         rows: list[tuple] = []
         held = 0
         for name in partition.names:
