@@ -1,6 +1,7 @@
 """Benchmark decontamination: training passages as BM25 queries against an inverted index of test items.
 
-The items go in blocks of bounded text size, each an index small enough to send to every task. Impacts are BM25 weights
+The items go, in the order of their ids, in blocks of bounded text size, each an index small enough to send to every task;
+document frequencies and the mean length are those of the whole benchmark, so that scores do not depend on the blocks. Impacts are BM25 weights
 divided by the item's score against itself, so that one threshold serves all items. Terms are also counted in the corpus:
 an item's passages above the threshold must hold one of its essential terms, the corpus-rarest ones without which the
 others cannot reach the threshold. Overlapping passages of every document that hold an essential term are run as queries
@@ -42,6 +43,22 @@ class Settings:
     posting_block: int = 8
 
 
+@dataclass
+class Statistics:
+    """Of the whole benchmark: number of items, mean number of words, items per term."""
+
+    items: int
+    mean: float
+    terms: DataFrame
+
+    def frequencies(self, vocabulary: np.ndarray) -> np.ndarray:
+        """Of the terms of one block, in their order; the block bounds what is collected."""
+        wanted = self.terms.sparkSession.createDataFrame(pa.table({"term": pa.array(vocabulary.view(np.int64))}))
+        found = self.terms.join(F.broadcast(wanted), "term").toArrow()
+        terms = found.column("term").to_numpy().view(np.uint64)
+        return found.column("df").to_numpy()[np.argsort(terms)]
+
+
 @dataclass
 class Posting:
     items: np.ndarray
@@ -78,16 +95,21 @@ class Index:
             self.blocks, self.maxima = (np.concatenate([getattr(x, name) for x in self.postings]) for name in ("blocks", "maxima"))
 
     @staticmethod
-    def build(items: Sequence[tuple[int | None, str]], settings: Settings) -> Index:
+    def build(items: Sequence[tuple[int | None, str]], settings: Settings, statistics: Statistics | None = None) -> Index:
+        """Without ``statistics`` the items are the whole benchmark."""
         texts = [(text or "").lower().encode() for _, text in items]
         offsets = np.concatenate([[0], np.cumsum([len(text) for text in texts])]).astype(np.int64)
         words = words_of(np.frombuffer(b"".join(texts), np.uint8), offsets, PUNCTUATION)
         terms = [words.hashes[a:b] for a, b in zip(words.first, words.first[1:])]
         vocabulary = np.unique(words.hashes)
-        mean = max(1.0, len(words) / max(1, len(terms)))
+        mean = statistics.mean if statistics else max(1.0, len(words) / max(1, len(terms)))
         uses = [np.unique(np.searchsorted(vocabulary, own), return_counts=True) for own in terms]
-        df = np.bincount(np.concatenate([own for own, _ in uses]), minlength=len(vocabulary)) if len(vocabulary) else np.zeros(0)
-        idf = np.log(1 + (len(terms) - df + 0.5) / (np.asarray(df) + 0.5))
+        df, total = np.zeros(0), len(terms)
+        if statistics and len(vocabulary):
+            df, total = statistics.frequencies(vocabulary), statistics.items
+        elif len(vocabulary):
+            df = np.bincount(np.concatenate([own for own, _ in uses]), minlength=len(vocabulary))
+        idf = np.log(1 + (total - df + 0.5) / (df + 0.5))
         rows: list[list[tuple[int, float]]] = [[] for _ in vocabulary]
         for item, (own, tf) in enumerate(uses):
             impact = idf[own] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(terms[item]) / mean))
@@ -240,10 +262,31 @@ _NAMES = ["doc_id", "item_id", "start_word", "score", "question_overlap", "answe
 _SCHEMA = "doc_id long, item_id long, start_word long, score double, question_overlap double, answer_overlap double"
 
 
-def _blocks(benchmark: DataFrame, index_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
-    """Items in blocks of about ``index_bytes`` of text; the driver holds one at a time."""
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, words) of every item's distinct terms; null terms carry the number of words of an item."""
+    for batch in batches:
+        for _, _, words in text_slices(batch, separates=PUNCTUATION):
+            pairs = np.unique(np.stack([words.owner().astype(np.uint64), words.hashes]), axis=1)[1] if len(words) else words.hashes
+            lengths = np.diff(words.first)
+            terms = pa.array(np.concatenate([pairs.view(np.int64), np.zeros(len(lengths), np.int64)]), mask=np.arange(len(pairs) + len(lengths)) >= len(pairs))
+            yield pa.RecordBatch.from_arrays([terms, pa.array(np.concatenate([np.zeros(len(pairs), np.int64), lengths]))], ["term", "words"])
+
+
+def benchmark_statistics(items: DataFrame) -> Statistics:
+    """Over the distinct items (item_id, text in lower case)."""
+    counted = staged(
+        items.select("text").mapInArrow(_item_terms, "term long, words long").groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("words").alias("words")),
+        "terms",
+    )
+    row = counted.where("term is null").first()
+    count, words = (row["df"], row["words"]) if row else (0, 0)
+    return Statistics(count, max(1.0, words / max(1, count)), counted.where("term is not null").select("term", "df"))
+
+
+def _blocks(items: DataFrame, index_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
+    """Items in blocks of about ``index_bytes`` of text, by rising id; the driver holds one at a time."""
     block, held = [], 0
-    for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).distinct().toLocalIterator():
+    for row in items.orderBy("item_id", "text").toLocalIterator():
         block.append((row[0], row[1]))
         held += len(row[1] or "")
         if held >= index_bytes:
@@ -267,9 +310,14 @@ def find_leaks(
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text")
     )
+    items = staged(
+        benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text")).distinct(),
+        "items",
+    )
+    statistics = benchmark_statistics(items)
     found = []
-    for items in _blocks(benchmark, index_bytes):
-        index = Index.build(items, settings)
+    for block in _blocks(items, index_bytes):
+        index = Index.build(block, settings, statistics)
         if not len(index.vocabulary):
             continue
         # One row per term of the block at most.
