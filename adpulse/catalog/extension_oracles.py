@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from adpulse.catalog import oracles
 from adpulse.catalog.oracles import (
     BASELINES,
     CAMPAIGN_COLUMNS,
@@ -10,6 +11,7 @@ from adpulse.catalog.oracles import (
     LAST_WEEK,
     MALFORMED_PERCENT,
     QUALITY_COLUMNS,
+    WEEK,
     alerts,
     rolled,
     sql,
@@ -119,6 +121,7 @@ def oracle_sql() -> dict[str, str]:
         f"{alerts('c', 'campaign')} UNION ALL {alerts('g', 'global')}",
     )
     sessions = sql(STRETCHES, STRETCH_ROWS)
+    table_stats = oracles.oracle_sql()["table_stats"]
     return {
         "address_sessions": sessions,
         "stream_address_activity": sessions.replace(*IN_MILLISECONDS),
@@ -171,6 +174,17 @@ timed AS (
             """SELECT count(*) + 1 AS events, count(*) FILTER (WHERE event_timestamp IS NULL) AS untimed_events,
             CAST(sum(is_malformed) + 1 AS BIGINT) AS malformed_events, 3::BIGINT AS batches FROM ev"""
         ),
+        "stream_restarted": rolled(HOUR, "campaign_id", CAMPAIGN_COLUMNS),
+        **dict.fromkeys(("stream_fan_out", "stream_query_per_table"), table_stats),
+        "stream_updated_windows": rolled(HOUR, "", QUALITY_COLUMNS),
+        "stream_in_event_zone": rolled(HOUR, "campaign_id", CAMPAIGN_COLUMNS),
+        "stream_alert_stamps": sql(
+            windows("c", WEEK, "campaign_id"),
+            windows("g", WEEK),
+            """SELECT window_start, campaign_id, true AS is_stamped FROM c WHERE is_suspicious
+            UNION ALL SELECT window_start, 'GLOBAL', true FROM g WHERE is_suspicious""",
+        ),
+        "stream_state_size": sql(windows("m", HOUR), "SELECT count(*) AS closed_windows, 1::BIGINT AS state_rows FROM m"),
         "stored_compacted": rolled(HOUR, "campaign_id", CAMPAIGN_COLUMNS),
         "stored_series_in_zone": rolled(
             HOUR,

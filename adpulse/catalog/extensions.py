@@ -4,6 +4,7 @@ features, drift, snapshots."""
 from __future__ import annotations
 
 import operator
+from datetime import datetime, time
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,15 +13,16 @@ from pyspark.sql import functions as F
 from adpulse.catalog.queries import (
     APPROX_TOLERANCE,
     BOT_POOL,
+    CLOSING_EVENT,
     DAY,
     HOUR,
     HOUR_APPROX,
     LAST_WEEK,
     SKETCH_TOLERANCE,
+    WEEK,
     Query,
     campaigns_of,
     close_to,
-    closing_records,
     event_days,
     scored_of,
     stored_tables,
@@ -28,22 +30,35 @@ from adpulse.catalog.queries import (
     zone_free,
 )
 from adpulse.functions import wall_clock
+from adpulse.functions.time import EVENT_TIME_PATTERN
 from adpulse.operators import alerts, baselines, drift, features, sketches
 from adpulse.operators.activity import ActivityRules, address_sessions
 from adpulse.operators.evaluation import confusion
 from adpulse.operators.drift import DriftRules
-from adpulse.operators.parse import parse_events
 from adpulse.operators.rollup import scored_rollup
 from adpulse.operators.tables import country_metrics
 from adpulse.plans import health
 from adpulse.plans.reports import report
-from adpulse.schemas import ADDRESSES, ALERTS, ARRIVALS, CAMPAIGN, QUALITY, QUALITY_ALERTS, SKETCHES, TRAFFIC, UNTIMED
+from adpulse.schemas import (
+    ADDRESSES,
+    ALERTS,
+    ARRIVALS,
+    CAMPAIGN,
+    EVENT_FIELDS,
+    QUALITY,
+    QUALITY_ALERTS,
+    SKETCHES,
+    TABLES,
+    TRAFFIC,
+    UNTIMED,
+)
 from adpulse.session import scratch_path
-from adpulse.sources import ResultStore, json_events, typed_events
+from adpulse.sources import ResultStore, SourceConfig, json_events, read_stream, typed_events
 from adpulse.sources.demo_events import json_event_stream
 from adpulse.sources.thresholds import ThresholdTable
 from adpulse.streaming import start_pipeline, start_side_streams
 from adpulse.streaming.pipeline import drain
+from adpulse.streaming.progress import figures
 
 RULES = ActivityRules(gap="6 hours", min_windows=3, max_window_hits=2)
 DRIFT = DriftRules(history=24, min_history=12, min_hits=20, threshold=0.3)
@@ -51,6 +66,7 @@ HEAVY_SHARE = 0.01
 # Every so manieth event of the fixture comes too late.
 LATE_OF, LATE = 50, 7
 FORWARD_ZONE = "+02:00"
+CLOSING_YEAR = 2200
 
 
 def _rounded(rows: DataFrame, *names: str) -> DataFrame:
@@ -204,6 +220,72 @@ def stream_arrival_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select("events", "untimed_events", "malformed_events", "batches")
 
 
+# -- the job itself ----------------------------------------------------------------------------------------------
+
+
+def stream_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job started three times on a growing folder of JSON lines, two files a batch; each start goes on from offsets
+    and open windows of the one before."""
+    store = ResultStore(scratch_path(spark, "tables"))
+    folder, checkpoint = scratch_path(spark, "records"), scratch_path(spark, "checkpoint")
+    first, end = event_days(spark, sf_dir)
+    # In the middle of a day, so that windows of every kind are open.
+    middle = F.lit(datetime.combine(first + (end - first) // 2, time(12, 30))).cast("timestamp_ntz")
+    events = typed_events(spark, sf_dir).where(F.col("event_timestamp").isNotNull()).drop("is_malformed")
+    text = F.date_format("event_timestamp", EVENT_TIME_PATTERN).alias("timestamp")
+    lines = F.to_json(F.struct(text, *(name for name in EVENT_FIELDS if name != "timestamp"))).alias("value")
+    closing = spark.range(1).select(F.lit(CLOSING_EVENT).alias("value"))
+    parts = (events.where(F.col("event_timestamp") < middle), events.where(F.col("event_timestamp") >= middle))
+    for rows in (*(part.orderBy("event_timestamp").select(lines) for part in parts), closing):
+        rows.coalesce(1).write.mode("append").text(folder)
+        stream = read_stream(spark, SourceConfig.json_lines(folder, max_files_per_trigger=2))
+        drain(start_pipeline(spark, stream, store, checkpoint, [CAMPAIGN], HOUR, until_caught_up=True, state_partitions=4))
+    return zone_free(store.read(spark, CAMPAIGN), HOUR)
+
+
+def _fan_out(layout: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = ResultStore(scratch_path(spark, "tables"))
+        stream_into(spark, json_event_stream(spark, sf_dir), store, TABLES, HOUR, layout=layout)
+        stats = health.table_stats({table: store.read(spark, table) for table in TABLES})
+        return _zone_free_times(stats, "latest_window")
+
+    return run
+
+
+def stream_updated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update mode writes a window again whenever it changes; its newest version counts."""
+    store = ResultStore(scratch_path(spark, "tables"))
+    stream_into(spark, json_event_stream(spark, sf_dir), store, QUALITY, HOUR_APPROX, output_mode="update")
+    rows = zone_free(store.current(spark, QUALITY), HOUR_APPROX)
+    return rows.where(F.year("window_start") < CLOSING_YEAR)
+
+
+def stream_in_event_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Producers' local times two hours ahead of UTC: windows are stored as instants and shown in their zone again."""
+    config = HOUR.with_(event_zone=FORWARD_ZONE)
+    store = ResultStore(scratch_path(spark, "tables"))
+    stream_into(spark, json_event_stream(spark, sf_dir), store, CAMPAIGN, config)
+    return zone_free(store.read(spark, CAMPAIGN), config)
+
+
+def stream_alert_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts with their processing time under both names."""
+    store = ResultStore(scratch_path(spark, "tables"))
+    stream_into(spark, json_event_stream(spark, sf_dir), store, ALERTS, WEEK)
+    recent = F.abs(F.unix_seconds(F.current_timestamp()) - F.unix_seconds("processed_at")) < 3600
+    rows = store.read(spark, ALERTS).withColumn("is_stamped", recent & (F.col("timestamp") == F.col("processed_at")))
+    return _zone_free_times(rows, "window_start", config=WEEK).select("window_start", "campaign_id", "is_stamped")
+
+
+def stream_state_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows leave the state: what is left is the closing event's own."""
+    store = ResultStore(scratch_path(spark, "tables"))
+    (query,) = stream_into(spark, json_event_stream(spark, sf_dir), store, TRAFFIC, HOUR_APPROX)
+    left = figures(query).state_rows
+    return store.read(spark, TRAFFIC).agg(F.count("*").alias("closed_windows")).withColumn("state_rows", F.lit(left).cast("bigint"))
+
+
 # -- stored tables -----------------------------------------------------------------------------------------------
 
 
@@ -274,6 +356,13 @@ def queries() -> dict[str, Query]:
         "stream_quality_alerts": stream_quality_alerts,
         "stream_late_events": stream_late_events,
         "stream_arrival_totals": stream_arrival_totals,
+        "stream_restarted": stream_restarted,
+        "stream_fan_out": _fan_out("shared"),
+        "stream_query_per_table": _fan_out("per_table"),
+        "stream_updated_windows": stream_updated_windows,
+        "stream_in_event_zone": stream_in_event_zone,
+        "stream_alert_stamps": stream_alert_stamps,
+        "stream_state_size": stream_state_size,
         "stored_compacted": stored_compacted,
         "stored_series_in_zone": stored_series_in_zone,
         "processing_lag": processing_lag,

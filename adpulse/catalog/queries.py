@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from adpulse.config import PipelineConfig
 from adpulse.functions import risk_category, wall_clock
@@ -436,23 +437,24 @@ def closing_records(spark: SparkSession) -> DataFrame:
 
 
 def stream_into(
-    spark: SparkSession, records: DataFrame, store: ResultStore, table: str, config: PipelineConfig, **options: object
-) -> None:
+    spark: SparkSession, records: DataFrame, store: ResultStore, tables: str | Sequence[str], config: PipelineConfig, **options: object
+) -> list[StreamingQuery]:
     """Runs the job over all records under a checkpoint of its own, and closes every window."""
-    start = start_side_streams if table in SIDE_TABLES and table not in TABLE_GRAINS else start_pipeline
-    drain(
-        start(
-            spark,
-            records.unionByName(closing_records(spark)),
-            store,
-            scratch_path(spark, "checkpoint"),
-            tables=[table],
-            config=config,
-            until_caught_up=True,
-            state_partitions=spark.sparkContext.defaultParallelism,
-            **options,
-        )
+    tables = [tables] if isinstance(tables, str) else list(tables)
+    aside = all(table in SIDE_TABLES and table not in TABLE_GRAINS for table in tables)
+    queries = (start_side_streams if aside else start_pipeline)(
+        spark,
+        records.unionByName(closing_records(spark)),
+        store,
+        scratch_path(spark, "checkpoint"),
+        tables=tables,
+        config=config,
+        until_caught_up=True,
+        state_partitions=spark.sparkContext.defaultParallelism,
+        **options,
     )
+    drain(queries)
+    return queries
 
 
 def _streamed(table: str, config: PipelineConfig, repeats: int = 1, **options: object) -> Query:
