@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adpulse.session import scratch_path, session_conf
+from adpulse.sources import folders
 
 # A word is a run of other bytes than ASCII white space, which is also what ``bytes.split()`` does.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -35,6 +36,14 @@ def staged(rows: DataFrame, purpose: str, compression: str = "snappy") -> DataFr
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def unstaged(*tables: DataFrame | None) -> None:
+    """Removes staged tables that nothing reads any more, so that a long job holds no more than it needs."""
+    for table in tables:
+        files = table.inputFiles() if table is not None else []
+        if files:
+            folders.remove(table.sparkSession, files[0].rpartition("/")[0])
+
+
 def shared_files(path: str) -> tuple[fs.FileSystem, str]:
     """File system of a shared folder, and the folder's path there, for what Spark's own writers cannot lay out."""
     return fs.FileSystem.from_uri(re.sub("^file:/+", "/", path))

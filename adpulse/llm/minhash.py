@@ -23,7 +23,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import PUNCTUATION, Words, lane_words, mix, powers, rank_id, row_key, span_hash, staged, text_slices
+from adpulse.llm.common import PUNCTUATION, Words, lane_words, mix, powers, rank_id, row_key, span_hash, staged, text_slices, unstaged
 from adpulse.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -37,7 +37,7 @@ COMMON = 2**20
 FILTER_BITS = 27
 
 # Shingles that are counted together, and bytes of text whose counts one task gathers at once.
-COUNTED, PART_BYTES = 2_000_000, 16_000_000
+COUNTED, PART_BYTES = 1_000_000, 4_000_000
 _CACHED = 2**16
 _TABLE_BITS = 16
 _random = np.random.Generator(np.random.PCG64(5))
@@ -238,6 +238,7 @@ def frequencies(texts: DataFrame, size: int, common: int = COMMON) -> tuple[Broa
     context = texts.sparkSession.sparkContext
     known = context.broadcast(Frequencies(total, keys[order], found.column("n").to_numpy()[order]))
     if least == 2:
+        unstaged(counts)
         return known, None
     # Fewer than total / common rows each, so that no key of the join is hot.
     others = counts.where(F.col("n") < least)
@@ -255,6 +256,7 @@ def frequencies(texts: DataFrame, size: int, common: int = COMMON) -> tuple[Broa
     own = pairs.join(others.hint("merge"), "shingle").groupBy("row_key").agg(F.collect_list(F.struct("shingle", "n")).alias("own"))
     own = staged(own.select("row_key", F.col("own.shingle").alias("own"), F.col("own.n").alias("own_n")), "own")
     filter_.destroy()
+    unstaged(counts)
     return known, own
 
 
@@ -493,6 +495,7 @@ def near_duplicates(
         else member.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     )
     known.destroy()  # whatever used it is staged
+    unstaged(held, entries, own)
     placed = signed.join(member.select(*same, "group"), same).select("row_key", "rank_id", "group").distinct()
     heads = placed.groupBy("group").agg(
         F.min(F.struct("rank_id", "row_key")).alias("head"), F.count(F.lit(1)).alias("group_size")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import Words, mix, staged, text_slices
+from adpulse.llm.common import Words, mix, staged, text_slices, unstaged
 from adpulse.llm.toxicity import bounded_labels, logistic
 
 # Bound in rows of the labelled pages that are fitted on.
@@ -30,6 +30,7 @@ ROUNDS = 4
 # Pages that a view may pass on in a round, as a share of the labelled ones, and how sure it must be.
 SHARE_PER_ROUND = 0.05
 SURE = 0.95
+RIDGE, CHUNK = 10.0, 1_000
 
 _SHAPES = 3 * 3 * 3 * 2 * 4 * 2
 _LAYOUT = 11
@@ -169,6 +170,13 @@ def view_rows(columns: list[pa.Array]) -> dict[str, np.ndarray]:
     return {CONTENT: content, METADATA: metadata}
 
 
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at once, since their feature rows are wide."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, CHUNK):
+            yield batch.slice(at, CHUNK)
+
+
 def _columns(docs: DataFrame) -> list[Column]:
     return [
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -212,13 +220,28 @@ class View:
 
     @staticmethod
     def fit(features: np.ndarray, labels: np.ndarray) -> View:
-        mean, scale = features.mean(axis=0), features.std(axis=0)
-        used = scale > 1e-6
-        scaled = (features[:, used] - mean[used]) / scale[used]
+        """Logistic regression by Newton steps, a chunk of rows at a time: the driver holds the features once."""
+        mean = features.mean(axis=0, dtype=float)
+        chunks = (features[at : at + CHUNK] for at in range(0, len(features), CHUNK))
+        scale = np.sqrt(sum(((own - mean) ** 2).sum(axis=0) for own in chunks) / len(features))
+        used = np.flatnonzero(scale > 1e-6)
+        penalty = np.diag([1e-6] + [RIDGE] * len(used))
+        found = np.zeros(len(used) + 1)
+        for _ in range(30):
+            hessian, slope = penalty.copy(), -penalty @ found
+            for at in range(0, len(features), CHUNK):
+                own = (features[at : at + CHUNK, used] - mean[used]) / scale[used]
+                x = np.column_stack([np.ones(len(own)), own])
+                p = sigmoid(np.clip(x @ found, -30, 30))
+                hessian += (x * (p * (1 - p))[:, None]).T @ x
+                slope += x.T @ (labels[at : at + CHUNK] - p)
+            step = np.linalg.solve(hessian, slope)
+            found += step
+            if np.abs(step).max() < 1e-6:
+                break
         weights = np.zeros(features.shape[1] + 1)
-        found = np.array(logistic(scaled, labels, ridge=10.0))
-        weights[0], weights[1:][used] = found[0], found[1:]
-        return View(mean, np.where(used, scale, 1.0), weights)
+        weights[0], weights[1 + used] = found[0], found[1:]
+        return View(mean, np.where(scale > 1e-6, scale, 1.0), weights)
 
     def log_odds(self, features: np.ndarray) -> np.ndarray:
         slopes = self.weights[1:] / self.scale
@@ -311,7 +334,7 @@ class TablePool(Pool):
         def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # A task's surest pages so far, per view and class: by text, with chance and features.
             best: dict[tuple[str, int], dict[int, tuple]] = {kind: {} for kind in kinds}
-            for batch in batches:
+            for batch in parts_of(batches):
                 columns = [batch.column(name) for name in FEATURE_NAMES]
                 prints = batch.column("print").to_numpy(zero_copy_only=False)
                 for name, mark, chance in _ranked(fitted, view_rows(columns)):
@@ -350,6 +373,7 @@ class TablePool(Pool):
             top = single.where(F.col("kind") == at).orderBy(F.desc("chance"), "print").limit(most[mark]).toArrow().combine_chunks()
             columns = [_whole(top.column(column)) for column in FEATURE_NAMES]
             out.append(Proposal(name, mark, top.column("print").to_pylist(), view_rows(columns)))
+        unstaged(found, single)
         return out
 
 
@@ -412,7 +436,9 @@ def fit_quality(
         return None
     views = view_rows([_whole(sample.column(name)) for name in FEATURE_NAMES])
     pool = staged(features.join(known.select("doc_id"), "doc_id", "left_anti").select("print", *FEATURE_NAMES), "pool")
-    return co_train(views, marks, TablePool(pool), rounds)
+    model = co_train(views, marks, TablePool(pool), rounds)
+    unstaged(pool)
+    return model
 
 
 # -- scores ----------------------------------------------------------------------------------------------------------
@@ -428,7 +454,7 @@ def score_features(features: DataFrame, model: QualityModel | None, threshold: f
     else:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in parts_of(batches):
                 scores = model.scores(view_rows([batch.column(name) for name in FEATURE_NAMES]))
                 own = [batch.column(name) for name in ("doc_id", "row_key")]
                 yield pa.RecordBatch.from_arrays([*own, *(pa.array(s.astype(float)) for s in scores)], ["doc_id", "row_key", *_SCORES])

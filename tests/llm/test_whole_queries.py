@@ -10,7 +10,6 @@ from collections import Counter, defaultdict
 import compare
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
