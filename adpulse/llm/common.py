@@ -21,17 +21,25 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 SLICE_BYTES = 2_000_000
 LAST_ID = 2**63 - 1
 RELEASE_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# Rows of a batch that goes to Python at once: bounds what executors and their Python workers hold of long texts.
+BATCH_ROWS, _BATCH_KEY = 2_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(spark: SparkSession) -> dict[str, str]:
+    """Setting for jobs that hand texts to Python; a session that asks for fewer rows gets these."""
+    rows = int(spark.conf.get(_BATCH_KEY))
+    return {_BATCH_KEY: str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)}
+
+
 def staged(rows: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``rows`` written as a table in the shared folder and read back: lineage ends here, what several consumers read is
     computed once, and the shuffle files that made it go at once."""
     path = scratch_path(rows.sparkSession, purpose)
-    with session_conf(rows.sparkSession, RELEASE_CONF):
+    with session_conf(rows.sparkSession, {**RELEASE_CONF, **small_batches(rows.sparkSession)}):
         rows.write.option("compression", compression).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
@@ -200,13 +208,13 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_slices(
-    batch: pa.RecordBatch, column: str = "text", separates: np.ndarray = _IS_SPACE, words=words_of
+    batch: pa.RecordBatch, column: str = "text", separates: np.ndarray = _IS_SPACE, words=words_of, size: int = SLICE_BYTES
 ) -> Iterator[tuple[int, int, Words]]:
-    """(from, to, words) of consecutive rows, about ``SLICE_BYTES`` at once."""
+    """(from, to, words) of consecutive rows, about ``size`` bytes at once."""
     data, offsets = text_buffer(batch.column(column))
     start, count = 0, len(offsets) - 1
     while start < count:
-        end = int(np.searchsorted(offsets, offsets[start] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1
         end = min(count, max(start + 1, end))
         yield start, end, words(data, offsets[start : end + 1], separates)
         start = end

@@ -20,10 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import PUNCTUATION, Words, staged, text_slices, words_of
+from adpulse.llm.common import PUNCTUATION, Words, small_batches, staged, text_slices, words_of
+from adpulse.session import session_conf
 
 # Text of the items in one index, and so the bound of what a task holds of the benchmark.
 INDEX_BYTES = 8_000_000
+# Bytes of text handled at once: words of letters and digits take some 25 bytes of arrays per byte of text.
+TEXT_BYTES = 500_000
 K1, B = 1.2, 0.75
 # Impacts of an item's commonest terms that are left out of its essential ones, as a share of the threshold.
 MISSING = 0.5
@@ -205,7 +208,7 @@ def _counted(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(len(index.vocabulary) + 1, np.int64)
         for batch in batches:
-            for _, _, words in text_slices(batch, separates=PUNCTUATION):
+            for _, _, words in text_slices(batch, separates=PUNCTUATION, size=TEXT_BYTES):
                 counts += np.bincount(index.find(words.hashes) + 1, minlength=len(counts))
         term = np.flatnonzero(counts[1:])
         yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(counts[1:][term])], ["term", "n"])
@@ -237,7 +240,7 @@ def _matches(index: Index, settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows = batch.column("doc_id"), []
-            for begin, end, words in text_slices(batch, separates=PUNCTUATION):
+            for begin, end, words in text_slices(batch, separates=PUNCTUATION, size=TEXT_BYTES):
                 terms = index.find(words.hashes)
                 hits = np.flatnonzero((terms >= 0) & index.essential[terms])
                 owner = np.searchsorted(words.first, hits, "right") - 1
@@ -265,7 +268,7 @@ _SCHEMA = "doc_id long, item_id long, start_word long, score double, question_ov
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, words) of every item's distinct terms; null terms carry the number of words of an item."""
     for batch in batches:
-        for _, _, words in text_slices(batch, separates=PUNCTUATION):
+        for _, _, words in text_slices(batch, separates=PUNCTUATION, size=TEXT_BYTES):
             pairs = np.unique(np.stack([words.owner().astype(np.uint64), words.hashes]), axis=1)[1] if len(words) else words.hashes
             lengths = np.diff(words.first)
             terms = pa.array(np.concatenate([pairs.view(np.int64), np.zeros(len(lengths), np.int64)]), mask=np.arange(len(pairs) + len(lengths)) >= len(pairs))
@@ -322,8 +325,10 @@ def find_leaks(
             continue
         # One row per term of the block at most.
         counts = np.zeros(len(index.vocabulary), np.int64)
-        for row in texts.select("text").mapInArrow(_counted(index), "term long, n long").groupBy("term").agg(F.sum("n")).collect():
-            counts[row[0]] = row[1]
+        uses = texts.select("text").mapInArrow(_counted(index), "term long, n long").groupBy("term").agg(F.sum("n"))
+        with session_conf(spark, small_batches(spark)):
+            for row in uses.collect():
+                counts[row[0]] = row[1]
         index.choose_essential(counts, settings.threshold)
         found.append(staged(texts.mapInArrow(_matches(index, settings), _SCHEMA), "leaks"))
     if not found:

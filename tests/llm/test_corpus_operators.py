@@ -468,3 +468,39 @@ def test_lines_of_a_long_document_take_linear_time(spark):
         times.append(time.perf_counter() - begin)
         assert row["lines_removed"] == count // 2 and len(row["text"].split("\n")) == count // 2
     assert times[1] < 4 * times[0] + 1
+
+
+def test_texts_go_to_python_in_bounded_batches(spark):
+    """Executors and workers hold some thousand texts at a time, whatever the session's default of rows is."""
+    import pyarrow as pa
+
+    from adpulse.session import session_conf
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["rows"])
+
+    def seen():
+        rows = common.staged(spark.range(0, 9000, 1, 1).mapInArrow(sizes, "rows long"), "sizes").collect()
+        return sum(row["rows"] for row in rows), max(row["rows"] for row in rows)
+
+    assert seen() == (9000, common.BATCH_ROWS)
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "700"}):
+        assert seen() == (9000, 700)
+
+
+def test_decontamination_holds_a_bounded_slice_of_text():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from adpulse.llm import decontaminate
+
+    index = Index.build([(1, " ".join(WORDS[:60]))], Settings())
+    batch = pa.RecordBatch.from_arrays([pa.array([BODY] * 30_000)], ["text"])
+    tracemalloc.start()
+    counted = list(decontaminate._counted(index)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(counted[0].column("n").to_pylist()) == 30_000 * sum(word in WORDS[:60] for word in BODY.split())
+    assert peak < 30_000_000
