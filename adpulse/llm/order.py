@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +22,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import RELEASE_CONF, mix, rank_id, row_key, shared_files, staged
-from adpulse.llm.tokens import token_pieces
-from adpulse.session import scratch_path, session_conf
+from adpulse.llm.common import mix, rank_id, row_key, shared_files, staged, unstaged
+from adpulse.llm.tokens import token_sequences
+from adpulse.session import scratch_path
 
 SEQUENCE_TOKENS = 512
 SHARD_SEQUENCES = 16_384
 ROUNDS = 6
+# Rounds in which the shards are written; each reads the staged sequences again.
+ROUNDS_OF_SHARDS = 2
 _PIECE = "doc_id long, piece int, start long, length long, crc long"
 _INDEX = f"slot long, {_PIECE}, payload_crc long, shard long, file string"
 
@@ -66,35 +68,31 @@ def in_data_order(docs: DataFrame) -> DataFrame:
 
 def _sequences(tokenizer_path: str, sequence_tokens: int):
     """Sequences with their number within a run: consecutive rows of one file, or the rows of one task in order."""
-    cut = token_pieces(tokenizer_path, sequence_tokens, by_length=False, with_ids=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task = TaskContext.get().partitionId()
-        places: deque = deque()
-
-        def watched() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                places.extend(zip(batch.column("file").to_pylist(), batch.column("row").to_pylist()))
-                yield batch.select(["doc_id", "text"])
-
-        run_of, last, number = (None, task), None, 0
-        for made in cut(watched()):
-            files, firsts, numbers = [], [], []
-            for piece in made.column("piece").to_pylist():
-                if piece == 0:  # the next row's first sequence
-                    file, row = places.popleft()
+        cut = token_sequences(tokenizer_path, sequence_tokens)
+        run_of, last, number = (None, TaskContext.get().partitionId()), None, 0
+        for batch in batches:
+            places = zip(batch.column("file").to_pylist(), batch.column("row").to_pylist())
+            begin = 0
+            for counts, made in cut(batch.column("text")):
+                files, firsts, numbers = [], [], []
+                for count, (file, row) in zip(counts.tolist(), places):
                     if row is not None and last != (file, row - 1):
                         run_of, number = (file, row), 0
                     last = (file, row)
-                files.append(run_of[0])
-                firsts.append(run_of[1])
-                numbers.append(number)
-                number += 1
-            own = [made.column(name) for name in ("doc_id", "piece", "start", "length", "crc", "ids")]
-            more = [pa.array(files, pa.string()), pa.array(firsts, pa.int64()), pa.array(numbers, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*own, *more], _SEQUENCE_NAMES)
+                    files.append(run_of[0])
+                    firsts.append(run_of[1])
+                    numbers.append(number)
+                    number += count
+                own = pa.array(np.repeat(np.arange(len(counts)), counts))
+                place = np.repeat(numbers, counts) + made.column("piece").to_numpy()
+                doc_ids = batch.column("doc_id").slice(begin, len(counts)).take(own)
+                begin += len(counts)
+                more = [pa.array(files, pa.string()).take(own), pa.array(firsts, pa.int64()).take(own), pa.array(place, pa.int64())]
+                yield pa.RecordBatch.from_arrays([doc_ids, *made.columns, *more], _SEQUENCE_NAMES)
 
     return run
 
@@ -114,16 +112,14 @@ def numbered(sequences: DataFrame) -> DataFrame:
     return sequences.join(F.broadcast(before), same).withColumn("number", F.col("before") + F.col("place"))
 
 
-def _slotted(count: int, key: int, shard_sequences: int):
-    names = ["doc_id", "piece", "start", "length", "crc", "ids"]
+def _slot(count: int, key: int):
+    """Column function: the slots of numbers. Only these go to Python, the ids do not."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slots = permute(batch.column("number").to_numpy(zero_copy_only=False), count, key)
-            own = [batch.column(name) for name in names]
-            yield pa.RecordBatch.from_arrays([pa.array(slots), *own, pa.array((slots // shard_sequences).astype(np.int32))], ["slot", *names, "shard"])
+    @F.arrow_udf("long")
+    def slot(numbers: pa.Array) -> pa.Array:
+        return pa.array(permute(numbers.to_numpy(zero_copy_only=False), count, key))
 
-    return run
+    return slot
 
 
 # -- shards ------------------------------------------------------------------------------------------------------------
@@ -150,8 +146,10 @@ def _written(path: str, stride: int, shard_sequences: int):
                 payload = memoryview(padded(batch.column("ids").cast(pa.binary()), stride))
                 shards = batch.column("shard").to_numpy(zero_copy_only=False)
                 slots = batch.column("slot").to_numpy(zero_copy_only=False)
+                starts = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1]])) if len(shards) else shards
                 names = []
-                for at, (own, slot) in enumerate(zip(shards.tolist(), slots.tolist())):
+                for at, end in zip(starts.tolist(), [*starts[1:].tolist(), len(shards)]):
+                    own, slot = int(shards[at]), int(slots[at])
                     if own != shard:
                         if out is not None:
                             out.close()
@@ -161,8 +159,8 @@ def _written(path: str, stride: int, shard_sequences: int):
                         out = files.open_output_stream(f"{folder}/{name}", compression=None)
                         if slot % shard_sequences:
                             raise ValueError(f"shard {own} starts with slot {slot}")
-                    out.write(payload[at * stride : (at + 1) * stride])
-                    names.append(name)
+                    out.write(payload[at * stride : end * stride])
+                    names += [name] * (end - at)
                 crcs = [zlib.crc32(payload[at * stride : (at + 1) * stride]) for at in range(batch.num_rows)]
                 own = [batch.column(column) for column in ("slot", "doc_id", "piece", "start", "length", "crc")]
                 more = [pa.array(crcs, pa.int64()), batch.column("shard").cast(pa.int64()), pa.array(names, pa.string())]
@@ -255,15 +253,25 @@ def write_in_training_order(
     )
     count = sequences.count()
     shards = Shards((path or scratch_path(spark, "shards")).rstrip("/"), count, shard_sequences, 2 * sequence_tokens)
-    slotted = f"slot long, {_PIECE}, ids binary, shard int"
-    ordered = numbered(sequences).mapInArrow(_slotted(count, key, shard_sequences), slotted)
-    written = (
-        ordered.repartitionById(max(1, -(-count // shard_sequences)), "shard")
-        .sortWithinPartitions("slot")
-        .mapInArrow(_written(shards.path, shards.stride, shard_sequences), _INDEX)
-    )
-    with session_conf(spark, RELEASE_CONF):
-        written.write.parquet(f"{shards.path}/index")
+    columns = ["doc_id", "piece", "start", "length", "crc", "ids"]
+    ordered = numbered(sequences).select(_slot(count, key)("number").alias("slot"), *columns)
+    ordered = ordered.withColumn("shard", F.expr(f"int(slot div {shard_sequences})"))
+    total = max(1, -(-count // shard_sequences))
+    # The shards are written in rounds, so that only a part of the sequences is held a second time by a shuffle.
+    rounds, parts = min(ROUNDS_OF_SHARDS, total), []
+    for turn in range(rounds):
+        first, end = turn * total // rounds, (turn + 1) * total // rounds
+        own = ordered.where((F.col("shard") >= first) & (F.col("shard") < end))
+        written = (
+            own.repartitionById(end - first, (F.col("shard") - F.lit(first)).cast("int"))
+            .sortWithinPartitions("slot")
+            .mapInArrow(_written(shards.path, shards.stride, shard_sequences), _INDEX)
+        )
+        parts.append(staged(written, "index"))
+    unstaged(sequences)
+    # Last and at once: a run that ends before has no index.
+    reduce(DataFrame.unionByName, parts).write.parquet(f"{shards.path}/index")
+    unstaged(*parts)
     return shards
 
 

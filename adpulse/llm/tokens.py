@@ -95,11 +95,11 @@ class WordTokenizer:
         return b"".join(found)
 
 
-def token_pieces(path: str, size: int, by_length: bool = True, with_ids: bool = False):
+def token_pieces(path: str, size: int):
     """For ``mapInArrow`` over (doc_id, text): per document its ids and the end marker, cut into pieces of ``size``.
     Yields columns doc_id, piece, start, length, crc, ``part`` and ``place``: the task, and the number of earlier
-    pieces (of the same length) in it; and, with ``with_ids``, the ids as little-endian unsigned 16-bit numbers."""
-    names = ("doc_id", "piece", "start", "length", "crc", "part", "place") + (("ids",) if with_ids else ())
+    pieces of the same length in it."""
+    names = ("doc_id", "piece", "start", "length", "crc", "part", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -108,8 +108,6 @@ def token_pieces(path: str, size: int, by_length: bool = True, with_ids: bool =
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        if with_ids and word_tokenizer(path).vocabulary > 2**16:
-            raise ValueError("16-bit ids need a vocabulary of at most 65,536")
         tokenizer, seen, end = word_tokenizer(path), {}, array("I", [END_OF_TEXT]).tobytes()
         for batch in batches:
             rows: dict[str, list] = {name: [] for name in names}
@@ -124,7 +122,6 @@ def token_pieces(path: str, size: int, by_length: bool = True, with_ids: bool =
                         pa.array(rows["crc"], pa.int64()),
                         pa.array(rows["part"], pa.int32()),
                         pa.array(rows["place"], pa.int64()),
-                        *([pa.array(rows["ids"], pa.binary())] if with_ids else []),
                     ],
                     list(rows),
                 )
@@ -137,12 +134,9 @@ def token_pieces(path: str, size: int, by_length: bool = True, with_ids: bool =
                 for piece, start in enumerate(range(0, len(ids), 4 * size)):
                     own = ids[start : start + 4 * size]
                     length = len(own) // 4
-                    kind = length if by_length else 0
-                    place = seen.get(kind, 0)
-                    seen[kind] = place + 1
+                    place = seen.get(length, 0)
+                    seen[length] = place + 1
                     values = [doc_id.as_py(), piece, start // 4, length, zlib.crc32(own), part, place]
-                    if with_ids:
-                        values.append(np.frombuffer(own, "<u4").astype("<u2").tobytes())
                     for column, value in zip(rows.values(), values):
                         column.append(value)
                 if len(rows["doc_id"]) >= 2000:
@@ -154,3 +148,49 @@ def token_pieces(path: str, size: int, by_length: bool = True, with_ids: bool =
 
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, crc long, part int, place long"
+
+
+# Bytes of 32-bit ids that are cut into sequences at once.
+CUT_BYTES = 8_000_000
+
+
+def token_sequences(path: str, size: int):
+    """A function from a column of texts to (rows, sequences): the number of texts a batch of sequences covers, the
+    sequences of each, and the batch: piece, start, length, crc and the ids as little-endian unsigned 16-bit numbers.
+    Every text's ids and the end marker are cut into pieces of ``size``, as in :func:`token_pieces`."""
+    import os
+
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    tokenizer, end = word_tokenizer(path), array("I", [END_OF_TEXT]).tobytes()
+    if tokenizer.vocabulary > 2**16:
+        raise ValueError("16-bit ids need a vocabulary of at most 65,536")
+
+    def cut(held: list[bytes]) -> tuple[np.ndarray, pa.RecordBatch]:
+        data = b"".join(held)
+        sizes = np.array([len(ids) // 4 for ids in held], np.int64)
+        pieces = -(-sizes // size)
+        piece = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        start = piece * size
+        length = np.minimum(size, np.repeat(sizes, pieces) - start)
+        # The pieces lie one behind the other.
+        bounds = np.concatenate([[0], np.cumsum(length)])
+        view, at = memoryview(data), (4 * bounds).tolist()
+        crc = [zlib.crc32(view[begin:end]) for begin, end in zip(at, at[1:])]
+        ids = np.frombuffer(data, "<u4").astype("<u2")
+        buffers = [None, pa.py_buffer((2 * bounds).astype(np.int32)), pa.py_buffer(ids)]
+        columns = [pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
+        columns.append(pa.Array.from_buffers(pa.binary(), len(piece), buffers))
+        return pieces, pa.RecordBatch.from_arrays(columns, ["piece", "start", "length", "crc", "ids"])
+
+    def run(texts: pa.Array) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+        held, size_held = [], 0
+        for text in texts:
+            held.append(tokenizer.ids(text.as_py() or "") + end)
+            size_held += len(held[-1])
+            if size_held >= CUT_BYTES:
+                yield cut(held)
+                held, size_held = [], 0
+        if held:
+            yield cut(held)
+
+    return run

@@ -234,3 +234,21 @@ def test_stages_on_empty_and_odd_tables(spark, sf_dir, name):
         assert 3 in {r["doc_id"] for r in rows.collect()}
     else:
         assert rows.groupBy("doc_id").count().count() == 4
+
+
+def test_shards_are_written_in_rounds(spark, sf_dir, monkeypatch):
+    """Only a part of the sequences is dealt by a shuffle at a time, and every number of rounds gives the same rows."""
+    from adpulse.llm import order
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+
+    def rows():
+        shards = write_in_training_order(docs, tokenizer_path(), key=3, shard_sequences=16)
+        listed = shards.read(spark)
+        return sorted(tuple(r) for r in listed.drop("file").collect()), len(listed.select("file").distinct().collect())
+
+    several = rows()
+    monkeypatch.setattr(order, "ROUNDS_OF_SHARDS", 1)
+    assert several == rows() and several[1] > 2
+    monkeypatch.setattr(order, "ROUNDS_OF_SHARDS", 1000)
+    assert several == rows()
