@@ -12,10 +12,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from adpulse.llm import common, minhash, quality, toxicity
+from adpulse.llm import common, minhash, quality, tokens, toxicity
 from adpulse.llm.components import components
 from adpulse.llm.decontaminate import Index, Settings, drop_leaking, find_leaks
 from adpulse.llm.exact import deduplicate_exact
@@ -293,6 +294,57 @@ def test_tokens_equal_the_tokenizer():
         assert np.frombuffer(ours.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("cut_bytes, joined_units, cached_units", [(4_000_000, 20_000, 600_000), (60, 3, 20)])
+def test_columns_of_texts_equal_the_tokenizer(monkeypatch, cut_bytes, joined_units, cached_units):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "CUT_BYTES", cut_bytes)
+    monkeypatch.setattr(tokens, "JOINED_UNITS", joined_units)
+    monkeypatch.setattr(tokens, "CACHED_UNITS", cached_units)
+    whole, ours = Tokenizer.from_file(tokenizer_path()), WordTokenizer(tokenizer_path())
+    # Kinds of one and two bytes, marks that join the letter before them in one case only, markers in both cases.
+    parts = ["DON'T\u0308", "it's", "''s", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "naïve", "Œuvre", "²3½", "×", "\u0301", "ΣΑΣ", "“x”", "中文", "각"]
+    parts += ["</w>", "İ", "12", "The", "the", "!?", " ", "  ", "\n", "\x85", "\xa0", "\x1c", "\u2028", "😀", "a", "É"]
+    texts = [None, "", " ", *("".join(_random.choices(parts, k=_random.choice([1, 4, 30]))) for _ in range(400)), None]
+    found = []
+    for ids, ends in ours.columns(pa.array(["cut off", *texts]).slice(1)):
+        found += [own.tolist() for own in np.split(ids, ends)[:-1]]
+        assert len(ids) == ends[-1]
+    assert found == [[*whole.encode(text or "", add_special_tokens=False).ids, 1] for text in texts]
+
+
+def test_equal_words_are_encoded_once_whatever_the_text():
+    ours, passed = WordTokenizer(tokenizer_path()), []
+    encode = ours._tokenizer.encode_batch_fast
+
+    class Counted:
+        def encode_batch_fast(self, texts, **settings):
+            passed.extend(texts)
+            return encode(texts, **settings)
+
+    ours._tokenizer = Counted()
+    for number in range(50):
+        ours.ids(f"“Plain” words — don't stop, naïve {number % 5} and again plain words")
+    assert sum(map(len, passed)) < 200
+
+
+def test_places_count_pieces_of_a_length(monkeypatch):
+    from pyspark import TaskContext
+
+    monkeypatch.setattr(tokens, "CUT_BYTES", 40)
+    monkeypatch.setattr(TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    texts = ["one two three", None, "one two three", "", "one " * 11, "a b", "one two three"]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 5, None, 1, 2, 3, 4], pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    made = pa.Table.from_batches(tokens.token_pieces(tokenizer_path(), 5)(iter([batch, batch])))
+    rows = made.to_pylist()
+    assert [row["doc_id"] for row in rows] == 2 * [5, 5, None, 1, 2, 2, 2, 3, 4] and {row["part"] for row in rows} == {3}
+    assert [(row["piece"], row["start"], row["length"]) for row in rows if row["doc_id"] == 2][:3] == [(0, 0, 5), (1, 5, 5), (2, 10, 2)]
+    seen = Counter()
+    for row in rows:
+        assert row["place"] == seen[row["length"]]
+        seen[row["length"]] += 1
+
+
 def test_urls(spark):
     urls = [None, "no scheme", "http://A.Example.com/en/x?q", "https://www.example.com/en/", "http://example.com/english",
             "http://shop.net/fr/1", "http://cheap-pills.org/", "http://com", "ftp://x.org?a=://b.com/", "http://net/es/"]
