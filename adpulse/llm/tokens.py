@@ -26,7 +26,7 @@ CACHED_UNITS, CACHED_BYTES = 600_000, 32_000_000
 # Bytes of text that are cut into units at once.
 CUT_BYTES = 4_000_000
 # Units that go to the tokenizer as one text.
-JOINED_UNITS = 20_000
+JOINED_UNITS = 1_000
 
 # Kinds of characters; a piece of text with any of the last kind is one unit.
 _SPACE, _LETTER, _DIGIT, _OTHER, _WHOLE = range(5)

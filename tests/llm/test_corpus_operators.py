@@ -294,7 +294,7 @@ def test_tokens_equal_the_tokenizer():
         assert np.frombuffer(ours.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
-@pytest.mark.parametrize("cut_bytes, joined_units, cached_units", [(4_000_000, 20_000, 600_000), (60, 3, 20)])
+@pytest.mark.parametrize("cut_bytes, joined_units, cached_units", [(4_000_000, 1_000, 600_000), (60, 3, 20)])
 def test_columns_of_texts_equal_the_tokenizer(monkeypatch, cut_bytes, joined_units, cached_units):
     from tokenizers import Tokenizer
 
@@ -313,7 +313,8 @@ def test_columns_of_texts_equal_the_tokenizer(monkeypatch, cut_bytes, joined_uni
     assert found == [[*whole.encode(text or "", add_special_tokens=False).ids, 1] for text in texts]
 
 
-def test_equal_words_are_encoded_once_whatever_the_text():
+def _counted():
+    """A tokenizer, and the texts that reach the one below it."""
     ours, passed = WordTokenizer(tokenizer_path()), []
     encode = ours._tokenizer.encode_batch_fast
 
@@ -323,9 +324,36 @@ def test_equal_words_are_encoded_once_whatever_the_text():
             return encode(texts, **settings)
 
     ours._tokenizer = Counted()
-    for number in range(50):
-        ours.ids(f"“Plain” words — don't stop, naïve {number % 5} and again plain words")
+    return ours, passed
+
+
+REPEATED = [f"“Plain” words — don't stop, naïve {number % 5} and again plain words" for number in range(50)]
+
+
+def test_equal_words_are_encoded_once_whatever_the_text():
+    ours, passed = _counted()
+    for text in REPEATED:
+        ours.ids(text)
+    assert sum(map(len, passed)) < 200
+
+
+def test_sequences_encode_equal_words_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    ours, passed = _counted()
+    monkeypatch.setattr(tokens, "word_tokenizer", lambda path: ours)
+    monkeypatch.setattr(tokens, "CUT_BYTES", 500)
+    made = list(tokens.token_sequences(tokenizer_path(), 8)(pa.array([*REPEATED, None])))
     assert sum(map(len, passed)) < 200
+    whole = Tokenizer.from_file(tokenizer_path())
+    texts = [[*whole.encode(text, add_special_tokens=False).ids, 1] for text in [*REPEATED, ""]]
+    assert [count for counts, _ in made for count in counts.tolist()] == [-(-len(ids) // 8) for ids in texts]
+    cut = [(at // 8, at, ids[at : at + 8]) for ids in texts for at in range(0, len(ids), 8)]
+    wanted = [
+        (piece, start, len(own), zlib.crc32(np.array(own, "<u4").tobytes()), np.array(own, "<u2").tobytes())
+        for piece, start, own in cut
+    ]
+    assert [tuple(row.values()) for _, batch in made for row in batch.to_pylist()] == wanted
 
 
 def test_places_count_pieces_of_a_length(monkeypatch):
