@@ -2,8 +2,11 @@
 
 A document is the bag of its five-word shingles, weighted by count and inverse document frequency. Document frequencies
 are counted exactly over all documents: every task holds the most frequent shingles, a bounded number; the others that
-occur more than once come to their documents by a join; what is in neither occurs once. Each of ``bands * rows`` samples draws a shingle
-and a level of its weight so that two documents agree with the probability of their weighted Jaccard similarity.
+occur more than once are looked up by a join; what is in neither occurs once. Each of ``bands * rows`` samples draws a
+shingle and a level of its weight so that two documents agree with the probability of their weighted Jaccard similarity.
+A frequency that a task does not hold lies between one and the least that it holds, and mostly both draw alike: only the
+few shingles of a document on which a draw still depends are looked up for the samples. Documents that share a bucket look
+up all theirs.
 Documents with equal word sequences are one node. Nodes that agree in a band are first compared with centres of that
 bucket: the smallest id, then, where the others still belong to several groups, one of these chosen anew. A node that was
 the centre has met its whole bucket and leaves it. What several groups still share after that is compared by an exact
@@ -31,13 +34,13 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
 # Rounds of centres before the prefix join, which finds all that they leave; they only make it smaller.
 CENTRES = 3
-# Shingles whose document frequency every task holds.
-COMMON = 2**20
-# Size of the filter that keeps shingles which occur once out of the join; where it is full the join is only larger.
-FILTER_BITS = 27
+# Shingles whose document frequency every task holds; the driver gathers and sends them.
+COMMON = 2**18
 
 # Shingles that are counted together, and bytes of text whose counts one task gathers at once.
 COUNTED, PART_BYTES = 1_000_000, 4_000_000
+# Bytes of text cut into words at once: bounds what a Python worker holds.
+WORDS_BYTES = 500_000
 _CACHED = 2**16
 _TABLE_BITS = 16
 _random = np.random.Generator(np.random.PCG64(5))
@@ -91,13 +94,18 @@ def lookup(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return hit, at[hit]
 
 
+def word_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Words]]:
+    return text_slices(batch, separates=PUNCTUATION, words=lane_words, size=WORDS_BYTES)
+
+
 @dataclass
 class Frequencies:
-    """Number of documents, and document frequencies of the common shingles, sorted."""
+    """Number of documents, document frequencies of the common shingles, sorted, and the most that any other may have."""
 
     total: int
     shingles: np.ndarray
     counts: np.ndarray
+    others: int = 1
 
     def idf(self, values: np.ndarray, *own: np.ndarray) -> np.ndarray:
         """``own``: sorted shingles and their frequencies, of those that are not common."""
@@ -105,6 +113,16 @@ class Frequencies:
         for keys, counts in ((self.shingles, self.counts), own):
             hit, at = lookup(keys, values)
             n[hit] = counts[at]
+        return self.rarity(n)
+
+    def between(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least and largest frequency that each shingle may have."""
+        least, most = np.ones(len(values)), np.full(len(values), float(self.others))
+        hit, at = lookup(self.shingles, values)
+        least[hit] = most[hit] = self.counts[at]
+        return least, most
+
+    def rarity(self, n: np.ndarray) -> np.ndarray:
         return np.log(1 + (1 + self.total) / (1 + n))
 
 
@@ -118,31 +136,92 @@ def _own(batch: pa.RecordBatch, begin: int, end: int, *sides: str) -> tuple[np.n
     return keys, counts[at]
 
 
-def signatures(values: np.ndarray, texts: np.ndarray, weight: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray]:
-    """Texts that have shingles, and per such text ``samples`` hashes of the (shingle, level) drawn."""
+def _levels(values: np.ndarray, log_weight: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Level and log a of each shingle in a sample. More weight never lowers the level nor raises log a."""
+    entry = ((values * _SAMPLE_KEYS[sample]) >> np.uint64(64 - _TABLE_BITS)).view(np.int64)
+    level = log_weight * _INVERSE.take(entry)
+    level += _BETA.take(entry)
+    np.floor(level, out=level)
+    log_a = _R.take(entry)
+    log_a *= level
+    np.subtract(_LOG_A.take(entry), log_a, out=log_a)
+    return level, log_a
+
+
+@dataclass
+class Draws:
+    """Of texts that have shingles: per text and sample the least log a with its shingle and level."""
+
+    texts: np.ndarray
+    low: np.ndarray
+    shingles: np.ndarray
+    levels: np.ndarray
+
+    def hashes(self) -> np.ndarray:
+        return mix(self.shingles + mix(self.levels.astype(np.int64).view(np.uint64)))
+
+    def best(self, other: Draws) -> Draws:
+        """The better draw of either, for the same texts; of equal ones the smallest shingle."""
+        mine = (self.low < other.low) | ((self.low == other.low) & (self.shingles <= other.shingles))
+        pick = [np.where(mine, getattr(self, name), getattr(other, name)) for name in ("low", "shingles", "levels")]
+        return Draws(self.texts, *pick)
+
+
+def draws(
+    values: np.ndarray, texts: np.ndarray, weight: np.ndarray, samples: int, lightest: np.ndarray | None = None
+) -> tuple[Draws, np.ndarray]:
+    """The draws of each text, and which of its shingles are open.
+
+    With ``lightest`` a shingle's weight is only known to lie between ``lightest`` and ``weight``. It is open if in some
+    sample its level is not the same at both and it may yet be the one drawn. There the draw is the best of the others (of
+    infinite log a if there is none), and the text's open shingles decide with their exact weights, by :meth:`Draws.best`.
+    """
     first = np.flatnonzero(np.concatenate([[True], texts[1:] != texts[:-1]])) if len(texts) else np.zeros(0, np.int64)
     ends = np.append(first, len(texts))[1:]
     log_weight = np.log(weight).astype(np.float32)
-    out = np.zeros((len(first), samples), np.uint64)
+    unsure = np.flatnonzero(lightest < weight) if lightest is not None else np.zeros(0, np.int64)
+    log_lightest = np.log(lightest[unsure]).astype(np.float32) if lightest is not None else log_weight[:0]
+    open_ = np.zeros(len(values), bool)
+    shape = (len(first), samples)
+    out = Draws(texts[first], np.zeros(shape, np.float32), np.zeros(shape, np.uint64), np.zeros(shape, np.float32))
     begin = 0
     while begin < len(first):  # whole texts, about as many shingles at once as the processor's cache holds
         end = max(begin + 1, int(np.searchsorted(ends, first[begin] + _CACHED, "right")))
         own = slice(first[begin], ends[end - 1])
         places, sizes = first[begin:end] - first[begin], ends[begin:end] - first[begin:end]
+        some = slice(*np.searchsorted(unsure, (own.start, own.stop)))
+        at = unsure[some] - own.start
         for sample in range(samples):
-            entry = ((values[own] * _SAMPLE_KEYS[sample]) >> np.uint64(64 - _TABLE_BITS)).view(np.int64)
-            level = log_weight[own] * _INVERSE.take(entry)
-            level += _BETA.take(entry)
-            np.floor(level, out=level)
-            log_a = _R.take(entry)
-            log_a *= level
-            np.subtract(_LOG_A.take(entry), log_a, out=log_a)
-            least = np.flatnonzero(log_a == np.repeat(np.minimum.reduceat(log_a, places), sizes))
+            level, log_a = _levels(values[own], log_weight[own], sample)
+            if len(at):
+                lower, most = _levels(values[own][at], log_lightest[some], sample)
+                wide = np.flatnonzero(lower != level[at])
+                where = at[wide]
+                best = log_a[where]
+                # Above the least log a that is reached whatever the weights are, nothing is drawn.
+                log_a[where] = most[wide]
+                bound = np.repeat(np.minimum.reduceat(log_a, places), sizes)[where]
+                open_[own.start + where[best <= bound]] = True
+                log_a[where] = np.inf
+            low = np.minimum.reduceat(log_a, places)
+            least = np.flatnonzero(log_a == np.repeat(low, sizes))
             # Of equal ones the first, that is the smallest shingle.
             least = least[np.searchsorted(least, places)]
-            out[begin:end, sample] = mix(values[own][least] + mix(level[least].astype(np.int64).view(np.uint64)))
+            out.low[begin:end, sample], out.shingles[begin:end, sample], out.levels[begin:end, sample] = low, values[own][least], level[least]
         begin = end
-    return texts[first], out
+    return out, open_
+
+
+def signatures(values: np.ndarray, texts: np.ndarray, weight: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts that have shingles, and per such text ``samples`` hashes of the (shingle, level) drawn."""
+    drawn, _ = draws(values, texts, weight, samples)
+    return drawn.texts, drawn.hashes()
+
+
+def band_hashes(drawn: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    factors = powers(np.uint64(0x9E3779B97F4A7C15), rows)
+    band = [mix((drawn[:, b * rows : (b + 1) * rows] * factors).sum(axis=1, dtype=np.uint64) + np.uint64(b)) for b in range(bands)]
+    return np.stack(band, axis=1).view(np.int64)
 
 
 def _counted(size: int, part_bits: int):
@@ -166,7 +245,7 @@ def _counted(size: int, part_bits: int):
 
         held: list[np.ndarray] = []
         for batch in batches:
-            for _, _, words in text_slices(batch, separates=PUNCTUATION, words=lane_words):
+            for _, _, words in word_slices(batch):
                 held.append(shingles(words, size)[0])
                 if sum(map(len, held)) >= COUNTED:
                     yield counted()
@@ -190,18 +269,15 @@ def _summed(table: pa.Table) -> pa.Table:
     return pa.table({"shingle": pa.array(values[first[many]].view(np.int64)), "n": pa.array(n[many])})
 
 
-def _uncommon(size: int, shared: Broadcast, filter_: Broadcast):
-    """(row_key, shingle) of shingles that are not common and may occur more than once."""
+def _uncommon(size: int, shared: Broadcast):
+    """(row_key, shingle) of shingles that are not common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, bits = shared.value.shingles, filter_.value
+        common = shared.value.shingles
         for batch in batches:
             keys = batch.column("row_key").to_numpy(zero_copy_only=False)
-            for begin, _, words in text_slices(batch, separates=PUNCTUATION, words=lane_words):
+            for begin, _, words in word_slices(batch):
                 values, texts, _ = shingles(words, size)
-                place = values >> np.uint64(64 - FILTER_BITS)
-                maybe = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
-                values, texts = values[maybe], texts[maybe]
                 rest = ~lookup(common, values)[0]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[begin + texts[rest]]), pa.array(values[rest].view(np.int64))], ["row_key", "shingle"]
@@ -210,9 +286,9 @@ def _uncommon(size: int, shared: Broadcast, filter_: Broadcast):
     return run
 
 
-def frequencies(texts: DataFrame, size: int, common: int = COMMON) -> tuple[Broadcast, DataFrame | None]:
-    """Document frequencies of the at most ``common`` most frequent shingles, and those of others that occur more than
-    once as (row_key, own, own_n) by text, if there are any."""
+def _shared_counts(texts: DataFrame, size: int, common: int) -> tuple[Broadcast, DataFrame, int]:
+    """Frequencies of the at most ``common`` most frequent shingles; (shingle, n) of all that occur more than once; the
+    least n of the common ones, 2 if there are no others."""
     sizes = texts.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
     total = sizes["rows"]
     # Counts travel as sorted runs, of which a task adds up those of one part; parts grow in number with the texts.
@@ -235,66 +311,125 @@ def frequencies(texts: DataFrame, size: int, common: int = COMMON) -> tuple[Broa
     keys = found.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     # One copy for all functions of all stages, of a bounded size.
-    context = texts.sparkSession.sparkContext
-    known = context.broadcast(Frequencies(total, keys[order], found.column("n").to_numpy()[order]))
-    if least == 2:
-        unstaged(counts)
-        return known, None
-    # Fewer than total / common rows each, so that no key of the join is hot.
-    others = counts.where(F.col("n") < least)
-    place = F.shiftrightunsigned("shingle", 64 - FILTER_BITS)
-    words = (
-        others.select(F.shiftrightunsigned(place, 6).alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-        .groupBy("word")
-        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
-        .toArrow()
-    )
-    bits = np.zeros(2 ** (FILTER_BITS - 6), np.uint64)
-    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    filter_ = context.broadcast(bits)
-    pairs = texts.select("row_key", "text").mapInArrow(_uncommon(size, known, filter_), "row_key long, shingle long")
+    known = Frequencies(total, keys[order], found.column("n").to_numpy()[order], least - 1)
+    return texts.sparkSession.sparkContext.broadcast(known), counts, least
+
+
+def _own_frequencies(texts: DataFrame, size: int, known: Broadcast, others: DataFrame) -> DataFrame:
+    """(row_key, own, own_n): shingles of each text that are not common but occur more than once, with their frequencies."""
+    pairs = texts.select("row_key", "text").mapInArrow(_uncommon(size, known), "row_key long, shingle long")
     own = pairs.join(others.hint("merge"), "shingle").groupBy("row_key").agg(F.collect_list(F.struct("shingle", "n")).alias("own"))
-    own = staged(own.select("row_key", F.col("own.shingle").alias("own"), F.col("own.n").alias("own_n")), "own")
-    filter_.destroy()
+    return staged(own.select("row_key", F.col("own.shingle").alias("own"), F.col("own.n").alias("own_n")), "own")
+
+
+def frequencies(texts: DataFrame, size: int, common: int = COMMON) -> tuple[Broadcast, DataFrame | None]:
+    """Document frequencies of the at most ``common`` most frequent shingles, and those of others that occur more than
+    once as (row_key, own, own_n) by text, if there are any."""
+    known, counts, least = _shared_counts(texts, size, common)
+    own = None if least == 2 else _own_frequencies(texts, size, known, counts.where(F.col("n") < least))
     unstaged(counts)
     return known, own
 
 
 def _signed(size: int, shared: Broadcast, bands: int, rows: int):
+    """Signatures of texts. Where shingles are open, they and the draws without them take the place of the bands."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
             keys, ids = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("row_key", "rank_id"))
-            for begin, end, words in text_slices(batch, separates=PUNCTUATION, words=lane_words):
+            for begin, end, words in word_slices(batch):
                 values, texts, counts = shingles(words, size)
-                weight = counts * known.idf(values, *_own(batch, begin, end))
-                text, drawn = signatures(values, texts, weight, bands * rows)
-                if not len(text):
+                if not len(values):
                     continue
-                factors = powers(np.uint64(0x9E3779B97F4A7C15), rows)
-                band = [
-                    mix((drawn[:, b * rows : (b + 1) * rows] * factors).sum(axis=1, dtype=np.uint64) + np.uint64(b))
-                    for b in range(bands)
-                ]
-                flat = np.stack(band, axis=1).view(np.int64).ravel()
+                least, most = known.between(values)
+                drawn, open_ = draws(values, texts, counts * known.rarity(least), bands * rows, counts * known.rarity(most))
+                text, count = drawn.texts, len(drawn.texts)
+                asked = np.bincount(texts[open_], minlength=end - begin)[text]
+                sure = asked == 0
                 prefix = words.prefix()
                 whole = span_hash(prefix, words.first[text], words.first[text + 1])
                 other = np.add.reduceat(mix(words.hashes + np.uint64(1)) * powers(np.uint64(0xD6E8FEB86659FD93), len(words)), words.first[text])
                 back = powers(np.uint64(pow(0xD6E8FEB86659FD93, -1, 2**64)), len(words) + 1)[words.first[text]]
+
+                def lists(rows: np.ndarray, flat: np.ndarray) -> pa.ListArray:
+                    """``rows``: how many of the flat values each text has."""
+                    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(rows)).astype(np.int32)), pa.array(flat))
+
+                drawn_rows = np.where(sure, 0, bands * rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys[begin + text]),
                         pa.array(ids[begin + text]),
                         pa.array(whole.view(np.int64)),
                         pa.array(mix(other * back).view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(text) + 1, dtype=np.int32) * bands), pa.array(flat)),
+                        lists(np.where(sure, bands, 0), band_hashes(drawn.hashes()[sure], bands, rows).ravel()),
+                        lists(asked, values[open_].view(np.int64)),
+                        lists(asked, counts[open_]),
+                        lists(drawn_rows, drawn.low[~sure].ravel()),
+                        lists(drawn_rows, drawn.shingles[~sure].view(np.int64).ravel()),
+                        lists(drawn_rows, drawn.levels[~sure].ravel()),
                     ],
-                    ["row_key", "rank_id", "print_a", "print_b", "bands"],
+                    ["row_key", "rank_id", "print_a", "print_b", "bands", "open", "times", "low", "drawn", "levels"],
                 )
 
     return run
 
 
+_SIGNED = "row_key long, rank_id long, print_a long, print_b long, bands array<long>"
+_DRAWN = "open array<long>, times array<long>, low array<float>, drawn array<long>, levels array<float>"
+
+
+def _decided(shared: Broadcast, bands: int, rows: int):
+    """Signatures of texts whose open shingles came back with their frequencies, as structs in ``exact``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, samples = shared.value, bands * rows
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            exact = batch.column("exact")
+            texts = np.repeat(np.arange(len(exact)), exact.value_lengths().to_numpy())
+            values, times, n = (column.to_numpy(zero_copy_only=False) for column in exact.flatten().flatten())
+            values = values.view(np.uint64)
+            order = np.lexsort((values, texts))
+            values, texts, weight = values[order], texts[order], (times * known.rarity(n))[order]
+            late, _ = draws(values, texts, weight, samples)
+            early = Draws(
+                late.texts,
+                *(batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, samples) for c in ("low", "drawn", "levels")),
+            )
+            early.shingles = early.shingles.view(np.uint64)
+            band = band_hashes(early.best(late).hashes(), bands, rows)
+            found = pa.ListArray.from_arrays(pa.array(np.arange(len(band) + 1, dtype=np.int32) * bands), pa.array(band.ravel()))
+            names = ["row_key", "rank_id", "print_a", "print_b"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), found], [*names, "bands"])
+
+    return run
+
+
+def _signatures(texts: DataFrame, size: int, known: Broadcast, others: DataFrame | None, bands: int, rows: int) -> DataFrame:
+    """(row_key, rank_id, print_a, print_b, bands) of texts with words. Only the few shingles of a text that are open go to
+    the frequencies of those that are not common; the text itself moves nowhere."""
+    signed = staged(texts.select("row_key", "rank_id", "text").mapInArrow(_signed(size, known, bands, rows), f"{_SIGNED}, {_DRAWN}"), "signatures")
+    plain = signed.columns[:5]
+    if others is None:
+        return signed.select(plain)
+    waiting = signed.where(F.size("open") > 0)
+    asked = waiting.select("row_key", F.explode(F.arrays_zip("open", "times")).alias("its")).select(
+        "row_key", F.col("its.open").alias("shingle"), F.col("its.times").alias("times")
+    )
+    exact = (
+        asked.join(others.hint("merge"), "shingle", "left")
+        .groupBy("row_key")
+        .agg(F.collect_list(F.struct("shingle", "times", F.coalesce("n", F.lit(1)).alias("n"))).alias("exact"))
+    )
+    decided = waiting.join(exact.hint("merge"), "row_key").mapInArrow(_decided(known, bands, rows), _SIGNED)
+    whole = staged(signed.where(F.size("open") == 0).select(plain).union(decided), "signatures")
+    unstaged(signed)
+    return whole
+
+
 def weighted_jaccard(a: str, b: str, size: int, known: Frequencies, *own: np.ndarray) -> float:
     data = [x.lower().encode() for x in (a, b)]
     offsets = np.array([0, len(data[0]), len(data[0]) + len(data[1])])
@@ -341,7 +476,7 @@ def _prefixed(size: int, shared: Broadcast, similarity: float):
         known = shared.value
         for batch in batches:
             nodes, components = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("node", "component"))
-            for begin, end, words in text_slices(batch, separates=PUNCTUATION, words=lane_words):
+            for begin, end, words in word_slices(batch):
                 values, texts, counts = shingles(words, size)
                 rarity = known.idf(values, *_own(batch, begin, end))
                 order = np.lexsort((values, -rarity, texts))
@@ -413,18 +548,10 @@ def near_duplicates(
         row_key().alias("row_key"),
         rank_id().alias("rank_id"),
     )
-    known, own = frequencies(texts, shingle_words, common)
-
-    def with_own(rows: DataFrame) -> DataFrame:
-        none = F.lit(None).cast("array<long>")
-        return rows.withColumns({"own": none, "own_n": none}) if own is None else rows.join(own, "row_key", "left")
-
-    signed = staged(
-        with_own(texts.select("row_key", "rank_id", "text")).mapInArrow(
-            _signed(shingle_words, known, bands, rows), "row_key long, rank_id long, print_a long, print_b long, bands array<long>"
-        ),
-        "signatures",
-    )
+    known, counts, least = _shared_counts(texts, shingle_words, common)
+    # Fewer rows each than any of the common ones, so that no key of a join is hot.
+    others = None if least == 2 else counts.where(F.col("n") < least)
+    signed = _signatures(texts, shingle_words, known, others, bands, rows)
     # Equal word sequences are one node, named after the first row.
     same = ["print_a", "print_b"]
     nodes = staged(
@@ -438,13 +565,18 @@ def near_duplicates(
     entries = staged(entries.join(crowded, ["band", "bucket"]), "buckets")
     # The texts of all nodes that share a bucket move once, whatever the number of rounds.
     held = staged(
-        with_own(
-            texts.select("row_key", "text")
-            .join(entries.select(F.col("node").alias("row_key")).distinct().hint("merge"), "row_key")
-            .dropDuplicates(["row_key"])
-        ),
+        texts.select("row_key", "text")
+        .join(entries.select(F.col("node").alias("row_key")).distinct().hint("merge"), "row_key")
+        .dropDuplicates(["row_key"]),
         "texts",
     )
+    if others is None:
+        held = held.withColumns({name: F.lit(None).cast("array<long>") for name in ("own", "own_n")})
+    else:
+        own = _own_frequencies(held, shingle_words, known, others)
+        bare, held = held, staged(held.join(own, "row_key", "left"), "texts")
+        unstaged(bare, own)
+    unstaged(counts)
     groups, links = None, None
 
     def link(pairs: DataFrame) -> None:
@@ -495,7 +627,7 @@ def near_duplicates(
         else member.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     )
     known.destroy()  # whatever used it is staged
-    unstaged(held, entries, own)
+    unstaged(held, entries)
     placed = signed.join(member.select(*same, "group"), same).select("row_key", "rank_id", "group").distinct()
     heads = placed.groupBy("group").agg(
         F.min(F.struct("rank_id", "row_key")).alias("head"), F.count(F.lit(1)).alias("group_size")

@@ -584,3 +584,41 @@ def test_decontamination_holds_a_bounded_slice_of_text():
     tracemalloc.stop()
     assert sum(counted[0].column("n").to_pylist()) == 30_000 * sum(word in WORDS[:60] for word in BODY.split())
     assert peak < 30_000_000
+
+
+def test_open_shingles_decide_as_exact_weights_do():
+    """Draws from bounds of the weights, completed by the open shingles, are those of the exact weights."""
+    rng = np.random.default_rng(7)
+    texts = np.repeat(np.arange(80), rng.integers(1, 400, 80))
+    values = np.sort(rng.integers(0, 2**64, len(texts), dtype=np.uint64))[np.argsort(rng.random(len(texts)))]
+    values = values[np.lexsort((values, texts))]
+    known = minhash.Frequencies(100_000, np.zeros(0, np.uint64), np.zeros(0, np.int64), 50)
+    times, n = rng.integers(1, 4, len(texts)), rng.integers(1, 51, len(texts))
+    weight = times * known.rarity(n)
+    early, open_ = minhash.draws(values, texts, times * known.rarity(np.array(1)), 30, times * known.rarity(np.array(50)))
+    late, _ = minhash.draws(values[open_], texts[open_], weight[open_], 30)
+    some = np.isin(early.texts, late.texts)
+    early = minhash.Draws(*(x[some] for x in (early.texts, early.low, early.shingles, early.levels)))
+    _, exact = minhash.signatures(values, texts, weight, 30)
+    assert (early.best(late).hashes() == exact[some]).all()
+    assert 0 < open_.mean() < 0.2
+
+
+def test_signing_moves_no_texts(spark, tmp_path):
+    """Signatures equal those of the exact frequencies, and only open shingles and the rows that wait for them move."""
+    rng, rows = random.Random(6), []
+    for n in range(300):
+        words = rng.choices(WORDS, k=300) if n % 2 else rows[-1][2].split()[:250] + ["y%d" % k for k in range(n % 50)] if n else ["one"]
+        rows.append((n, n, " ".join(words)))
+    rows += [rows[7], (400, 400, None), (401, 401, "")]
+    texts = spark.createDataFrame(rows, "row_key long, rank_id long, text string").repartition(3)
+    known, counts, least = minhash._shared_counts(texts, 5, 30)
+    assert least > 2
+    others = counts.where(F.col("n") < least)
+    found = minhash._signatures(texts, 5, known, others, 10, 3)
+    everything, none, one = minhash._shared_counts(texts, 5, 2**20)
+    whole = minhash._signatures(texts, 5, everything, None, 10, 3)
+    assert one == 2 and sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+    asked = [row for batch in texts.select("row_key", "rank_id", "text").coalesce(1).toArrow().to_batches() for row in minhash._signed(5, known, 10, 3)([batch])]
+    waiting = [x for batch in asked for x in batch.column("open").to_pylist() if x]
+    assert waiting and sum(map(len, waiting)) < sum(len(text.split()) for _, _, text in rows if text) / 4
