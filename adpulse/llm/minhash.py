@@ -1,6 +1,8 @@
 """Near-duplicate detection by improved consistent weighted sampling over TF-IDF shingles.
 
-A document is the bag of its five-word shingles, weighted by count and inverse document frequency. Document frequencies
+A document is the bag of its five-word shingles, weighted by count and inverse document frequency. Copies raise the
+frequencies of what they share, so a share of all documents is added to every frequency: else, the larger a group of copies
+and the corpus, the more would a few words of a copy's own outweigh all that it shares. Document frequencies
 are counted exactly over all documents: every task holds the most frequent shingles, a bounded number; the others that
 occur more than once are looked up by a join; what is in neither occurs once. Each of ``bands * rows`` samples draws a
 shingle and a level of its weight so that two documents agree with the probability of their weighted Jaccard similarity.
@@ -36,6 +38,8 @@ BANDS, ROWS = 10, 3
 CENTRES = 3
 # Shingles whose document frequency every task holds; the driver gathers and sends them.
 COMMON = 2**18
+# Share of all documents that a weight adds to each frequency: shingles of far fewer documents weigh nearly alike.
+SPREAD = 0.1
 
 # Shingles that are counted together, and bytes of text whose counts one task gathers at once.
 COUNTED, PART_BYTES = 1_000_000, 4_000_000
@@ -107,13 +111,16 @@ class Frequencies:
     counts: np.ndarray
     others: int = 1
 
-    def idf(self, values: np.ndarray, *own: np.ndarray) -> np.ndarray:
+    def of(self, values: np.ndarray, *own: np.ndarray) -> np.ndarray:
         """``own``: sorted shingles and their frequencies, of those that are not common."""
         n = np.ones(len(values))
         for keys, counts in ((self.shingles, self.counts), own):
             hit, at = lookup(keys, values)
             n[hit] = counts[at]
-        return self.rarity(n)
+        return n
+
+    def idf(self, values: np.ndarray, *own: np.ndarray) -> np.ndarray:
+        return self.rarity(self.of(values, *own))
 
     def between(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least and largest frequency that each shingle may have."""
@@ -125,6 +132,9 @@ class Frequencies:
     def rarity(self, n: np.ndarray) -> np.ndarray:
         return np.log(1 + (1 + self.total) / (1 + n))
 
+    def weight(self, n: np.ndarray) -> np.ndarray:
+        return self.rarity(n + SPREAD * self.total)
+
 
 def _own(batch: pa.RecordBatch, begin: int, end: int, *sides: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted shingles and their frequencies that came to the rows begin:end by the join."""
@@ -343,7 +353,7 @@ def _signed(size: int, shared: Broadcast, bands: int, rows: int):
                 if not len(values):
                     continue
                 least, most = known.between(values)
-                drawn, open_ = draws(values, texts, counts * known.rarity(least), bands * rows, counts * known.rarity(most))
+                drawn, open_ = draws(values, texts, counts * known.weight(least), bands * rows, counts * known.weight(most))
                 text, count = drawn.texts, len(drawn.texts)
                 asked = np.bincount(texts[open_], minlength=end - begin)[text]
                 sure = asked == 0
@@ -393,7 +403,7 @@ def _decided(shared: Broadcast, bands: int, rows: int):
             values, times, n = (column.to_numpy(zero_copy_only=False) for column in exact.flatten().flatten())
             values = values.view(np.uint64)
             order = np.lexsort((values, texts))
-            values, texts, weight = values[order], texts[order], (times * known.rarity(n))[order]
+            values, texts, weight = values[order], texts[order], (times * known.weight(n))[order]
             late, _ = draws(values, texts, weight, samples)
             early = Draws(
                 late.texts,
@@ -434,7 +444,7 @@ def weighted_jaccard(a: str, b: str, size: int, known: Frequencies, *own: np.nda
     data = [x.lower().encode() for x in (a, b)]
     offsets = np.array([0, len(data[0]), len(data[0]) + len(data[1])])
     values, texts, counts = shingles(lane_words(np.frombuffer(b"".join(data), np.uint8), offsets, PUNCTUATION), size)
-    weight = counts * known.idf(values, *own)
+    weight = counts * known.weight(known.of(values, *own))
     cut = int(np.searchsorted(texts, 1))
     common, at_a, at_b = np.intersect1d(values[:cut], values[cut:], assume_unique=True, return_indices=True)
     shared = np.minimum(weight[:cut][at_a], weight[cut:][at_b]).sum()
@@ -478,9 +488,9 @@ def _prefixed(size: int, shared: Broadcast, similarity: float):
             nodes, components = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("node", "component"))
             for begin, end, words in word_slices(batch):
                 values, texts, counts = shingles(words, size)
-                rarity = known.idf(values, *_own(batch, begin, end))
-                order = np.lexsort((values, -rarity, texts))
-                values, texts, weight = values[order], texts[order], (rarity * counts)[order]
+                n = known.of(values, *_own(batch, begin, end))
+                order = np.lexsort((values, n, texts))
+                values, texts, weight = values[order], texts[order], (known.weight(n) * counts)[order]
                 values, texts, rest, total = prefixes(values, texts, weight, similarity)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -507,17 +517,31 @@ def _remaining_pairs(texts: DataFrame, similarity: float, size: int, known: Broa
 
     Of a pair the side with less weight is the index. The overlap is at least s / (1 + s) of both weights, so 2 s / (1 + s)
     of the index side's and s of the other's: the index needs a shorter prefix. Where many documents share a template and
-    little else, the prefixes of the index hold own shingles only, and the documents do not meet.
+    little else, the prefixes of the index hold own shingles only, and the documents do not meet. Nor do two nodes of the
+    component that has most of a shingle's rows: most of a large group is one component by now.
     """
     schema = "shingle long, node long, component long, rest double, total double"
     rows = staged(texts.mapInArrow(_prefixed(size, known, similarity), schema), "prefixes")
+    shared = (
+        rows.groupBy("shingle", "component")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("shingle")
+        .agg(F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("components"))
+        .where("components > 1")
+        .select("shingle", F.col("most.component").alias("main"))
+    )
+    # Rows of the main component meet the others, these meet all.
+    outside = F.col("component") != F.col("main")
+    meets = F.explode(F.when(outside, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(True))))
     left, right = (
-        side.select("shingle", *(F.col(c).alias(f"{c}_{name}") for c in rows.columns[1:]))
-        for name, side in (("a", index_prefixes(rows, similarity)), ("b", rows))
+        side.join(shared.hint("merge"), "shingle").select(
+            "shingle", lane.alias("outside"), *(F.col(c).alias(f"{c}_{name}") for c in rows.columns[1:])
+        )
+        for name, side, lane in (("a", index_prefixes(rows, similarity), outside), ("b", rows, meets))
     )
     least = F.lit(similarity / (1 + similarity) - 1e-6) * (F.col("total_a") + F.col("total_b"))
     return (
-        left.join(right.hint("merge"), "shingle")
+        left.join(right.hint("merge"), ["shingle", "outside"])
         .where("total_a < total_b or (total_a = total_b and node_a < node_b)")
         .where("component_a <> component_b")
         .where(F.least("rest_a", "rest_b") >= least)

@@ -179,6 +179,43 @@ def test_prefix_join_finds_every_similar_pair(spark):
     assert similar and similar <= found
 
 
+def test_prefix_join_within_and_across_components(spark):
+    """Nodes of one large component do not meet each other but all others, whichever of them has most rows of a shingle."""
+    rng, rows = random.Random(9), []
+    base = rng.choices(WORDS, k=60)
+    for n in range(50):
+        words = base[: 60 - n % 5] + ["x%d" % n] * (n % 4)
+        rows.append((n, 0 if n < 30 else 30 if n < 40 else n, " ".join(words), None, None))
+    texts = spark.createDataFrame(rows, "node long, component long, text string, own array<long>, own_n array<long>")
+    known, _ = minhash.frequencies(texts.select(F.col("node").alias("row_key"), "text"), 5)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    similar = {
+        (a[0], b[0])
+        for a, b in itertools.combinations(rows, 2)
+        if a[1] != b[1] and minhash.weighted_jaccard(a[2], b[2], 5, known.value, *none) >= 0.8
+    }
+    pairs = [(r["a"], r["b"]) for r in minhash._remaining_pairs(texts, 0.8, 5, known).collect()]
+    assert similar and similar <= set(pairs) and len(pairs) == len(set(pairs))
+    assert all(rows[a][1] != rows[b][1] for a, b in pairs)
+
+
+def test_near_copies_in_a_large_group(spark):
+    """The copies that share a text do not make it weigh little: each has four words of 200 for itself, 0.81 of its
+    shingles in common with the first."""
+    rng, rows = random.Random(11), []
+    base = ["b%d" % n for n in range(200)]
+    for n in range(30):
+        words = list(base)
+        for place in (20, 70, 120, 170) if n else ():
+            words[place + n % 9] = "c%dx%d" % (n, place)
+        rows.append((n, " ".join(words)))
+    rows += [(n, " ".join(rng.choices(WORDS, k=20))) for n in range(30, 1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for options in ({"common": 20}, {}):
+        found = {row["doc_id"]: row["group_id"] for row in near_duplicates(docs, **options).collect()}
+        assert found == {n: 0 if n < 30 else n for n in range(1500)}
+
+
 def test_text_order_survives_equal_leading_bits():
     values = np.array([5, 3, 5, 4, 2**63 + 1, 5, 3], np.uint64)
     texts = np.array([0, 0, 0, 0, 1, 1, 1])
